@@ -174,12 +174,12 @@ def fold_by_key(spark, folder):
 
 
 @query(
-    "select l_suppkey, sum(l_linenumber)::bigint total, count(*) n, round(sum(l_linenumber)::double / count(*), 6) mean "
+    "select l_suppkey, sum(l_linenumber)::bigint total, count(*) n, round(sum(l_linenumber)::double / count(*), 9) mean "
     "from lineitem group by 1"
 )
 def aggregate_by_key(spark, folder):
     value = F.col("l_linenumber")
-    results = {"total": F.sum(value), "n": F.count(value), "mean": F.round(F.avg(value), 6)}
+    results = {"total": F.sum(value), "n": F.count(value), "mean": F.round(F.avg(value), 9)}
     return aggregates.aggregate_by_key(inputs.table(spark, folder, "lineitem"), "l_suppkey", results)
 
 
@@ -333,12 +333,12 @@ def first_step(spark: SparkSession, folder: str) -> DataFrame:
 
 
 FIRST_STEP = f"with {inputs.BALANCES}, {sql.kmeans('points', CLUSTERS, 'even', 1)}"
-HISTORY = "select round, round(old_centroid, 6) old_centroid, round(centroid, 6) centroid, n, abs_error from history"
+HISTORY = "select round, round(old_centroid, 9) old_centroid, round(centroid, 9) centroid, n, abs_error from history"
 
 
 def history(points: DataFrame, init: str) -> DataFrame:
     found = kmeans.kmeans_1d(points, CLUSTERS, init).history
-    return found.select("round", F.round("old_centroid", 6).alias("old_centroid"), F.round("centroid", 6).alias("centroid"), "n", "abs_error")
+    return found.select("round", F.round("old_centroid", 9).alias("old_centroid"), F.round("centroid", 9).alias("centroid"), "n", "abs_error")
 
 
 @query(
@@ -353,11 +353,11 @@ def kmeans_assign(spark, folder):
 
 @query(
     f"""{FIRST_STEP}, squares as (select c, round(sum((x - c) * (x - c)) / count(*), 4) mse from near1 group by 1)
-    select old_centroid, round(centroid, 6) centroid, n, abs_error, mse from s1 join squares on c = old_centroid"""
+    select old_centroid, round(centroid, 9) centroid, n, abs_error, mse from s1 join squares on c = old_centroid"""
 )
 def kmeans_step(spark, folder):
     found = first_step(spark, folder)
-    return found.select("old_centroid", F.round("centroid", 6).alias("centroid"), "n", "abs_error", F.round(F.col("sse") / F.col("n"), 4).alias("mse"))
+    return found.select("old_centroid", F.round("centroid", 9).alias("centroid"), "n", "abs_error", F.round(F.col("sse") / F.col("n"), 4).alias("mse"))
 
 
 @query(f"{FIRST_STEP} select err abs_error from err1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -39,7 +40,7 @@ def record_line(columns: Sequence[str], sep: str = ",") -> Column:
 
 def fields(line: Column, sep: str = ",", limit: int = -1) -> Column:
     """A delimited text as an array; `limit` as in `split`."""
-    return F.split(line, f"\\Q{sep}\\E", limit)
+    return F.split(line, re.escape(sep) if sep != "," else sep, limit)
 
 
 def hash_bucket(key: Column, seed: int, buckets: int) -> Column:

@@ -30,11 +30,11 @@ def _numbers(parts: Column) -> dict[str, Column]:
     return numbers
 
 
-def _is_well_formed(parts: Column, numbers: dict[str, Column]) -> Column:
+def _is_well_formed(parts: Column) -> Column:
     good = F.size(parts) == len(PREPARED)
-    for value in numbers.values():
+    for value in _numbers(parts).values():
         good = good & value.isNotNull()
-    return good
+    return F.coalesce(good, F.lit(False))
 
 
 def prepare_transactions(lines: DataFrame, malformed: str = "fail", keep: Sequence[str] = ()) -> DataFrame:
@@ -45,22 +45,19 @@ def prepare_transactions(lines: DataFrame, malformed: str = "fail", keep: Sequen
     `count_malformed` tells how many there are.
     """
     parts = fields(F.col("value"))
-    numbers = _numbers(parts)
-    good = _is_well_formed(parts, numbers)
     if malformed == "drop":
-        lines = lines.where(good)
-    elif malformed == "fail":
-        message = F.concat(F.lit("malformed transaction: "), F.col("value"))
-        lines = lines.where(F.when(good, True).otherwise(F.raise_error(message).cast("boolean")))
-    else:
+        numbers = _numbers(parts)
+        return lines.where(_is_well_formed(parts)).select(*keep, *[c.alias(name) for name, c in numbers.items()])
+    if malformed != "fail":
         raise ValueError(f"unknown choice {malformed!r}")
-    return lines.select(*keep, *[value.alias(name) for name, value in numbers.items()])
+    stop = F.raise_error(F.concat(F.lit("malformed transaction: "), F.col("value")))
+    eleven = F.when(F.size(parts) == len(PREPARED), parts).otherwise(stop.cast("array<string>"))
+    numbers = {name: F.coalesce(c, stop.cast("double")) for name, c in _numbers(eleven).items()}
+    return lines.select(*keep, *[c.alias(name) for name, c in numbers.items()])
 
 
 def count_malformed(lines: DataFrame) -> DataFrame:
-    parts = fields(F.col("value"))
-    bad = ~F.coalesce(_is_well_formed(parts, _numbers(parts)), F.lit(False))
-    return lines.agg(F.count_if(bad).alias("malformed"))
+    return lines.agg(F.count_if(~_is_well_formed(fields(F.col("value")))).alias("malformed"))
 
 
 def assemble_features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:

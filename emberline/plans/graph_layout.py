@@ -10,34 +10,50 @@ from pyspark.sql import functions as F
 
 from emberline.operators.edges import weighted_edges
 from emberline.operators.skew import ROWS_PER_TASK, copy_to_parts, hot_from_counts, spread
-from emberline.session import shuffle_width
+from emberline.session import cut_lineage, shuffle_width
 
 
 @dataclass
 class EdgeLayout:
-    """Distinct edges `(src, dst, n, part)`, kept partitioned by `(src, part)`.
+    """Distinct edges `(src, dst, n)`, kept partitioned by `src`, and the table of all vertices.
 
     A vertex with more than `rows_per_task` distinct targets is spread over several parts, so a hub
     does not fall to one task. Kept partitions lost with an executor are computed again.
     """
 
     edges: DataFrame
-    degrees: DataFrame
+    vertices: DataFrame
+    """`(v, out_edges, targets)`; both are 0 for a vertex without out-edges."""
     hot: DataFrame | None
 
     @classmethod
     def build(cls, edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> EdgeLayout:
-        edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-        counted = weighted_edges(edges)
-        degrees = counted.groupBy("src").agg(F.count(F.lit(1)).alias("targets"), F.sum("n").alias("out_edges"))
-        hot = hot_from_counts(degrees, ["src"], "targets", rows_per_task)
-        parted = spread(counted, ["src"], hot, ["dst"])
-        width = shuffle_width(edges.sparkSession)
-        kept = parted.repartition(width, "src", "part").persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(kept, degrees, hot)
+        known = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+        counted = weighted_edges(known).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+            ends = F.array(
+                F.struct(F.col("src").alias("v"), F.col("n").alias("out_edges"), one.alias("targets")),
+                F.struct(F.col("dst").alias("v"), none.alias("out_edges"), none.alias("targets")),
+            )
+            totals = [F.sum(c).alias(c) for c in ("out_edges", "targets")]
+            table = cut_lineage(counted.select(F.inline(ends)).groupBy("v").agg(*totals))
+            hot = hot_from_counts(table.withColumnRenamed("v", "src"), ["src"], "targets", rows_per_task)
+            width = shuffle_width(edges.sparkSession)
+            if hot is None:
+                kept = counted.repartition(width, "src")
+            else:
+                kept = spread(counted, ["src"], hot, ["dst"]).repartition(width, "src", "part")
+            kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.count()
+        finally:
+            counted.unpersist()
+        return cls(kept, table, hot)
 
     def follow(self, states: DataFrame) -> DataFrame:
         """`states (src, ...)` joined to the edges that leave each vertex; the edges stay where they are."""
+        if self.hot is None:
+            return self.edges.join(states, "src")
         return self.edges.join(copy_to_parts(states, ["src"], self.hot), ["src", "part"]).drop("part")
 
     def release(self) -> None:

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.operators.edges import vertices
 from emberline.operators.skew import ROWS_PER_TASK
 from emberline.plans.graph_layout import EdgeLayout
 from emberline.session import cut_lineage
@@ -38,27 +37,24 @@ def pagerank(
     """
     layout = EdgeLayout.build(edges, rows_per_task)
     try:
-        degrees = layout.degrees.select(F.col("src").alias("v"), F.col("out_edges").cast("double").alias("out_edges"))
-        everyone = vertices(edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
-        table = cut_lineage(everyone.join(degrees, "v", "left"))
-        n = table.count()
+        table = layout.vertices.select("v", F.col("out_edges").cast("double").alias("out_edges"))
+        n, sinks = table.agg(F.count(F.lit(1)), F.count_if(F.col("out_edges") == 0)).first()
         if n == 0:
             return Ranks(table.select("v", F.lit(0.0).alias("pr")), [0.0] * rounds)
         state = table.withColumn("pr", F.lit(1.0 / n))
-        dangling = table.where(F.col("out_edges").isNull()).count() / n
+        dangling = sinks / n
         masses = []
         for i in range(1, rounds + 1):
-            sent = state.where(F.col("out_edges").isNotNull()).select(F.col("v").alias("src"), (F.col("pr") / F.col("out_edges")).alias("share"))
-            received = layout.follow(sent).select(F.col("dst").alias("v"), (F.col("share") * F.col("n")).alias("got"), F.lit(None).cast("double").alias("out_edges"))
-            base = table.select("v", F.lit(0.0).alias("got"), "out_edges")
-            summed = received.unionByName(base).groupBy("v").agg(F.sum("got").alias("got"), F.max("out_edges").alias("out_edges"))
+            sent = state.where("out_edges > 0").select(F.col("v").alias("src"), (F.col("pr") / F.col("out_edges")).alias("share"))
+            got = (F.col("share") * F.col("n")).alias("got")
+            received = layout.follow(sent).select(F.col("dst").alias("v"), got, F.lit(0.0).alias("out_edges"))
+            every = received.unionByName(table.select("v", F.lit(0.0).alias("got"), "out_edges"))
+            summed = every.groupBy("v").agg(F.sum("got").alias("got"), F.max("out_edges").alias("out_edges"))
             rank = F.lit((1.0 - damping) / n) + F.lit(damping) * (F.col("got") + F.lit(dangling / n))
             state = cut_lineage(summed.select("v", "out_edges", rank.alias("pr")))
             if snapshots is not None:
                 state.select("v", "pr").write.mode("overwrite").parquet(f"{snapshots}/iter={i}")
-            mass, dangling = state.agg(
-                F.sum("pr"), F.coalesce(F.sum(F.when(F.col("out_edges").isNull(), F.col("pr"))), F.lit(0.0))
-            ).first()
+            mass, dangling = state.agg(F.sum("pr"), F.sum(F.when(F.col("out_edges") == 0, F.col("pr")).otherwise(0.0))).first()
             masses.append(mass)
     finally:
         layout.release()

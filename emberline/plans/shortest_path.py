@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.operators.edges import vertices
 from emberline.operators.skew import ROWS_PER_TASK
 from emberline.plans.graph_layout import EdgeLayout
 from emberline.session import cut_lineage
@@ -47,7 +46,8 @@ def sssp(
     finally:
         layout.release()
     if include_unreached:
-        reached = vertices(edges).unionByName(reached.select("v")).distinct().join(reached, "v", "left")
+        everyone = layout.vertices.select("v").unionByName(reached.select("v")).distinct()
+        reached = everyone.join(reached, "v", "left")
     return reached
 
 
