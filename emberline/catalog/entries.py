@@ -26,11 +26,12 @@ MAX_ID = 1000  # fixed value: the id bound
 TOP = 5
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if oracle is not None:
-            ORACLE[function.__name__] = oracle
+            ORACLE[key] = oracle
         return function
 
     return register
@@ -300,7 +301,7 @@ def pagerank_chain(spark, folder):
     return rounded(pagerank.pagerank_chain(spark, chain_length(spark, folder)).ranks)
 
 
-@query(f"{RANKS} select v, round(pr, 10) pr from r{ROUNDS}")
+@query(f"{RANKS} select v, round(pr, 10) pr from r{ROUNDS}", name="pagerank")
 def pagerank_edges(spark, folder):
     return rounded(pagerank.pagerank(inputs.order_edges(spark, folder)).ranks)
 

@@ -138,7 +138,7 @@ def record_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_table(spark: SparkSession, folder: str) -> DataFrame:
     """Prepared records with features and label, ready for the tree models."""
-    df = prepared_with_key(spark, folder)
+    df = features.kept_for_training(prepared_with_key(spark, folder), "o_orderkey")
     return features.index_label(features.assemble_features(df))
 
 

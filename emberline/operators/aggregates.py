@@ -66,7 +66,7 @@ def adjacency_list(edges: DataFrame, neighbours_per_row: int = 100_000) -> DataF
 
     pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     parted = spread(pairs, ["src"], hot_keys(pairs, ["src"], neighbours_per_row), ["dst"])
-    lists = parted.groupBy("src", "part").agg(F.array_sort(F.collect_list(F.struct("dst", "copies"))).alias("items"))
+    lists = parted.groupBy("src", "part").agg(F.sort_array(F.collect_list(F.struct("dst", "copies"))).alias("items"))
     return lists.select(
         F.col("src").alias("v"), "part", F.col("items.dst").alias("neighbours"), F.col("items.copies").alias("copies")
     )

@@ -49,25 +49,23 @@ def running_totals(
     `order` must be a unique numeric column. Sums run inside buckets; each bucket then adds the
     sums of the buckets below it, a table of at most MAX_BUCKETS rows.
     """
-    df = with_bucket(df, order, quantile_edges(df, order, rows_per_bucket))
+    edges = quantile_edges(df, order, rows_per_bucket)
+    df = with_bucket(df, order, edges)
     inside = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = df.select("*", *[F.coalesce(F.sum(expr).over(inside), F.lit(0)).alias(name) for name, expr in totals.items()])
+    if not edges:
+        return local.drop("bucket")
     below = Window.partitionBy("one").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = df.groupBy("bucket").agg(*[expr.alias(f"_{name}") for name, expr in _sums(totals).items()])
-    offsets = (
-        sizes.withColumn("one", F.lit(1))
-        .select("bucket", *[F.coalesce(F.sum(f"_{name}").over(below), F.lit(0)).alias(f"_{name}") for name in totals])
+    sizes = df.groupBy("bucket").agg(*[F.sum(expr).alias(f"_{name}") for name, expr in totals.items()])
+    offsets = sizes.withColumn("one", F.lit(1)).select(
+        "bucket", *[F.coalesce(F.sum(f"_{name}").over(below), F.lit(0)).alias(f"_{name}") for name in totals]
     )
-    local = df.select("*", *[F.coalesce(F.sum(expr).over(inside), F.lit(0)).alias(name) for name, expr in totals.items()])
-    joined = local.join(F.broadcast(offsets), "bucket")  # at most MAX_BUCKETS rows
+    joined = local.join(F.broadcast(offsets), "bucket")  # one row per bucket, at most MAX_BUCKETS
     for name in totals:
         joined = joined.withColumn(name, F.col(name) + F.col(f"_{name}"))
     return joined.drop("bucket", *[f"_{name}" for name in totals])
 
 
-def _sums(totals: Mapping[str, Column]) -> dict[str, Column]:
-    return {name: F.sum(expr) for name, expr in totals.items()}
-
-
 def assign_ids(df: DataFrame, order: str, start: int = 10_000, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Consecutive ids `start + 1, start + 2, ...` in the order of a unique numeric column."""
     numbered = running_totals(df, order, {"id": F.lit(1).cast("bigint")}, rows_per_bucket)

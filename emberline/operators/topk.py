@@ -20,17 +20,19 @@ def k_smallest(pairs: DataFrame, k: int) -> DataFrame:
 
 def k_smallest_in_array(candidates: Column, k: int) -> Column:
     """The same for an array of `(d, cls)` entries held in one row."""
-    ordered = F.array_sort(candidates)
-    first_of_distance = F.filter(
-        ordered, lambda entry, i: (i == 0) | (entry["d"] != F.get(ordered, i - 1)["d"])
-    )
-    return F.slice(first_of_distance, 1, k)
+
+    def first_of_distance(ordered: Column) -> Column:
+        return F.filter(ordered, lambda entry, i: (i == 0) | (entry["d"] != F.get(ordered, i - 1)["d"]))
+
+    # The one-element array binds the sorted entries, so that they are sorted once per row.
+    bound = F.transform(F.array(F.sort_array(candidates)), first_of_distance)
+    return F.slice(F.get(bound, F.lit(0)), 1, k)
 
 
 def majority(classes: Column) -> Column:
     """Most frequent element of an array; the least one wins a tie."""
     votes = F.transform(
-        F.array_sort(F.array_distinct(classes)),
+        F.array_distinct(classes),
         lambda c: F.struct(F.size(F.filter(classes, lambda x: x == c)).alias("votes"), (-c).alias("least")),
     )
     return -F.array_max(votes)["least"]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions.columns import drop_first, fields, hash_bucket, type_code
+from emberline.session import cut_lineage, shuffle_width
 
 # The columns of a prepared transaction, in field order.
 PREPARED = (
@@ -60,6 +61,11 @@ def count_malformed(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count_if(~_is_well_formed(fields(F.col("value")))).alias("malformed"))
 
 
+def kept_for_training(df: DataFrame, key: str) -> DataFrame:
+    """The rows spread evenly by a unique key and stored once, for the many passes of training."""
+    return cut_lineage(df.repartition(shuffle_width(df.sparkSession), key))
+
+
 def assemble_features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 

@@ -36,6 +36,7 @@ from emberline.operators.skew import copy_to_parts, hot_from_counts, hot_keys, s
 from emberline.operators.topk import k_smallest_in_array, majority
 
 ROWS_PER_TASK = 250_000
+TYPES_PER_LIST = 500
 FEATURES = ("type", "user", "amount")
 
 
@@ -71,7 +72,7 @@ def _two_least(rows: DataFrame, same: str, other: str) -> DataFrame:
 
 
 def _answers(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    listed = F.array_sort(F.collect_list(F.struct("cls", "type", "user")))
+    listed = F.sort_array(F.collect_list(F.struct("cls", "type", "user")))
     return rows.groupBy(*keys, "amount").agg(listed.alias("answers"))
 
 
@@ -91,17 +92,29 @@ def _five_least(answers: Column) -> Column:
     return F.filter(kept, lambda e: e.isNotNull())
 
 
-def train_tables(train: DataFrame) -> dict[Kind, DataFrame]:
-    """Per kind, one row for each group and amount: `(same columns, amount, answers)`."""
+def _least_of_all(of_type: DataFrame, types: int) -> DataFrame:
+    """Per amount, the five entries. With very many types they are found among slots of types first."""
+    slots = -(-types // TYPES_PER_LIST)
+    if slots > 1:
+        slot = F.pmod(F.xxhash64("type"), F.lit(slots))
+        lists = _answers(of_type.withColumn("slot", slot), ["slot"])
+        of_type = lists.select("amount", F.inline(_five_least(F.col("answers"))))
+    return _answers(of_type, []).withColumn("answers", _five_least(F.col("answers")))
+
+
+def train_tables(train: DataFrame, types: int) -> dict[Kind, DataFrame]:
+    """Per kind, one row for each group and amount: `(same columns, amount, answers)`.
+
+    `types` is about the number of distinct types.
+    """
     rows = _prepared(train, "cls").where("cls is not null").groupBy(*FEATURES).agg(F.min("cls").alias("cls"))
     both, by_type, by_user, every = KINDS
     of_type = _two_least(rows, "type", "user")
-    of_all = _answers(of_type, []).withColumn("answers", _five_least(F.col("answers")))
     return {
         both: rows.select(*FEATURES, F.array(F.struct("cls", "type", "user")).alias("answers")),
         by_type: _answers(of_type, ["type"]),
         by_user: _answers(_two_least(rows, "user", "type"), ["user"]),
-        every: of_all,
+        every: _least_of_all(of_type, types),
     }
 
 
@@ -201,9 +214,10 @@ def knn_neighbours(
     `train` has `type, user, amount, cls`; `test` has a unique `id` and `type, user, amount`.
     With `prune`, each task keeps the k nearest of a kind before the rows of one id are brought together.
     """
-    tables = train_tables(train)
-    queries = _prepared(test, "id").where("amount is not null")
-    rows = train.count() + test.count()
+    train_rows, types = train.agg(F.count(F.lit(1)), F.approx_count_distinct("type")).first()
+    rows = train_rows + test.count()
+    tables = train_tables(train, types)
+    queries = _prepared(test, "id")
     edges: list[float] = []
     if rows > rows_per_task:
         amounts = tables[KINDS[0]].select("amount").unionByName(queries.select("amount"))

@@ -67,6 +67,12 @@ def test_many_types_and_users_at_one_amount(spark):
     assert run(spark, train, test, 6, rows_per_task=10) == brute_force(train, test, 6)
 
 
+def test_more_types_than_one_list_takes(spark, monkeypatch):
+    monkeypatch.setattr(knn, "TYPES_PER_LIST", 2)
+    train, test = sample(10, 120, 30, 1.0, 0.2, users=4, types=9, span=4)
+    assert run(spark, train, test, 5) == brute_force(train, test, 5)
+
+
 def test_hot_user_hides_the_other_users(spark):
     train = [("a", float(i), "hub", 1) for i in range(30)] + [("a", 100.0, "other", 0), ("b", 50.0, "hub", 2)]
     test = [(1, "a", 10.0, "hub"), (2, "a", 10.0, "nobody"), (3, "c", 99.0, "other"), (4, "b", 29.0, "hub")]
