@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from emberline.functions.columns import gap
 from emberline.operators.ranges import quantile_edges, with_bucket
-from emberline.operators.skew import copy_to_parts, hot_from_counts, hot_keys, spread
+from emberline.operators.skew import copy_to_parts, hot_from_counts, spread
 from emberline.operators.topk import k_smallest_in_array, majority
+from emberline.session import cut_lineage
 
 ROWS_PER_TASK = 250_000
 TYPES_PER_LIST = 500
@@ -51,6 +52,10 @@ class Kind:
     def differs(self) -> tuple[str, ...]:
         return tuple(c for c in ("type", "user") if c not in self.same)
 
+    @property
+    def level(self) -> int:
+        return 2 * ("type" in self.differs) + ("user" in self.differs)
+
     def reach(self, k: int) -> int:
         return self.distances_per_amount * (k - 1) + 1
 
@@ -102,12 +107,17 @@ def _least_of_all(of_type: DataFrame, types: int) -> DataFrame:
     return _answers(of_type, []).withColumn("answers", _five_least(F.col("answers")))
 
 
-def train_tables(train: DataFrame, types: int) -> dict[Kind, DataFrame]:
+def distinct_rows(train: DataFrame) -> DataFrame:
+    """One row `(type, user, amount, cls)` per distinct features, with the least class."""
+    known = _prepared(train, "cls").where("cls is not null")
+    return known.groupBy(*FEATURES).agg(F.min("cls").alias("cls"))
+
+
+def train_tables(rows: DataFrame, types: int) -> dict[Kind, DataFrame]:
     """Per kind, one row for each group and amount: `(same columns, amount, answers)`.
 
-    `types` is about the number of distinct types.
+    `types` is about the number of distinct types in the distinct `rows`.
     """
-    rows = _prepared(train, "cls").where("cls is not null").groupBy(*FEATURES).agg(F.min("cls").alias("cls"))
     both, by_type, by_user, every = KINDS
     of_type = _two_least(rows, "type", "user")
     return {
@@ -118,23 +128,48 @@ def train_tables(train: DataFrame, types: int) -> dict[Kind, DataFrame]:
     }
 
 
-def _bucketed(train: DataFrame, test: DataFrame, keys: list[str], edges: list[float], rows_per_task: int):
-    """Add `bucket` to both sides: an amount range in groups too large for one task, -1 in the others."""
-    whole = F.lit(-1)
-    if edges and not keys:
-        return with_bucket(train, "amount", edges), with_bucket(test, "amount", edges)
-    large = None
-    if edges:
-        sizes = train.select(*keys).unionByName(test.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
-        large = hot_from_counts(sizes, keys, "size", rows_per_task)
-    if large is None:
-        return train.withColumn("bucket", whole), test.withColumn("bucket", whole)
-
-    def cut(df: DataFrame) -> DataFrame:
-        df = with_bucket(df.join(large, keys, "left"), "amount", edges)
-        return df.withColumn("bucket", F.when(F.col("parts").isNull(), whole).otherwise(F.col("bucket"))).drop("parts")
-
-    return cut(train), cut(test)
+@dataclass(frozen=True)
+class Ranges:
+    """Where groups too large for one task are cut by amount, measured once for all kinds."""
+
+    edges: list[float]
+    large: DataFrame | None
+    """Groups `(type, user, level)` over the limit; a column outside the group is null."""
+    crowded: DataFrame | None
+    """Buckets `(type, user, bucket, level)` whose test rows alone are over the limit, with their parts."""
+
+    @classmethod
+    def measure(cls, rows: DataFrame, queries: DataFrame, count: int, rows_per_task: int) -> Ranges:
+        if count <= rows_per_task:
+            return cls([], None, None)
+        level = (F.grouping("type") * 2 + F.grouping("user")).alias("level")
+        size = F.count(F.lit(1)).alias("size")
+        together = rows.select(*FEATURES).unionByName(queries.select(*FEATURES))
+        edges = quantile_edges(together, "amount", rows_per_task, count)
+        names = ["type", "user"]
+        sets = [["type", "user"], ["type"], ["user"], []]
+        groups = together.groupingSets(sets[:3], *names).agg(size, level)
+        large = hot_from_counts(groups, [*names, "level"], "size", rows_per_task)
+        placed = with_bucket(queries, "amount", edges)
+        places = placed.groupingSets([[*s, "bucket"] for s in sets], *names, "bucket").agg(size, level)
+        return cls(edges, large, hot_from_counts(places, [*names, "bucket", "level"], "size", rows_per_task))
+
+    def bucketed(self, df: DataFrame, kind: Kind) -> DataFrame:
+        """Add `bucket`: the amount range in a group over the limit, -1 in the others."""
+        whole = F.lit(-1)
+        if self.edges and not kind.same:
+            return with_bucket(df, "amount", self.edges)
+        if self.large is None:
+            return df.withColumn("bucket", whole)
+        cut = with_bucket(df.join(_of_kind(self.large, kind), list(kind.same), "left"), "amount", self.edges)
+        return cut.withColumn("bucket", F.when(F.col("parts").isNull(), whole).otherwise(F.col("bucket"))).drop("parts")
+
+    def parts(self, kind: Kind) -> DataFrame | None:
+        return None if self.crowded is None else _of_kind(self.crowded, kind, "bucket")
+
+
+def _of_kind(groups: DataFrame, kind: Kind, *more: str) -> DataFrame:
+    return groups.where(F.col("level") == kind.level).select(*kind.same, *more, "parts")
 
 
 def _carried(train: DataFrame, test: DataFrame, keys: list[str], reach: int) -> DataFrame:
@@ -162,15 +197,14 @@ def _carried(train: DataFrame, test: DataFrame, keys: list[str], reach: int) ->
     return seen.select(*place, F.inline(F.concat(below, above)))
 
 
-def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, edges: list[float], rows_per_task: int) -> DataFrame:
+def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, ranges: Ranges) -> DataFrame:
     """Per test row, the distances and classes of the nearest train rows of one kind: `(id, near)`."""
     keys, reach = list(kind.same), kind.reach(k)
-    train, test = _bucketed(train, test, keys, edges, rows_per_task)
     place = [*keys, "bucket"]
-    crowded = None
-    if edges:
+    train, test = ranges.bucketed(train, kind), ranges.bucketed(test, kind)
+    if ranges.edges and (ranges.large is not None or not keys):
         train = train.unionByName(_carried(train, test, keys, reach))
-        crowded = hot_keys(test, place, rows_per_task)
+    crowded = ranges.parts(kind)
     train = copy_to_parts(train, place, crowded)
     test = spread(test, place, crowded, ["id"])
 
@@ -214,17 +248,14 @@ def knn_neighbours(
     `train` has `type, user, amount, cls`; `test` has a unique `id` and `type, user, amount`.
     With `prune`, each task keeps the k nearest of a kind before the rows of one id are brought together.
     """
-    train_rows, types = train.agg(F.count(F.lit(1)), F.approx_count_distinct("type")).first()
-    rows = train_rows + test.count()
-    tables = train_tables(train, types)
-    queries = _prepared(test, "id")
-    edges: list[float] = []
-    if rows > rows_per_task:
-        amounts = tables[KINDS[0]].select("amount").unionByName(queries.select("amount"))
-        edges = quantile_edges(amounts, "amount", rows_per_task, rows)
+    rows = cut_lineage(distinct_rows(train))
+    queries = cut_lineage(_prepared(test, "id"))
+    n_rows, types = rows.agg(F.count(F.lit(1)), F.approx_count_distinct("type")).first()
+    ranges = Ranges.measure(rows, queries, n_rows + queries.count(), rows_per_task)
+    tables = train_tables(rows, types)
     parts = None
     for kind in KINDS:
-        found = _candidates(tables[kind], queries, kind, k, edges, rows_per_task)
+        found = _candidates(tables[kind], queries, kind, k, ranges)
         if prune:
             found = found.withColumn("near", k_smallest_in_array(F.col("near"), k))
         parts = found if parts is None else parts.unionByName(found)

@@ -45,21 +45,19 @@ def sample(seed, n_train, n_test, step, hot=0.0, users=6, types=3, span=40):
 
 
 @pytest.mark.parametrize(
-    ("seed", "step", "hot", "k", "rows_per_task"),
+    ("seed", "step", "hot", "k", "rows_per_task", "prune"),
     [
-        (1, 1.0, 0.0, 3, 10**6),
-        (2, 0.25, 0.3, 3, 15),
-        (3, 0.5, 0.5, 1, 10),
-        (4, 1.0, 0.3, 5, 12),
-        (5, 3.7, 0.0, 2, 8),
-        (6, 0.01, 0.3, 4, 20),
+        (1, 1.0, 0.0, 3, 10**6, True),
+        (2, 0.25, 0.3, 3, 15, True),
+        (3, 0.5, 0.5, 1, 10, False),
+        (4, 1.0, 0.3, 5, 12, True),
+        (5, 3.7, 0.0, 2, 8, False),
+        (6, 0.01, 0.3, 4, 20, True),
     ],
 )
-def test_neighbours_equal_brute_force(spark, seed, step, hot, k, rows_per_task):
+def test_neighbours_equal_brute_force(spark, seed, step, hot, k, rows_per_task, prune):
     train, test = sample(seed, 90, 40, step, hot)
-    expected = brute_force(train, test, k)
-    assert run(spark, train, test, k, rows_per_task=rows_per_task) == expected
-    assert run(spark, train, test, k, rows_per_task=rows_per_task, prune=False) == expected
+    assert run(spark, train, test, k, rows_per_task=rows_per_task, prune=prune) == brute_force(train, test, k)
 
 
 def test_many_types_and_users_at_one_amount(spark):
