@@ -403,7 +403,7 @@ def listed(neighbours: DataFrame) -> DataFrame:
 
 
 @query(
-    """select o_custkey, round(d, 6) d, cls, place from (
+    """select o_custkey, round(d, 6) d, cls, place::int place from (
         select o_custkey, d, min(cls) cls, row_number() over (partition by o_custkey order by d) place
         from (select o_custkey, o_totalprice d, (o_orderstatus = 'F')::int cls from orders) group by 1, 2) where place <= 3"""
 )

@@ -96,7 +96,7 @@ def kmeans_1d(
     try:
         centroids = initial_centroids(values, k, init, "x")
         while centroids and len(errors) < max_rounds:
-            stats = step(values, centroids, "x", "weight").orderBy("old_centroid").collect()
+            stats = sorted(step(values, centroids, "x", "weight").collect(), key=lambda r: r.old_centroid)
             number = len(errors) + 1
             rows += [(number, r.old_centroid, r.centroid, r.n, r.abs_error, r.sse) for r in stats]
             centroids = sorted({r.centroid for r in stats})
