@@ -28,9 +28,12 @@ def initial_centroids(points: DataFrame, k: int, init: str = "max_minus", column
 
 
 def nearest(centroids: list[float], x: Column) -> Column:
-    """The centroid closest to x; the lower one on a tie."""
-    distance = [F.struct(F.abs(x - F.lit(c)).alias("gap"), F.lit(c).alias("centroid")) for c in centroids]
-    return F.array_min(F.array(*distance))["centroid"]
+    """The centroid closest to x; the lower one on a tie.
+
+    The centroids are one array constant, so that every round runs the same compiled code.
+    """
+    gaps = F.transform(F.lit(centroids), lambda c: F.struct(F.abs(x - c).alias("gap"), c.alias("centroid")))
+    return F.array_min(gaps)["centroid"]
 
 
 def assign(points: DataFrame, centroids: list[float], column: str = "x") -> DataFrame:

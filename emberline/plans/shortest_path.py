@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberline.operators.aggregates import min_by_key
 from emberline.operators.skew import ROWS_PER_TASK
 from emberline.plans.graph_layout import EdgeLayout
 from emberline.session import cut_lineage
@@ -33,8 +34,9 @@ def sssp(
         rounds = 0
         while max_rounds is None or rounds < max_rounds:
             rounds += 1
-            met = layout.follow(frontier.select(F.col("v").alias("src"))).select(F.col("dst").alias("v")).distinct()
-            fresh = met.join(reached, "v", "left_anti").withColumn("dist", F.lit(rounds))
+            sent = layout.follow(frontier.withColumnRenamed("v", "src"))
+            met = min_by_key(sent.select(F.col("dst").alias("v"), (F.col("dist") + 1).alias("dist")), "v", "dist")
+            fresh = met.join(reached, "v", "left_anti")
             frontier = cut_lineage(fresh)
             if frontier.isEmpty():
                 break
