@@ -25,7 +25,7 @@ def quantile_edges(
     if buckets < 2:
         return []
     shares = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.stat.approxQuantile(column, shares, 0.2 / buckets)))
+    return sorted(set(df.stat.approxQuantile(column, shares, 0.5 / buckets)))
 
 
 def with_bucket(df: DataFrame, column: str, edges: Sequence[float], out: str = "bucket") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.operators.ranges import ROWS_PER_BUCKET, running_totals
+from emberline.session import cut_lineage
 
 
 def confusion_matrix(results: DataFrame, actual: str = "actual", pred: str = "pred") -> DataFrame:
@@ -34,7 +35,7 @@ def roc_auc(scores: DataFrame, score: str = "score", label: str = "label", rows_
     merged = scores.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    ranked = running_totals(merged, "score", {"neg_below": F.col("neg")}, rows_per_bucket)
+    ranked = running_totals(cut_lineage(merged), "score", {"neg_below": F.col("neg")}, rows_per_bucket)
     won = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg(F.when(pairs > 0, won / pairs).alias("auc"))

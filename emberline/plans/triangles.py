@@ -33,7 +33,7 @@ def path2(
     edges: DataFrame, max_id: int | None = None, distinct_edges: bool = False, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Ends of all length-2 paths with distinct ends, and how many paths join them: `(src, dst, n_paths)`."""
-    counted = weighted_edges(bounded(edges, max_id, distinct_edges))
+    counted = cut_lineage(weighted_edges(bounded(edges, max_id, distinct_edges)))
     into = counted.select("src", F.col("dst").alias("mid"), F.col("n").alias("n_in"))
     out = counted.select(F.col("src").alias("mid"), "dst", F.col("n").alias("n_out"))
     paths = grid_join(into, out, "mid", ["src"], ["dst"], rows_per_task).where(F.col("src") != F.col("dst"))
@@ -88,7 +88,7 @@ def oriented_pairs(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
     `fwd` counts x->y, `back` counts y->x, `loops` the self-loops on both ends. A pair with an end that
     edges never leave or never enter cannot close a path and is left out.
     """
-    pairs = vertex_pairs(edges)
+    pairs = cut_lineage(vertex_pairs(edges))
     table = cut_lineage(vertex_table(pairs))
     hot = hot_from_counts(table, ["id"], "deg", rows_per_task)
     useful = table.where("leaves and enters").select("id", "deg", "loops")
