@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.catalog import inputs, sql
-from emberline.functions.columns import record_line
+from emberline.functions.columns import gap, mismatch, record_line
 from emberline.operators import aggregates, edges, ranges, topk
 from emberline.plans import features, kmeans, knn, metrics, pagerank, shortest_path, trees, triangles
 from emberline.sources import graphs, text
@@ -140,6 +140,18 @@ def union_all(spark, folder):
     return edges.union_all(inputs.supply_edges(spark, folder), inputs.order_edges(spark, folder))
 
 
+@query(
+    """select l_orderkey, l_linenumber,
+    round((l_returnflag <> l_linestatus)::int::double + abs(l_extendedprice - l_quantity) + (l_partkey <> l_suppkey)::int::double, 6) d
+    from lineitem"""
+)
+def record_distance(spark, folder):
+    """The distance of two records, here of two sets of columns of each line item."""
+    kind, amount = mismatch(F.col("l_returnflag"), F.col("l_linestatus")), gap(F.col("l_extendedprice"), F.col("l_quantity"))
+    d = kind + amount + mismatch(F.col("l_partkey"), F.col("l_suppkey"))
+    return inputs.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.round(d, 6).alias("d"))
+
+
 RELAXED = f"""{inputs.ORDER_EDGES},
 relaxed as (
     select dst v, c_nationkey + 1 dist from ordered join customer on c_custkey = src

@@ -18,24 +18,19 @@ def k_smallest(pairs: DataFrame, k: int) -> DataFrame:
     return merged.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
 
 
-def k_smallest_in_array(candidates: Column, k: int) -> Column:
-    """The same for an array of `(d, cls)` entries held in one row."""
+def k_smallest_in_array(column: str, k: int) -> Column:
+    """The same for a column that holds an array of `(d, cls)` entries.
 
-    def first_of_distance(ordered: Column) -> Column:
-        return F.filter(ordered, lambda entry, i: (i == 0) | (entry["d"] != F.get(ordered, i - 1)["d"]))
-
-    # The one-element array binds the sorted entries, so that they are sorted once per row.
-    bound = F.transform(F.array(F.sort_array(candidates)), first_of_distance)
-    return F.slice(F.get(bound, F.lit(0)), 1, k)
+    The one-element array binds the sorted entries, so that they are sorted once per row.
+    """
+    first_of_distance = "filter(o, (e, i) -> i = 0 or e.d <> get(o, i - 1).d)"
+    return F.expr(f"slice(transform(array(sort_array({column})), o -> {first_of_distance})[0], 1, {k})")
 
 
-def majority(classes: Column) -> Column:
-    """Most frequent element of an array; the least one wins a tie."""
-    votes = F.transform(
-        F.array_distinct(classes),
-        lambda c: F.struct(F.size(F.filter(classes, lambda x: x == c)).alias("votes"), (-c).alias("least")),
-    )
-    return -F.array_max(votes)["least"]
+def majority(column: str) -> Column:
+    """Most frequent element of an array of numbers; the least one wins a tie."""
+    votes = f"transform(array_distinct({column}), c -> struct(size(filter({column}, x -> x = c)) as votes, -c as least))"
+    return F.expr(f"-array_max({votes}).least")
 
 
 def majority_vote(votes: DataFrame) -> DataFrame:

@@ -30,7 +30,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.columns import gap
 from emberline.operators.ranges import quantile_edges, with_bucket
 from emberline.operators.skew import copy_to_parts, hot_from_counts, spread
 from emberline.operators.topk import k_smallest_in_array, majority
@@ -223,21 +222,12 @@ def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, ranges: R
     near = [f"{f}(entry, {i}) ignore nulls {over}" for f in ("lag", "lead") for i in range(1, reach + 1)]
     found = rows.withColumn("found", F.expr(f"array({', '.join(near)})")).where("side = 1")
 
-    def distance(e: Column) -> Column:
-        fits = F.filter(e["answers"], lambda a: _differs(a, kind))
-        d = F.lit(1.0 if "type" in kind.differs else 0.0) + gap(F.col("amount"), e["amount"]) + F.lit(1.0 if "user" in kind.differs else 0.0)
-        return F.struct(d.alias("d"), F.array_min(F.transform(fits, lambda a: a["cls"])).alias("cls"))
-
-    present = F.filter("found", lambda e: e.isNotNull())
-    measured = F.filter(F.transform(present, distance), lambda e: e["cls"].isNotNull())
-    return found.select("id", measured.alias("near"))
-
-
-def _differs(answer: Column, kind: Kind) -> Column:
-    condition = F.lit(True)
-    for c in kind.differs:
-        condition = condition & (answer[c] != F.col(c))
-    return condition
+    fits = " and ".join(["true", *[f"a.`{c}` <> `{c}`" for c in kind.differs]])
+    least = f"array_min(transform(filter(e.answers, a -> {fits}), a -> a.cls))"
+    apart = {c: "1.0D" if c in kind.differs else "0.0D" for c in ("type", "user")}
+    distance = f"{apart['type']} + abs(amount - e.amount) + {apart['user']}"
+    measured = f"transform(filter(found, e -> e is not null), e -> struct({distance} as d, {least} as cls))"
+    return found.select("id", F.expr(f"filter({measured}, e -> e.cls is not null)").alias("near"))
 
 
 def knn_neighbours(
@@ -257,16 +247,16 @@ def knn_neighbours(
     for kind in KINDS:
         found = _candidates(tables[kind], queries, kind, k, ranges)
         if prune:
-            found = found.withColumn("near", k_smallest_in_array(F.col("near"), k))
+            found = found.withColumn("near", k_smallest_in_array("near", k))
         parts = found if parts is None else parts.unionByName(found)
     merged = parts.groupBy("id").agg(F.flatten(F.collect_list("near")).alias("near"))  # four lists per id
-    nearest = merged.select("id", k_smallest_in_array(F.col("near"), k).alias("neighbours"))
+    nearest = merged.select("id", k_smallest_in_array("near", k).alias("neighbours"))
     return nearest.where(F.size("neighbours") > 0)
 
 
 def classify(neighbours: DataFrame) -> DataFrame:
     """Majority class of the neighbours, the least class on a tie: `(id, pred)`."""
-    return neighbours.select("id", majority(F.col("neighbours.cls")).alias("pred"))
+    return neighbours.select("id", majority("neighbours.cls").alias("pred"))
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

@@ -82,6 +82,13 @@ def test_chain_ranks(spark):
         chain_graph(spark, 1)
 
 
+def test_rounds_are_written_on_request(spark, edges, tmp_path):
+    pagerank.pagerank(edges([(1, 2), (2, 1)]), rounds=2, snapshots=str(tmp_path / "ranks"))
+    found = kmeans.kmeans_1d(points(spark, [1, 2, 50, 60]), 2, "even", snapshots=str(tmp_path / "clusters"))
+    assert spark.read.parquet(str(tmp_path / "ranks")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "clusters")).select("iter").distinct().count() == len(found.errors)
+
+
 def test_pagerank_without_edges(edges):
     assert pagerank.pagerank(edges([])).ranks.count() == 0
 
