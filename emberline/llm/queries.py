@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import source_mix
+from emberline.llm import piece_bpe, source_mix, token_counts
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,32 @@ def query(name: str):
     return add
 
 
+def piece_model() -> str:
+    """The model file of the contracts, found where the tokenizers' package is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op2_piece_bpe")
+def op2_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_bpe.encode_pieces(table(spark, sf_dir, "documents"), piece_model())
+    decoded = piece_bpe.decode_pieces(encoded, piece_model())
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), piece_model())
+    n_tokens = token_counts.tokens_in()
+    return counted.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > 4096).alias("over_limit"))
+
+
 @query("op6_source_mix")
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix_sources(table(spark, sf_dir, "documents"))
