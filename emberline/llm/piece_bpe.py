@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 MARK = "▁"
@@ -271,7 +272,7 @@ class WordTable:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.size, self.values = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.size, self.values = np.zeros(0, np.int64), np.zeros(0)
 
     def look_up(self, words: list[str]) -> np.ndarray:
         """Row numbers of the words; words not met before are solved together."""
@@ -282,7 +283,8 @@ class WordTable:
         if missing:
             size, values = self.solve([MARK + w for w in missing])
             self.index.update(zip(missing, range(len(self.index), len(self.index) + len(missing)), strict=True))
-            self.size, self.values = np.concatenate([self.size, size]), np.concatenate([self.values, values])
+            self.size = np.concatenate([self.size, size])
+            self.values = np.concatenate([self.values, values]) if len(self.values) else values
             self.start = np.cumsum(self.size) - self.size
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
@@ -302,7 +304,7 @@ def encoded_words(path: str) -> WordTable:
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a slice holds about `SLICE_BYTES` of text, or one row."""
     texts = batch.column(column)
-    size = np.nan_to_num(np.asarray(pa.compute.binary_length(texts).to_pandas(), float))
+    size = np.nan_to_num(np.asarray(pc.binary_length(texts).to_pandas(), float))
     part = (np.cumsum(size) // SLICE_BYTES).astype(np.int64)
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
     for lo, hi in zip(edges, edges[1:], strict=False):

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import piece_bpe, source_mix, token_counts
+from emberline.llm import kneser_ney, nbsvm, piece_bpe, source_mix, token_counts
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,36 @@ copies as (
 select doc_id, size, source_size, target, sum(greatest(floor(least((start + size)::double, target)) - start, 0))::bigint as taken
 from copies group by doc_id, size, source_size, target
 """
+
+
+def fold(parts: int) -> Column:
+    """Remainder of the CRC of the id as text; null ids count as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """`(doc_id, text, label)` of the documents that `labels` marks."""
+    marks = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
+    return docs.select("doc_id", "text").join(marks, "doc_id")
+
+
+def judged(scores: DataFrame, held_out: Column) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    known = labelled_rows(docs, labels, "quality").where(fold(3) != 1)
+    return nbsvm.score(docs, nbsvm.fit(known))
+
+
+@query("op9_nbsvm_quality")
+def op9_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged(scores, fold(3) == 1)
+
+
+@query("op10_kneser_ney_toxicity")
+def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic").where(fold(5) != 0)
+    return judged(kneser_ney.score(docs, kneser_ney.fit(known, docs)), fold(5) == 0)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import WORD, ranked, stored, text_of
 
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 10_000
 
 
 def word_count(text: Column) -> Column:
