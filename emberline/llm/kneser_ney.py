@@ -1,12 +1,14 @@
 """Toxicity by two class-conditional Kneser-Ney models over shared backoff counts.
 
-A text is its lower-cased words, a word its characters between a begin and an end mark. Each class has counts
-of character n-grams of the orders `OWN` (the longest counts occurrences, the shorter ones the distinct characters
-seen in front) from a bounded sample of the labelled rows. What a class has not seen it takes from shared
-counts of the orders `SHARED`: in how many distinct words of the whole corpus an n-gram occurs. Rare
-expressions so get nearly the same probability from both classes. The score is the difference of the two
-log-likelihoods divided by the number of words, put through a logistic curve fitted on sample rows that the
-models did not see.
+Expressions are the lower-cased words of a text and their stems (the first `STEM` characters). As Kneser-Ney
+counts do, an expression counts once per context it occurs in; the context is the document. Each class has
+discounted counts from a bounded sample of the labelled rows; a word backs off to its stem, and a stem to the
+shared counts, which come from all documents of the corpus. Class 1 is discounted by a small share of its
+documents, class 0 so that both give the same mass to their backoff: an expression that is rare in both then
+has the same probability in both, whatever the sizes of the classes. A toxic text also says ordinary things, so
+a word that the ordinary model explains better gets that likelihood from both. The score is the difference
+of the log-likelihoods divided by the number of words, put through a logistic curve fitted on sample rows that
+the models did not see.
 """
 
 from __future__ import annotations
@@ -23,202 +25,139 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import stored
 from emberline.llm.nbsvm import logistic
-from emberline.llm.piece_bpe import PairMap, WordTable, slices
+from emberline.llm.piece_bpe import WordTable, slices
 
-OWN = (4, 5, 6)
-SHARED = (1, 2, 3)
+STEM = 4
+OWN_WEIGHT = 0.1  # of a class's own counts; the rest of its mass goes to the backoff
+CUT_SHARE = 0.01  # discount of class 1, as a share of its sampled documents; 2 at least
 SAMPLE_ROWS = 12_000
-PAD, END = "\x02", "\x03"
+HELD_WORDS = 300_000
 _WORDS = re.compile(r"\w+")
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_in(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
-def spell(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Characters of the words, each with its marks, laid end to end; and where a predicted character stands."""
-    front = OWN[-1] - 1
-    flat = np.frombuffer("".join(PAD * front + w + END for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    start = np.cumsum(size + front) - size
-    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    return flat, at
+def expressions(words: list[str]) -> set[str]:
+    """A document's distinct words, and its distinct stems marked by a star."""
+    found = set(words)
+    return found | {w[:STEM] + "*" for w in found}
 
 
-def keys(flat: np.ndarray, at: np.ndarray, first: int, last: int) -> np.ndarray:
-    """One 63-bit key for the characters from `first` to `last` places before each position; 0 is the position itself."""
-    code = np.full(len(at), first - last + 1, np.uint64)
-    for back in range(first, last - 1, -1):
-        code = (code ^ flat[at - back]) * _MULTIPLIER
-        code ^= code >> np.uint64(29)
-    return (code >> np.uint64(1)).astype(np.int64)
+def document_counts(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """`(*by, item, n)`: in how many rows of `text` each expression occurs, over whole texts."""
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, Counter] = {}
+        kinds = 0
 
-def type_counts(words: list[str]) -> pd.DataFrame:
-    """`(size, ctx, gram, n)`: occurrences of each shared n-gram in a list of distinct words."""
-    flat, at = spell(words)
-    frames = []
-    for size in SHARED:
-        gram = keys(flat, at, size - 1, 0)
-        ctx = keys(flat, at, size - 1, 1) if size > 1 else np.zeros(len(at), np.int64)
-        found, first, n = np.unique(gram, return_index=True, return_counts=True)
-        frames.append(pd.DataFrame({"size": np.int32(size), "ctx": ctx[first], "gram": found, "n": n}))
-    return pd.concat(frames)
+        def flush():
+            for key, counts in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k] * len(counts), pa.int32()) for k in key] + [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                    [*by, "item", "n"],
+                )
+            held.clear()
 
-
-def shared_counts(docs: DataFrame) -> DataFrame:
-    """`(size, ctx, gram, n)`: in how many distinct words of all texts each n-gram occurs, repeats in a word counted."""
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                fresh = set(w for t in part.column("text").to_pylist() for w in words_in(t)).difference(seen)
-                if len(seen) > 500_000:  # only spares repeats; the distinct below is what counts
-                    seen.clear()
-                seen.update(fresh)
-                yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.string())], ["word"])
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            if len(frame):
-                yield type_counts(frame["word"].tolist())
-
-    words = docs.select("text").mapInArrow(distinct, "word string").distinct()
-    return words.mapInPandas(counted, "size int, ctx bigint, gram bigint, n bigint").groupBy("size", "ctx", "gram").agg(F.sum("n").alias("n"))
-
-
-def discount(n: np.ndarray) -> float:
-    once, twice = int((n == 1).sum()), int((n == 2).sum())
-    return once / (once + 2 * twice) if once and twice else 0.75
-
-
-class Counts:
-    """Discounted counts of one order: `mix(p)` blends them with the probability of the shorter n-gram."""
-
-    def __init__(self, gram: np.ndarray, ctx: np.ndarray, n: np.ndarray, cut: float, totals=None):
-        self.cut = cut
-        self.grams = PairMap(max(4, int(np.ceil(np.log2(2 * len(gram) + 2)))))
-        self.grams.put(gram, np.arange(len(gram), dtype=np.int32))
-        self.n = n.astype(np.float64)
-        if totals is None:
-            found, owner = np.unique(ctx, return_inverse=True)
-            totals = (found, np.bincount(owner, n, len(found)), np.bincount(owner, minlength=len(found)))
-        found, self.total, kinds = totals
-        self.open = cut * kinds
-        self.contexts = PairMap(max(4, int(np.ceil(np.log2(2 * len(found) + 2)))))
-        self.contexts.put(found, np.arange(len(found), dtype=np.int32))
-
-    def mix(self, gram: np.ndarray, ctx: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        g, c = self.grams.get(gram), self.contexts.get(ctx)
-        have = np.where(g >= 0, np.maximum(self.n[g] - self.cut, 0.0), 0.0) if len(self.n) else np.zeros(len(gram))
-        if not len(self.total):
-            return lower
-        return np.where(c >= 0, (have + self.open[c] * lower) / self.total[c], lower)
+                keys = list(zip(*(part.column(c).to_pylist() for c in by), strict=True)) if by else [()] * part.num_rows
+                for key, text in zip(keys, part.column("text").to_pylist(), strict=True):
+                    held.setdefault(key, Counter()).update(expressions(words_in(text)))
+                kinds = sum(map(len, held.values()))
+                if kinds > HELD_WORDS:  # partial counts; the aggregate adds them up
+                    yield from flush()
+        yield from flush()
+
+    schema = "".join(f"{c} int, " for c in by) + "item string, n bigint"
+    return rows.select(*by, "text").mapInArrow(counted, schema).groupBy(*by, "item").agg(F.sum("n").alias("n"))
+
+
+def levels(counts: list[np.ndarray], cut: float) -> list[tuple[float, float, float]]:
+    """`(total, discount, backoff mass)` of class 0 and 1; class 0's discount gives both the same backoff mass."""
+    total = [max(float(n.sum()), 1.0) for n in counts]
+    mass = float(np.minimum(counts[1], cut).sum()) / total[1] if len(counts[1]) else 1.0
+    low, high = 0.0, float(counts[0].max()) if len(counts[0]) else 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        if np.minimum(counts[0], middle).sum() < mass * total[0]:
+            low = middle
+        else:
+            high = middle
+    return [(total[0], high, mass), (total[1], cut, mass)]
 
 
 class TwoModels:
-    """The two class models; `solve` gives the log-likelihood difference of words."""
+    """The two class models; `solve` gives the log-likelihood differences of words."""
 
     def __init__(self, data: dict):
-        self.shared = [Counts(*data["shared", size]) for size in SHARED]
-        self.own = {label: [Counts(*data[label, size]) for size in OWN] for label in (0, 1)}
-        self.kinds = float(data["kinds"])
+        self.data = data
         self.slope, self.offset = data.get("curve", (1.0, 0.0))
 
+    def own(self, kind: str, item: str, label: int) -> float:
+        total, cut, _ = self.data[kind][label]
+        return OWN_WEIGHT * max(self.data["counts"][label].get(item, 0) - cut, 0.0) / total
+
+    def gain(self, word: str) -> float:
+        stem = word[:STEM] + "*"
+        share = self.data["shared"].get(stem, 1) / self.data["stems"]
+        inside = min(1.0, self.data["shared"].get(word, 1) / self.data["words"] / share)
+        p = []
+        for label in (0, 1):
+            of_stem = self.own("stem", stem, label) + (1 - OWN_WEIGHT * (1 - self.data["stem"][label][2])) * share
+            p.append(self.own("word", word, label) + (1 - OWN_WEIGHT * (1 - self.data["word"][label][2])) * of_stem * inside)
+        return max(np.log(p[1] / p[0]), 0.0)
+
     def solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, at = spell([w[1:] for w in words])
-        p = np.full(len(at), 1.0 / self.kinds)
-        for size, counts in zip(SHARED, self.shared, strict=True):
-            ctx = keys(flat, at, size - 1, 1) if size > 1 else np.zeros(len(at), np.int64)
-            p = counts.mix(keys(flat, at, size - 1, 0), ctx, p)
-        both = {0: p, 1: p}
-        for place, size in enumerate(OWN):
-            gram, ctx = keys(flat, at, size - 1, 0), keys(flat, at, size - 1, 1)
-            for label in (0, 1):
-                both[label] = self.own[label][place].mix(gram, ctx, both[label])
-        gain = np.log(both[1]) - np.log(both[0])
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        return np.ones(len(words), np.int64), np.add.reduceat(gain, np.cumsum(size) - size) if len(words) else gain
+        """For a `WordTable`, whose words carry a mark in front."""
+        return np.ones(len(words), np.int64), np.array([self.gain(w[1:]) for w in words])
 
     def margins(self, texts: list[str | None], words: WordTable) -> np.ndarray:
         """Log-likelihood difference per word of each text; 0 without words."""
         lists = [words_in(t) for t in texts]
         count = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = [w for one in lists for w in one]
-        rows = words.look_up(flat)
-        gain = words.values[rows]
-        total = np.concatenate([[0.0], np.cumsum(gain)])
+        rows = words.look_up([w for one in lists for w in one])
+        total = np.concatenate([[0.0], np.cumsum(words.values[rows])])
         end = np.cumsum(count)
         return (total[end] - total[end - count]) / np.maximum(count, 1)
 
 
-def class_counts(words: Counter, size_of=OWN) -> dict[int, tuple]:
-    """Counts of one class: occurrences for the longest order, distinct characters in front for the shorter ones."""
-    names = sorted(words)
-    times = np.array([words[w] for w in names], np.float64)
-    flat, at = spell(names) if names else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    of = np.repeat(np.arange(len(names)), [len(w) + 1 for w in names])
-    out = {}
-    for size in size_of:
-        gram, ctx = keys(flat, at, size - 1, 0), keys(flat, at, size - 1, 1)
-        found, first, owner = np.unique(gram, return_index=True, return_inverse=True)
-        if size == size_of[-1]:
-            n = np.bincount(owner, times[of], len(found))
-        else:
-            longer = np.unique(keys(flat, at, size, 0), return_index=True)[1]
-            n = np.bincount(owner[longer], minlength=len(found)).astype(float)
-        out[size] = (found, ctx[first], n, discount(n))
-    return out
-
-
 def fit(labelled: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
-    """Fit on `(doc_id, text, label)`, label 0 or 1, with shared counts from all of `docs`; the model as plain arrays.
+    """Fit on `(doc_id, text, label)`, label 0 or 1, with shared counts from all of `docs`; the model as plain data.
 
-    At most `rows` labelled rows take part, the first by a digest of the id. The word counts of the bounded
-    sample come to the driver, and of the shared counts those whose n-grams occur in the sample. One row in
-    five of the sample is kept from the counts for the logistic curve. Without rows of both classes the score is
-    the share of class 1.
+    At most `rows` labelled rows take part, the first by a digest of the id. Of the bounded sample's counts
+    those above the discounts come to the driver, and the shared counts of the same expressions. One row in five
+    of the sample is kept from the counts for the logistic curve. Without rows of both classes every text
+    scores the share of class 1.
     """
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     chosen = labelled.select("doc_id", "text", "label").where("label is not null").withColumn("digest", digest)
     sample = stored(chosen.orderBy("digest", "doc_id").limit(rows))
     held = F.pmod(F.conv(F.substring("digest", 1, 4), 16, 10).cast("int"), F.lit(5)) == 0
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for label, part in frame.groupby("label"):
-                words = Counter(w for t in part["text"] for w in words_in(t))
-                yield pd.DataFrame({"label": np.int32(label), "word": list(words), "n": list(words.values())})
-
-    counts = sample.where(~held).select("label", "text").mapInPandas(counted, "label int, word string, n bigint")
-    found = counts.groupBy("label", "word").agg(F.sum("n").alias("n")).toPandas()
-    data: dict = {}
-    known: set[str] = set()
+    seen = sample.where(~held).select("label", "text").dropDuplicates()
+    found = document_counts(seen, ("label",)).toPandas()
+    toxic = seen.where("label = 1").count()
+    cut = max(2.0, CUT_SHARE * toxic)
+    data: dict = {"counts": {}}
+    star = found["item"].str.endswith("*") if len(found) else pd.Series([], dtype=bool)
+    for kind, some in (("stem", found[star]), ("word", found[~star])):
+        data[kind] = levels([some.loc[some["label"] == label, "n"].to_numpy(float) for label in (0, 1)], cut)
     for label in (0, 1):
-        part = found[found["label"] == label]
-        words = Counter(dict(zip(part["word"], part["n"].astype(int), strict=True)))
-        known.update(words)
-        data |= {(label, size): value for size, value in class_counts(words).items()}
+        least = np.where(star, data["stem"][label][1], data["word"][label][1])
+        kept = found[(found["label"] == label) & (found["n"] > least)]
+        data["counts"][label] = dict(zip(kept["item"], kept["n"].astype(float), strict=True))
 
-    # Of the shared counts, the n-grams of the sample's words and their contexts are enough: what neither class knows cancels.
-    needed = type_counts(sorted(known)) if known else pd.DataFrame({"size": [], "ctx": [], "gram": []}).astype({"size": "int32", "ctx": "int64", "gram": "int64"})
+    # Shared counts of all documents; those of expressions without own counts cancel and stay where they are.
+    shared = stored(document_counts(docs))
     spark = docs.sparkSession
-    shared = stored(shared_counts(docs))
-    wanted = spark.createDataFrame(needed[["size", "ctx", "gram"]], "size int, ctx bigint, gram bigint")
-    grams = shared.join(F.broadcast(wanted.select("size", "gram")), ["size", "gram"], "left_semi").toPandas()
-    contexts = shared.groupBy("size", "ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    contexts = contexts.join(F.broadcast(wanted.select("size", "ctx").distinct()), ["size", "ctx"], "left_semi").toPandas()
-    few = {r["size"]: r for r in shared.groupBy("size").agg(F.sum((F.col("n") == 1).cast("int")).alias("once"), F.sum((F.col("n") == 2).cast("int")).alias("twice"), F.count(F.lit(1)).alias("kinds")).collect()}
-    for size in SHARED:
-        g, c = grams[grams["size"] == size], contexts[contexts["size"] == size]
-        once, twice = (few[size].once, few[size].twice) if size in few else (0, 0)
-        cut = once / (once + 2 * twice) if once and twice else 0.75
-        totals = (c["ctx"].to_numpy(np.int64), c["total"].to_numpy(float), c["kinds"].to_numpy(float))
-        data["shared", size] = (g["gram"].to_numpy(np.int64), g["ctx"].to_numpy(np.int64), g["n"].to_numpy(float), cut, totals)
-    data["kinds"] = max(2, few[1].kinds if 1 in few else 2)
+    items = sorted(set(data["counts"][0]) | set(data["counts"][1]))
+    wanted = spark.createDataFrame([(i,) for i in items], "item string")
+    data["shared"] = {r["item"]: r["n"] for r in shared.join(F.broadcast(wanted), "item", "left_semi").collect()}
+    is_stem = F.col("item").endswith("*")
+    totals = shared.agg(F.sum(F.when(is_stem, F.col("n"))).alias("stems"), F.sum(F.when(~is_stem, F.col("n"))).alias("words")).first()
+    data["stems"], data["words"] = float(totals.stems or 1), float(totals.words or 1)
 
     models = spark.sparkContext.broadcast(data)
 
@@ -228,10 +167,10 @@ def fit(labelled: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
         for frame in batches:
             yield pd.DataFrame({"label": frame["label"], "margin": two.margins(frame["text"].tolist(), words)})
 
-    seen = sample.where(held).select("label", "text").mapInPandas(judged, "label int, margin double").toPandas()
-    labels = seen["label"].to_numpy(float)
+    known = sample.where(held).select("label", "text").mapInPandas(judged, "label int, margin double").toPandas()
+    labels = known["label"].to_numpy(float)
     if len(set(labels)) == 2:
-        data["curve"] = logistic(seen["margin"].to_numpy(float), labels)
+        data["curve"] = logistic(known["margin"].to_numpy(float) * 100, labels)
     else:
         share = sample.agg(F.avg("label").alias("share")).first().share
         share = min(max(share if share is not None else 0.5, 0.01), 0.99)
@@ -255,7 +194,7 @@ def score(docs: DataFrame, data: dict, id_column: str = "doc_id", text_column: s
         for batch in batches:
             for part in slices(batch, text_column):
                 margin = two.margins(part.column(text_column).to_pylist(), words)
-                value = 1 / (1 + np.exp(-np.clip(two.slope * margin + two.offset, -30, 30)))
+                value = 1 / (1 + np.exp(-np.clip(two.slope * margin * 100 + two.offset, -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column(id_column), pa.array(margin), pa.array(value)], [id_column, "margin", "score"])
 
     return source.mapInArrow(run, f"{id_column} {dict(source.dtypes)[id_column]}, margin double, score double")

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 _NONE = np.iinfo(np.int32).max
-CACHED_WORDS = 400_000
-SLICE_BYTES = 4 << 20
+CACHED_WORDS = 300_000
+SLICE_BYTES = 2 << 20
 
 
 class PairMap:
