@@ -170,7 +170,7 @@ def fit(labelled: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
     known = sample.where(held).select("label", "text").mapInPandas(judged, "label int, margin double").toPandas()
     labels = known["label"].to_numpy(float)
     if len(set(labels)) == 2:
-        data["curve"] = logistic(known["margin"].to_numpy(float) * 100, labels)
+        data["curve"] = logistic(known["margin"].to_numpy(float), labels)
     else:
         share = sample.agg(F.avg("label").alias("share")).first().share
         share = min(max(share if share is not None else 0.5, 0.01), 0.99)
@@ -194,7 +194,7 @@ def score(docs: DataFrame, data: dict, id_column: str = "doc_id", text_column: s
         for batch in batches:
             for part in slices(batch, text_column):
                 margin = two.margins(part.column(text_column).to_pylist(), words)
-                value = 1 / (1 + np.exp(-np.clip(two.slope * margin * 100 + two.offset, -30, 30)))
+                value = 1 / (1 + np.exp(-np.clip(two.slope * margin + two.offset, -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column(id_column), pa.array(margin), pa.array(value)], [id_column, "margin", "score"])
 
     return source.mapInArrow(run, f"{id_column} {dict(source.dtypes)[id_column]}, margin double, score double")

@@ -80,17 +80,20 @@ def descend(rows, values, signs: np.ndarray, bits: int = BITS, cost: float = 1.0
     return weight
 
 
-def logistic(margin: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset of the logistic curve that fits the labels, by Newton steps with a small ridge."""
-    x = np.stack([margin, np.ones(len(margin))], 1)
-    beta = np.array([1.0, 0.0])
+def logistic(margin: np.ndarray, labels: np.ndarray, rounds: int = 200) -> tuple[float, float]:
+    """Slope (not below 0) and offset of the logistic curve that fits the labels, by short Newton steps with a ridge on the slope."""
+    middle, spread = float(margin.mean()), max(float(margin.std()), 1e-9)
+    x = np.stack([(margin - middle) / spread, np.ones(len(margin))], 1)
+    share = np.clip(labels.mean(), 0.01, 0.99)
+    beta, ridge = np.array([1.0, np.log(share / (1 - share))]), np.diag([0.1, 1e-3])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (labels - p) - 1e-3 * beta)
-        beta = beta + step
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (labels - p) - ridge @ beta)
+        step /= max(1.0, np.abs(step).max())
+        beta = np.array([max(beta[0] + step[0], 0.0), beta[1] + step[1]])
         if np.abs(step).max() < 1e-8:
             break
-    return float(beta[0]), float(beta[1])
+    return float(beta[0] / spread), float(beta[1] - beta[0] * middle / spread)
 
 
 def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
