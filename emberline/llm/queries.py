@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import kneser_ney, nbsvm, piece_bpe, source_mix, token_counts
+from emberline.llm import jaccard_join, kneser_ney, nbsvm, piece_bpe, source_mix, token_counts
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,32 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > 4096).alias("over_limit"))
 
 
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_jaccard_join"] = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents),
+grams as (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as gram from words),
+sets as (select distinct doc_id, hash(gram) as g from grams),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as i from sets a join sets b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+links as (
+    select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * i >= 90 * (x.n + y.n - i)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (select a as v, a as r from both_ways union select b, r from reach join both_ways on v = a),
+least as (select v, min(r) as component_id from reach group by v)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, d.doc_id) as component_id
+from documents d left join sizes s on s.doc_id = d.doc_id left join least l on l.v = d.doc_id
+"""
+
+
 @query("op6_source_mix")
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix_sources(table(spark, sf_dir, "documents"))
