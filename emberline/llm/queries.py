@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import jaccard_join, kneser_ney, nbsvm, piece_bpe, source_mix, token_counts
+from emberline.llm import hnsw_dedup, jaccard_join, kneser_ney, nbsvm, piece_bpe, source_mix, token_counts
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,28 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query("op1_hnsw_dedup")
+def op1_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op1_hnsw_dedup"] = """
+with recursive vectors as (
+    select vec_id, label, embedding::double[] as v from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+    select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.93),
+reach as (select a as v, a as r from links union select b, r from reach join links on v = a),
+least as (select v, min(r) as component_id from reach group by v),
+counts as (select a, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+    vec_id = coalesce(component_id, vec_id) as kept
+from embeddings left join counts on a = vec_id left join least on v = vec_id
+"""
+
+
 @query("op2_piece_bpe")
 def op2_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = piece_bpe.encode_pieces(table(spark, sf_dir, "documents"), piece_model())
