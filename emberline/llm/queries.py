@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import hnsw_dedup, jaccard_join, kmeans_tree, kneser_ney, nbsvm, piece_bpe, source_mix, token_counts
+from emberline.llm import hnsw_dedup, jaccard_join, kmeans_tree, kneser_ney, nbsvm, page_text, piece_bpe, source_mix, token_counts
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +153,12 @@ def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.nearest(rows, rows.where(F.col("vec_id") % 100 == 0))
 
 
+@query("op8_page_text")
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = page_text.main_text(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op9_nbsvm_quality")
 def op9_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
