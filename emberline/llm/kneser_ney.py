@@ -74,14 +74,16 @@ def document_counts(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return rows.select(*by, "text").mapInArrow(counted, schema).groupBy(*by, "item").agg(F.sum("n").alias("n"))
 
 
-def levels(counts: list[np.ndarray], cut: float) -> list[tuple[float, float, float]]:
-    """`(total, discount, backoff mass)` of class 0 and 1; class 0's discount gives both the same backoff mass."""
-    total = [max(float(n.sum()), 1.0) for n in counts]
-    mass = float(np.minimum(counts[1], cut).sum()) / total[1] if len(counts[1]) else 1.0
-    low, high = 0.0, float(counts[0].max()) if len(counts[0]) else 1.0
+def levels(counts: list[tuple[np.ndarray, np.ndarray]], cut: float) -> list[tuple[float, float, float]]:
+    """`(total, discount, backoff mass)` of class 0 and 1 from how many expressions have each count; class 0's
+    discount gives both the same backoff mass."""
+    total = [max(float(n @ times), 1.0) for n, times in counts]
+    (n0, times0), (n1, times1) = counts
+    mass = float(np.minimum(n1, cut) @ times1) / total[1] if len(n1) else 1.0
+    low, high = 0.0, float(n0.max()) if len(n0) else 1.0
     for _ in range(60):
         middle = (low + high) / 2
-        if np.minimum(counts[0], middle).sum() < mass * total[0]:
+        if np.minimum(n0, middle) @ times0 < mass * total[0]:
             low = middle
         else:
             high = middle
@@ -137,17 +139,19 @@ def fit(labelled: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
     held = F.pmod(F.conv(F.substring("digest", 1, 4), 16, 10).cast("int"), F.lit(5)) == 0
 
     seen = sample.where(~held).select("label", "text").dropDuplicates()
-    found = document_counts(seen, ("label",)).toPandas()
+    found = stored(document_counts(seen, ("label",)))
     toxic = seen.where("label = 1").count()
     cut = max(2.0, CUT_SHARE * toxic)
     data: dict = {"counts": {}}
-    star = found["item"].str.endswith("*") if len(found) else pd.Series([], dtype=bool)
-    for kind, some in (("stem", found[star]), ("word", found[~star])):
-        data[kind] = levels([some.loc[some["label"] == label, "n"].to_numpy(float) for label in (0, 1)], cut)
+    is_stem = F.col("item").endswith("*")
+    spread = found.groupBy("label", is_stem.alias("stem"), "n").agg(F.count(F.lit(1)).alias("times")).toPandas()
+    for kind, stem in (("stem", True), ("word", False)):
+        some = [spread[(spread["label"] == label) & (spread["stem"] == stem)] for label in (0, 1)]
+        data[kind] = levels([(x["n"].to_numpy(float), x["times"].to_numpy(float)) for x in some], cut)
     for label in (0, 1):
-        least = np.where(star, data["stem"][label][1], data["word"][label][1])
-        kept = found[(found["label"] == label) & (found["n"] > least)]
-        data["counts"][label] = dict(zip(kept["item"], kept["n"].astype(float), strict=True))
+        least = F.when(is_stem, F.lit(float(data["stem"][label][1]))).otherwise(F.lit(float(data["word"][label][1])))
+        kept = found.where((F.col("label") == label) & (F.col("n") > least)).select("item", "n").collect()
+        data["counts"][label] = {r["item"]: float(r["n"]) for r in kept}
 
     # Shared counts of all documents; those of expressions without own counts cancel and stay where they are.
     shared = stored(document_counts(docs))
@@ -155,7 +159,6 @@ def fit(labelled: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
     items = sorted(set(data["counts"][0]) | set(data["counts"][1]))
     wanted = spark.createDataFrame([(i,) for i in items], "item string")
     data["shared"] = {r["item"]: r["n"] for r in shared.join(F.broadcast(wanted), "item", "left_semi").collect()}
-    is_stem = F.col("item").endswith("*")
     totals = shared.agg(F.sum(F.when(is_stem, F.col("n"))).alias("stems"), F.sum(F.when(~is_stem, F.col("n"))).alias("words")).first()
     data["stems"], data["words"] = float(totals.stems or 1), float(totals.words or 1)
 

@@ -125,6 +125,16 @@ def scaled(row: np.ndarray, ratios: np.ndarray) -> np.ndarray:
     return value / np.sqrt(value @ value + FEW)
 
 
+def sample_labelled(docs: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
+    """`(doc_id, text, label)` of a bounded sample: the first `rows` of `marks` `(doc_id, label)` by a digest of the id.
+
+    The sample is drawn before the texts are met, so that a broadcast of at most `rows` ids finds them.
+    """
+    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    chosen = marks.select("doc_id", "label").orderBy(digest, "doc_id", "label").limit(rows)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Fit on `(doc_id, text, label)`, label 0 or 1: the model as one vector of fixed size.
 

@@ -132,10 +132,10 @@ def fold(parts: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """`(doc_id, text, label)` of the documents that `labels` marks."""
-    marks = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learned: Column, rows: int) -> DataFrame:
+    """A bounded sample `(doc_id, text, label)` of the documents that `labels` marks and that may be learned from."""
+    marks = labels.where(F.col(label).isin(0, 1) & learned).select("doc_id", F.col(label).cast("int").alias("label"))
+    return nbsvm.sample_labelled(docs, marks, rows)
 
 
 def judged(scores: DataFrame, held_out: Column) -> DataFrame:
@@ -143,7 +143,7 @@ def judged(scores: DataFrame, held_out: Column) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    known = labelled_rows(docs, labels, "quality").where(fold(3) != 1)
+    known = labelled_rows(docs, labels, "quality", fold(3) != 1, nbsvm.SAMPLE_ROWS)
     return nbsvm.score(docs, nbsvm.fit(known))
 
 
@@ -168,5 +168,5 @@ def op9_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_kneser_ney_toxicity")
 def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    known = labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic").where(fold(5) != 0)
+    known = labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", fold(5) != 0, kneser_ney.SAMPLE_ROWS)
     return judged(kneser_ney.score(docs, kneser_ney.fit(known, docs)), fold(5) == 0)
