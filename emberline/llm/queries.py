@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import hnsw_dedup, jaccard_join, kmeans_tree, kneser_ney, nbsvm, page_text, piece_bpe, source_mix, token_counts
+from emberline.llm import bwt_dedup, hnsw_dedup, jaccard_join, kmeans_tree, kneser_ney, nbsvm, page_text, piece_bpe, source_mix, token_counts
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,18 @@ def op2_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_bwt_dedup")
+def op3_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bwt_dedup.removals(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), piece_model())
