@@ -20,7 +20,7 @@ What is removed is the union of the repeated strings, judged on the input.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -192,14 +192,17 @@ def met_by_key(docs: DataFrame, side: DataFrame, size: str, how: str) -> DataFra
     return docs.join(F.broadcast(side) if total.bytes + 32 * total.n <= BROADCAST_BYTES else side, "key", how)
 
 
-def removals(docs: DataFrame, id_column: str = "doc_id", width: int = WIDTH, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """`(id, n_bytes, spans, kept)` of every row: the removed byte spans `(start, end)` and the remaining bytes.
+def removals(
+    docs: DataFrame, id_column: str = "doc_id", width: int = WIDTH, hot_segments: int = HOT_SEGMENTS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """`(id, *keep, n_bytes, spans, kept)` of every row: the removed byte spans `(start, end)` and the remaining bytes.
 
     Every byte covered by a string of `width` bytes that starts at another place too, in any row, goes. Null text
     counts as empty; texts shorter than `width` keep all; repeated rows are copies of each other and so lose
     all strings; ids may be null or repeat; other columns are not read; an empty table gives no rows.
     """
-    rows = docs.select(id_column, "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"))
+    carried = [id_column, *keep]
+    rows = docs.select(*carried, "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,7 +314,9 @@ def removals(docs: DataFrame, id_column: str = "doc_id", width: int = WIDTH, hot
                 spans.append([{"start": int(a), "end": int(b)} for a, b in found])
                 kept.append(b"".join(data[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True)))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(id_column), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], [id_column, "n_bytes", "spans", "kept"])
+            found = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *found], [*carried, "n_bytes", "spans", "kept"])
 
-    met = met_by_key(rows, marks, "size", "left").select(id_column, "text", "marks")
-    return met.mapInArrow(removed, f"{id_column} {dict(rows.dtypes)[id_column]}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    met = met_by_key(rows, marks, "size", "left").select(*carried, "text", "marks")
+    types = dict(rows.dtypes)
+    return met.mapInArrow(removed, ", ".join(f"{c} {types[c]}" for c in carried) + ", n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")

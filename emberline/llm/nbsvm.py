@@ -11,7 +11,7 @@ reads every text whole.
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -162,13 +162,14 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
     return np.frombuffer(found[0].model, np.float32) if found else fit_rows([], np.zeros(0, np.int64)).astype(np.float32)
 
 
-def score(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`(id, score)` of each whole text, between 0 and 1; null and empty texts get the model's score of no n-grams.
+def score(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_column: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """`(id, *keep, score)` of each whole text, between 0 and 1; null and empty texts get the model's score of no n-grams.
 
     The model has a fixed size (two numbers per hashed n-gram), whatever the data; it goes out as a broadcast.
     Ids may be null or repeat; other columns are not read; an empty table gives no rows.
     """
-    source = docs.select(id_column, text_column)
+    source = docs.select(*dict.fromkeys([id_column, *keep, text_column]))
+    carried = [c for c in source.columns if c in (id_column, *keep)]
     sent = docs.sparkSession.sparkContext.broadcast(np.asarray(model, np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +183,7 @@ def score(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_co
                 row = features(text.as_py())
                 value = scaled(row, ratios)
                 out.append(1 / (1 + np.exp(-np.clip(slope * (weight[row] @ value + bias) + offset, -30, 30))))
-            yield pa.RecordBatch.from_arrays([batch.column(id_column), pa.array(out, pa.float64())], [id_column, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(out, pa.float64())], [*carried, "score"])
 
-    return source.mapInArrow(run, f"{id_column} {dict(source.dtypes)[id_column]}, score double")
+    types = dict(source.dtypes)
+    return source.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in carried), "score double"]))

@@ -154,9 +154,8 @@ def judged(scores: DataFrame, held_out: Column) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    known = labelled_rows(docs, labels, "quality", fold(3) != 1, nbsvm.SAMPLE_ROWS)
-    return nbsvm.score(docs, nbsvm.fit(known))
+def quality_model(docs: DataFrame, labels: DataFrame):
+    return nbsvm.fit(labelled_rows(docs, labels, "quality", fold(3) != 1, nbsvm.SAMPLE_ROWS))
 
 
 @query("op7_kmeans_tree")
@@ -173,8 +172,8 @@ def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_nbsvm_quality")
 def op9_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return judged(scores, fold(3) == 1)
+    docs = table(spark, sf_dir, "documents")
+    return judged(nbsvm.score(docs, quality_model(docs, table(spark, sf_dir, "labels"))), fold(3) == 1)
 
 
 @query("op10_kneser_ney_toxicity")
