@@ -4,7 +4,7 @@ A document is the set of its word shingles. Shingles have one global order, the
 are similar enough, the first `n - ceil(t * n) + k` shingles of each share at least k, for any k of 1 or more. Every
 document picks its own k: a longer prefix costs more index rows but asks for more shared shingles, so k grows
 while the estimated work for the candidates falls. A pair is verified only if its prefixes share as many
-shingles as the smaller k of the two.
+shingles as the smaller k of the two, and as many as its similarity leaves to them.
 
 Equal sets are joined first and stand for one another. What is asked for is the components of the links, so
 a document first tries the one partner with which it shares most prefix shingles among the least ids of its
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm.common import components, stored
@@ -164,7 +164,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id_column: str, size: int, perce
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "grams"])
 
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), "text").join(ids, "id", "left_semi")
-    sets = stored(texts.mapInArrow(run, "id bigint, grams array<bigint>").dropDuplicates(["id"]))
+    sets = stored(texts.mapInArrow(run, "id bigint, grams array<bigint>"))
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
@@ -172,6 +172,18 @@ def verified(pairs: DataFrame, docs: DataFrame, id_column: str, size: int, perce
     return judged.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("sum") - F.col("i"))).select("a", "b")
 
 
+def matches_needed(percent: int) -> Column:
+    """Shared prefix shingles that a pair with columns `n_a, k_a, n_b, k_b` must have.
+
+    Both prefixes share at least the smaller k. And of the two prefixes one ends first in the global order: what the
+    pair shares beyond its own prefix is no more than the rest of that set, so the prefixes must hold the rest
+    of the intersection that the similarity asks for.
+    """
+    whole = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    rest = [F.ceil(F.lit(percent) * F.col(f"n_{x}") / F.lit(100)) - F.col(f"k_{x}") for x in "ab"]
+    return F.greatest(F.least("k_a", "k_b"), whole - F.greatest(*rest))
+
+
 def jaccard_components(
     docs: DataFrame, size: int = 3, percent: int = 90, most_matches: int = MOST_MATCHES, id_column: str = "doc_id"
 ) -> DataFrame:
@@ -179,23 +191,23 @@ def jaccard_components(
 
     Words are runs of non-white-space ASCII-lower-cased; a set holds the distinct runs of `size` words, or all words
     as one if there are fewer. Rows without words or with null text have 0 shingles and are components of
-    their own. Rows with the same id are one vertex with the links of its first text by shingle digest and of all
-    equal sets; a null id has a null component. Other columns are not read; an empty table gives no rows.
+    their own. Rows with the same id are one vertex with the links of all their texts; a null id has a null component. Other columns are not read; an empty table gives no rows.
     """
     rows, levels = shingle_counts(docs, id_column, size)
     least = rows.where("print is not null").groupBy("print").agg(F.min(id_column).alias("rep"))
     least = stored(least)
     equal = stored(rows.join(least, "print").select(F.col(id_column).alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
     reps = least.select(F.col("rep").alias("id")).distinct()
-    indexed = stored(prefixes(docs, id_column, size, percent, levels, most_matches).join(reps, "id", "left_semi").dropDuplicates(["id"]))
+    indexed = stored(prefixes(docs, id_column, size, percent, levels, most_matches).join(reps, "id", "left_semi"))
     index = indexed.select("id", "n", "k", F.explode("prefix").alias("token"))
 
-    groups = index.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("lead")).where("docs > 1")
+    groups = index.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "n", "k")).alias("lead")).where("docs > 1")
     shared = stored(index.join(groups.select("token", "lead"), "token"))
-    stars = shared.where("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("common"))
+    stars = shared.where("id <> lead.id").groupBy("id", F.col("lead.id").alias("lead")).agg(
+        F.count(F.lit(1)).alias("common"), *[F.first(c).alias(f"{c}_a") for c in ("n", "k")], *[F.first(f"lead.{c}").alias(f"{c}_b") for c in ("n", "k")]
+    ).where(F.col("common") >= matches_needed(percent))
     tried = stars.groupBy("id").agg(F.max(F.struct("common", (-F.col("lead")).alias("least"))).alias("best"))
-    links = verified(tried.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b")), docs, id_column, size, percent)
-    links = stored(links)
+    links = stored(verified(tried.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b")), docs, id_column, size, percent))
 
     # What is left to find are links between components; a shingle whose documents are all of one has none.
     found = components(links)
@@ -208,8 +220,8 @@ def jaccard_components(
     near = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
     met = x.join(y, "token").where((F.col("component_id_a") < F.col("component_id_b")) & near)
     pairs = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("common"), F.first(F.least("k_a", "k_b")).alias("k")
-    ).where("common >= k").select("a", "b")
+        F.count(F.lit(1)).alias("common"), F.min(matches_needed(percent)).alias("needed")
+    ).where("common >= needed").select("a", "b")
     more = verified(pairs, docs, id_column, size, percent)
     all_links = stored(links.unionByName(more).unionByName(equal))
     of = components(all_links).withColumnRenamed("id", id_column)
