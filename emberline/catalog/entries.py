@@ -85,13 +85,20 @@ def chain_length(spark: SparkSession, folder: str) -> int:
 
 CHAIN = """chain_k as (select greatest(2, floor(sqrt(count(*))))::bigint k from customer),
 chain as (
-    select i src, case when i % k = 0 then 0 else i + 1 end dst
-    from chain_k, lateral (select unnest(generate_series(1, k * k)) i))"""
+    select src, case when place % k = 0 then 0 else coalesce(next, 0) end dst from chain_k, (
+        select c_custkey + 1 src, row_number() over (order by c_custkey) place, lead(c_custkey + 1) over (order by c_custkey) next
+        from customer))"""
+
+
+def chains(spark: SparkSession, folder: str) -> DataFrame:
+    """Chains over the given customers, as many as a chain has vertices; a vertex is the customer's number plus one."""
+    customers = inputs.table(spark, folder, "customer").select((F.col("c_custkey") + 1).alias("v"))
+    return graphs.chains_over(customers, "v", chain_length(spark, folder))
 
 
 @query(f"with {CHAIN} select * from chain")
 def chain_graph(spark, folder):
-    return graphs.chain_graph(spark, chain_length(spark, folder))
+    return chains(spark, folder)
 
 
 @query("select '(' || l_partkey || ',' || l_suppkey || ')' line from lineitem")
@@ -310,7 +317,7 @@ def rounded(ranks: DataFrame) -> DataFrame:
 
 @query(f"{CHAIN_RANKS} select v, round(pr, 10) pr from r{ROUNDS} union all select 0, 0.0")
 def pagerank_chain(spark, folder):
-    return rounded(pagerank.pagerank_chain(spark, chain_length(spark, folder)).ranks)
+    return rounded(pagerank.pagerank_chains(chains(spark, folder)).ranks)
 
 
 @query(f"{RANKS} select v, round(pr, 10) pr from r{ROUNDS}", name="pagerank")
@@ -332,9 +339,9 @@ def pagerank_mass(spark, folder):
     return pagerank.mass_table(spark, masses).withColumn("mass", F.round("mass", 9))
 
 
-@query(f"{CHAIN_RANKS} select v, round(pr, 10) pr from r{ROUNDS} order by round(pr, 10) desc, v limit {TOP}")
+@query(f"{RANKS} select v, round(pr, 10) pr from r{ROUNDS} order by round(pr, 10) desc, v limit {TOP}")
 def pagerank_top5(spark, folder):
-    return pagerank.top_ranks(pagerank.pagerank_chain(spark, chain_length(spark, folder)).ranks, TOP)
+    return pagerank.top_ranks(pagerank.pagerank(inputs.order_edges(spark, folder)).ranks, TOP)
 
 
 # ---- clusters ----------------------------------------------------------------------------------
@@ -445,7 +452,7 @@ def knn_classify_topk(spark, folder):
     return knn.knn_classify_topk(*split(spark, folder), K)
 
 
-@query(f'{NEIGHBOURS} select test.id, type, amount, usr "user", cls, pred from test join pred on pred.id = test.id')
+@query(f'{NEIGHBOURS} select test.id, type, amount, usr "user", cls, pred from test left join pred on pred.id = test.id')
 def knn_labelled_output(spark, folder):
     train, test = split(spark, folder)
     return knn.labelled(knn.knn_classify_topk(train, test, K), test)
@@ -466,6 +473,13 @@ def assign_ids(spark, folder):
     return ranges.assign_ids(inputs.table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
 
 
+@query("select o_clerk_key, 10000 + row_number() over (order by o_clerk_key) id from (select o_orderpriority || ':' || o_orderkey o_clerk_key from orders)")
+def assign_text_ids(spark, folder):
+    """Ids for records whose key is a text."""
+    key = F.concat_ws(":", "o_orderpriority", F.col("o_orderkey").cast("string")).alias("o_clerk_key")
+    return ranges.assign_ids(inputs.table(spark, folder, "orders").select(key), "o_clerk_key")
+
+
 VOTES = "votes as (select l_suppkey id, case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end cls from lineitem)"
 
 
@@ -522,10 +536,11 @@ def split_random(spark, folder):
 )
 def split_write(spark, folder):
     orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    train, test = features.split_random(orders, "o_orderkey", 0.8, 20)
+    marked = features.mark_random(orders, "o_orderkey", 0.8, 20)
+    part = F.when(F.col("first"), "train").otherwise("test")
     path = inputs.scratch(spark)
-    text.write_split(train, test, f"{path}/train", f"{path}/test")
-    return in_parts(spark.read.text(f"{path}/train").toDF("line"), spark.read.text(f"{path}/test").toDF("line"), "line")
+    text.write_parts(marked.withColumn("part", part).drop("first"), "part", path)
+    return in_parts(spark.read.text(f"{path}/part=train").toDF("line"), spark.read.text(f"{path}/part=test").toDF("line"), "line")
 
 
 @query(

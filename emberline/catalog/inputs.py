@@ -5,14 +5,12 @@ Every input uses all rows of its table.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.functions.columns import TYPE_CODES
 from emberline.plans import features
-from emberline.session import shared_folder
+from emberline.session import new_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,8 +18,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for files that one call writes and reads back."""
-    return f"{shared_folder(spark)}/emberline-{uuid.uuid4().hex}"
+    """A new folder for files that one call writes and reads back; it goes when the session ends."""
+    return new_folder(spark)
 
 
 def supply_edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +67,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 def drawn(key: str, seed: int, share: float) -> str:
     """SQL for the condition of the first part of a split."""
     return (
-        f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::bigint % {features.BUCKETS}) < {round(share * features.BUCKETS)}"
+        f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::bigint % {features.HASH_VALUES}) < {round(share * features.HASH_VALUES)}"
     )
 
 

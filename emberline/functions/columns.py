@@ -33,9 +33,9 @@ def gap(left: Column, right: Column) -> Column:
     return F.abs(left - right)
 
 
-def record_line(columns: Sequence[str], sep: str = ",") -> Column:
-    """The fields of a row as one delimited text."""
-    return F.concat_ws(sep, *[F.col(c).cast("string") for c in columns])
+def record_line(columns: Sequence[str], sep: str = ",", null: str = "") -> Column:
+    """The fields of a row as one delimited text; a missing field keeps its place, as the text `null`."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit(null)) for c in columns])
 
 
 def fields(line: Column, sep: str = ",", limit: int = -1) -> Column:

@@ -22,10 +22,6 @@ def weighted_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vertices(edges: DataFrame) -> DataFrame:
-    return edges.select(F.explode(F.array("src", "dst")).alias("v")).distinct()
-
-
 def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
         first = first.unionByName(other)

@@ -12,20 +12,32 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberline.session import cut_lineage
+
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 20_000
+COARSE_BUCKETS = 1_000
 
 
 def quantile_edges(
-    df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None
+    df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None, coarse: int = COARSE_BUCKETS
 ) -> list[float]:
-    """Interior edges that cut `column` into buckets of about `rows_per_bucket` rows."""
+    """Interior edges that cut `column` into buckets of about `rows_per_bucket` rows.
+
+    More than `coarse` buckets are cut in two levels: coarse ones first, then each of them by itself.
+    """
     rows = df.count() if rows is None else rows
-    buckets = min(-(-rows // rows_per_bucket), MAX_BUCKETS)
+    buckets = -(-rows // rows_per_bucket)
     if buckets < 2:
         return []
-    shares = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.stat.approxQuantile(column, shares, 0.5 / buckets)))
+    first = min(buckets, coarse)
+    shares = [i / first for i in range(1, first)]
+    edges = sorted(set(df.stat.approxQuantile(column, shares, 0.5 / first)))
+    fine = -(-buckets // first)
+    if fine == 1:
+        return edges
+    inner = F.percentile_approx(column, F.array(*[F.lit(i / fine) for i in range(1, fine)]), F.lit(10 * fine)).alias("inner")
+    cut = with_bucket(df.select(column).where(F.col(column).isNotNull()), column, edges).groupBy("bucket").agg(inner)
+    return sorted({*edges, *(float(x) for row in cut.collect() for x in row["inner"])})
 
 
 def with_bucket(df: DataFrame, column: str, edges: Sequence[float], out: str = "bucket") -> DataFrame:
@@ -38,6 +50,13 @@ def with_bucket(df: DataFrame, column: str, edges: Sequence[float], out: str = "
     return cut.withColumn(out, F.col(out).cast("int")).drop("_key")
 
 
+def _in_ranges(df: DataFrame, order: str, rows_per_bucket: int) -> DataFrame:
+    """The rows stored once in ranges of `order`, numbered by `_part`; rows of one key share a range."""
+    kept = cut_lineage(df)
+    width = max(1, -(-kept.count() // rows_per_bucket))
+    return cut_lineage(kept.repartitionByRange(width, order).withColumn("_part", F.spark_partition_id()))
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -46,27 +65,24 @@ def running_totals(
 ) -> DataFrame:
     """Add, per entry of `totals`, its sum over all rows before the current one in `order`.
 
-    `order` must be a unique numeric column. Sums run inside buckets; each bucket then adds the
-    sums of the buckets below it, a table of at most MAX_BUCKETS rows.
+    `order` is a column of any type that can be sorted; rows of one key follow each other in any order. Sums run
+    inside ranges; each range then adds the sums of the ranges below it, a table of one row per range.
     """
-    edges = quantile_edges(df, order, rows_per_bucket)
-    df = with_bucket(df, order, edges)
-    inside = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.select("*", *[F.coalesce(F.sum(expr).over(inside), F.lit(0)).alias(name) for name, expr in totals.items()])
-    if not edges:
-        return local.drop("bucket")
-    below = Window.partitionBy("one").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = df.groupBy("bucket").agg(*[F.sum(expr).alias(f"_{name}") for name, expr in totals.items()])
+    parts = _in_ranges(df, order, rows_per_bucket)
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = parts.select("*", *[F.coalesce(F.sum(expr).over(inside), F.lit(0)).alias(name) for name, expr in totals.items()])
+    below = Window.partitionBy("one").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy("_part").agg(*[F.sum(expr).alias(f"_{name}") for name, expr in totals.items()])
     offsets = sizes.withColumn("one", F.lit(1)).select(
-        "bucket", *[F.coalesce(F.sum(f"_{name}").over(below), F.lit(0)).alias(f"_{name}") for name in totals]
+        "_part", *[F.coalesce(F.sum(f"_{name}").over(below), F.lit(0)).alias(f"_{name}") for name in totals]
     )
-    joined = local.join(F.broadcast(offsets), "bucket")  # one row per bucket, at most MAX_BUCKETS
+    joined = local.join(offsets, "_part")
     for name in totals:
         joined = joined.withColumn(name, F.col(name) + F.col(f"_{name}"))
-    return joined.drop("bucket", *[f"_{name}" for name in totals])
+    return joined.drop("_part", *[f"_{name}" for name in totals])
 
 
 def assign_ids(df: DataFrame, order: str, start: int = 10_000, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Consecutive ids `start + 1, start + 2, ...` in the order of a unique numeric column."""
+    """Consecutive ids `start + 1, start + 2, ...` in the order of a column of any type; equal keys in any order."""
     numbered = running_totals(df, order, {"id": F.lit(1).cast("bigint")}, rows_per_bucket)
     return numbered.withColumn("id", (F.col("id") + F.lit(start + 1)).cast("bigint"))

@@ -19,20 +19,17 @@ HOT_KEY_LIMIT = 100_000
 def hot_from_counts(
     counts: DataFrame, keys: Sequence[str], size: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame | None:
-    """Keys of `counts` whose `size` exceeds `rows_per_task`, with the number of parts each needs.
+    """Keys of `counts` whose `size` is over the limit, with the number of parts each needs; None when there are none.
 
-    None when there are none. Up to HOT_KEY_LIMIT keys come back as a local table marked for
-    broadcast; beyond that the table stays distributed and Spark sizes the join itself.
+    The limit is `rows_per_task`, or the share 1 / HOT_KEY_LIMIT of all rows if that is more. No more than
+    HOT_KEY_LIMIT keys can be over it, so the list always fits a broadcast; a key below it is small
+    beside an even share of the rows.
     """
-    hot = counts.where(F.col(size) > rows_per_task).select(
-        *keys, F.ceil(F.col(size) / F.lit(rows_per_task)).cast("int").alias("parts")
-    )
-    found = hot.limit(HOT_KEY_LIMIT + 1).collect()
-    if not found:
-        return None
-    if len(found) > HOT_KEY_LIMIT:
-        return hot
-    return F.broadcast(counts.sparkSession.createDataFrame(found, hot.schema))
+    total = counts.agg(F.sum(size).alias("total")).first()["total"] or 0
+    limit = max(rows_per_task, total // HOT_KEY_LIMIT)
+    hot = counts.where(F.col(size) > limit).select(*keys, F.ceil(F.col(size) / F.lit(limit)).cast("int").alias("parts"))
+    found = hot.collect()
+    return F.broadcast(counts.sparkSession.createDataFrame(found, hot.schema)) if found else None
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:

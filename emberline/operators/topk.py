@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 def k_smallest(pairs: DataFrame, k: int) -> DataFrame:
     """Per `id`, the k smallest distinct values of `d`, each with its least `cls`.
 
-    Equal distances are merged first (inside the map tasks, then by `(id, d)`), which leaves unique
-    rows to rank. The rank limit then applies before the shuffle by `id`, so that a hot id sends
-    at most k rows per task.
+    The rank limit applies inside the map tasks, before the only shuffle (by `id`): a task sends the rows of
+    the k least distances it has of an id. Equal distances are merged behind it, in the same task.
     """
-    merged = pairs.groupBy("id", "d").agg(F.min("cls").alias("cls"))
     by_distance = Window.partitionBy("id").orderBy("d")
-    return merged.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
+    near = pairs.select("id", "d", "cls").withColumn("rank", F.dense_rank().over(by_distance)).where(F.col("rank") <= k)
+    return near.groupBy("id", "d", "rank").agg(F.min("cls").alias("cls")).select("id", "d", "cls", "rank")
 
 
 def k_smallest_in_array(column: str, k: int) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions.columns import drop_first, fields, hash_bucket, type_code
+from emberline.operators.skew import ROWS_PER_TASK
 from emberline.session import cut_lineage, shuffle_width
 
 # The columns of a prepared transaction, in field order.
@@ -17,7 +18,7 @@ PREPARED = (
     "nameDest", "oldBalDest", "newBalDest", "isFraud", "isFlagged",
 )
 FEATURES = tuple(c for c in PREPARED if c != "isFraud")
-BUCKETS = 10_000
+HASH_VALUES = 2**32
 
 
 def _numbers(parts: Column) -> dict[str, Column]:
@@ -62,8 +63,9 @@ def count_malformed(lines: DataFrame) -> DataFrame:
 
 
 def kept_for_training(df: DataFrame, key: str) -> DataFrame:
-    """The rows spread evenly by a unique key and stored once, for the many passes of training."""
-    return cut_lineage(df.repartition(shuffle_width(df.sparkSession), key))
+    """The rows spread evenly by a unique key and stored once, for the many passes of training; more rows take more tasks."""
+    width = max(shuffle_width(df.sparkSession), -(-df.count() // ROWS_PER_TASK))
+    return cut_lineage(df.repartition(width, key))
 
 
 def assemble_features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -77,8 +79,13 @@ def index_label(df: DataFrame, column: str = "isFraud") -> DataFrame:
 
 def split_random(df: DataFrame, key: str, share: float = 0.8, seed: int = 20) -> tuple[DataFrame, DataFrame]:
     """Two parts by a hash of the key: every row in one of them, the same on every run and partitioning."""
-    first = hash_bucket(F.col(key), seed, BUCKETS) < round(share * BUCKETS)
-    return df.where(first), df.where(~first)
+    marked = mark_random(df, key, share, seed, "_first")
+    return marked.where("_first").drop("_first"), marked.where(~F.col("_first")).drop("_first")
+
+
+def mark_random(df: DataFrame, key: str, share: float = 0.8, seed: int = 20, out: str = "first") -> DataFrame:
+    """Add whether a row belongs to the first part: its whole 32-bit hash lies below that share of all hashes."""
+    return df.withColumn(out, F.coalesce(hash_bucket(F.col(key), seed, HASH_VALUES) < round(share * HASH_VALUES), F.lit(False)))
 
 
 def split_stratified(
@@ -86,5 +93,5 @@ def split_stratified(
 ) -> tuple[DataFrame, DataFrame]:
     """As `split_random`, drawn for each label value by itself, so that both parts hold every label."""
     drawn = F.concat_ws(":", F.col(label).cast("string"), F.col(key).cast("string"))
-    first = hash_bucket(drawn, seed, BUCKETS) < round(share * BUCKETS)
+    first = hash_bucket(drawn, seed, HASH_VALUES) < round(share * HASH_VALUES)
     return df.where(first), df.where(~first)

@@ -39,12 +39,12 @@ class EdgeLayout:
             totals = [F.sum(c).alias(c) for c in ("out_edges", "targets")]
             table = cut_lineage(counted.select(F.inline(ends)).groupBy("v").agg(*totals))
             hot = hot_from_counts(table.withColumnRenamed("v", "src"), ["src"], "targets", rows_per_task)
-            width = shuffle_width(edges.sparkSession)
+            width = max(shuffle_width(edges.sparkSession), -(-counted.count() // rows_per_task))
             if hot is None:
                 kept = counted.repartition(width, "src")
             else:
                 kept = spread(counted, ["src"], hot, ["dst"]).repartition(width, "src", "part")
-            kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+            kept = kept.sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)  # sorted for every round's merge join
             kept.count()
         finally:
             counted.unpersist()

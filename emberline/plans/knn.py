@@ -19,7 +19,9 @@ distances that all lie below anything farther out of the same kind. The lists co
 test and train rows sorted by amount. Per group and amount, a few train rows answer every test row:
 the least classes that differ in the excluded type or user.
 
-Amounts count at six decimals and should stay below 10^9, so that different gaps stay different after adding 1 or 2.
+Distances are plain doubles, so that different amounts may come out at one distance where numbers are too coarse to tell
+them apart. A test row whose list is full but holds too few different distances for the table above is asked again with
+lists twice as long.
 """
 
 from __future__ import annotations
@@ -65,7 +67,7 @@ KINDS = (Kind(("type", "user"), 1), Kind(("type",), 2), Kind(("user",), 2), Kind
 def _prepared(df: DataFrame, other: str) -> DataFrame:
     """Type and user compare as text, with a missing one as empty text. Rows without an amount have no distance."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("type", "user")]
-    amount = F.round(F.col("amount").cast("double"), 6).alias("amount")
+    amount = F.col("amount").cast("double").alias("amount")
     return df.select(*text, amount, other).where(F.col("amount").isNotNull() & ~F.isnan("amount"))
 
 
@@ -196,9 +198,18 @@ def _carried(train: DataFrame, test: DataFrame, keys: list[str], reach: int) ->
     return seen.select(*place, F.inline(F.concat(below, above)))
 
 
-def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, ranges: Ranges) -> DataFrame:
-    """Per test row, the distances and classes of the nearest train rows of one kind: `(id, near)`."""
-    keys, reach = list(kind.same), kind.reach(k)
+def _too_few(side: str, reach: int, needed: int) -> str:
+    """Whether a side's list is full and, at one of the offsets, holds fewer different distances than needed."""
+    gaps = f"transform({side}, e -> abs(amount - e.amount))"
+    kinds = ", ".join(f"size(array_distinct(transform({gaps}, g -> g + {c}.0D)))" for c in (0, 1, 2))
+    return f"(size({side}) = {reach} and least({kinds}) < {needed})"
+
+
+def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, ranges: Ranges, longer: int = 1) -> DataFrame:
+    """Per test row, the distances and classes of the nearest train rows of one kind, and whether its lists were too
+    short: `(id, near, short)`. `longer` multiplies the length of the lists.
+    """
+    keys, reach = list(kind.same), longer * kind.reach(k)
     place = [*keys, "bucket"]
     train, test = ranges.bucketed(train, kind), ranges.bucketed(test, kind)
     if ranges.edges and (ranges.large is not None or not keys):
@@ -227,7 +238,9 @@ def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, ranges: R
     apart = {c: "1.0D" if c in kind.differs else "0.0D" for c in ("type", "user")}
     distance = f"{apart['type']} + abs(amount - e.amount) + {apart['user']}"
     measured = f"transform(filter(found, e -> e is not null), e -> struct({distance} as d, {least} as cls))"
-    return found.select("id", F.expr(f"filter({measured}, e -> e.cls is not null)").alias("near"))
+    sides = [f"filter(slice(found, {start}, {reach}), e -> e is not null)" for start in (1, reach + 1)]
+    short = " or ".join(_too_few(side, reach, kind.reach(k)) for side in sides)
+    return found.select("id", F.expr(f"filter({measured}, e -> e.cls is not null)").alias("near"), F.expr(short).alias("short"))
 
 
 def knn_neighbours(
@@ -243,15 +256,22 @@ def knn_neighbours(
     n_rows, types = rows.agg(F.count(F.lit(1)), F.approx_count_distinct("type")).first()
     ranges = Ranges.measure(rows, queries, n_rows + queries.count(), rows_per_task)
     tables = train_tables(rows, types)
-    parts = None
-    for kind in KINDS:
-        found = _candidates(tables[kind], queries, kind, k, ranges)
-        if prune:
-            found = found.withColumn("near", k_smallest_in_array("near", k))
-        parts = found if parts is None else parts.unionByName(found)
-    merged = parts.groupBy("id").agg(F.flatten(F.collect_list("near")).alias("near"))  # four lists per id
-    nearest = merged.select("id", k_smallest_in_array("near", k).alias("neighbours"))
-    return nearest.where(F.size("neighbours") > 0)
+    done, longer = None, 1
+    while True:
+        parts = None
+        for kind in KINDS:
+            found = _candidates(tables[kind], queries, kind, k, ranges, longer)
+            if prune:
+                found = found.withColumn("near", k_smallest_in_array("near", k))
+            parts = found if parts is None else parts.unionByName(found)
+        lists = F.flatten(F.collect_list("near")).alias("near")  # four lists per id
+        merged = cut_lineage(parts.groupBy("id").agg(lists, F.max("short").alias("short")))
+        nearest = merged.where("not short").select("id", k_smallest_in_array("near", k).alias("neighbours"))
+        done = nearest if done is None else done.unionByName(nearest)
+        short = merged.where("short").select("id")
+        if short.isEmpty():
+            return done.where(F.size("neighbours") > 0)
+        queries, longer = cut_lineage(queries.join(short, "id", "left_semi")), 2 * longer
 
 
 def classify(neighbours: DataFrame) -> DataFrame:
@@ -269,5 +289,5 @@ def knn_classify_topk(train: DataFrame, test: DataFrame, k: int, rows_per_task:
 
 
 def labelled(predictions: DataFrame, test: DataFrame) -> DataFrame:
-    """Each prediction next to the full test record."""
-    return test.join(predictions, "id")
+    """Each test record with its prediction, which is null for a record without an amount or without any neighbour."""
+    return test.join(predictions, "id", "left")

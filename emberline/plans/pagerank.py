@@ -63,8 +63,13 @@ def pagerank(
 
 def pagerank_chain(spark, k: int, rounds: int = ROUNDS) -> Ranks:
     """Ranks on the chain graph. Vertex 0 only collects what the chain ends pass on, and keeps rank 0."""
-    chain = chain_graph(spark, k).where(F.col("dst") != 0)
-    result = pagerank(chain, rounds=rounds)
+    return pagerank_chains(chain_graph(spark, k), rounds)
+
+
+def pagerank_chains(chains: DataFrame, rounds: int = ROUNDS) -> Ranks:
+    """Ranks on chains that end in vertex 0, which is no vertex of theirs and keeps rank 0."""
+    spark = chains.sparkSession
+    result = pagerank(chains.where(F.col("dst") != 0), rounds=rounds)
     zero = spark.range(1).select(F.col("id").alias("v"), F.lit(0.0).alias("pr"))
     return Ranks(result.ranks.unionByName(zero), result.masses)
 

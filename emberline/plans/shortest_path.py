@@ -24,7 +24,8 @@ def sssp(
     """`(v, dist)` for every vertex reached from `source`; unreached ones on request, with null.
 
     Only vertices reached in the last round send messages. With `snapshots`, round i's newly reached
-    vertices are also written below that path as `iter=i`.
+    vertices are also written below that path as `iter=i`. With `max_rounds` a column `finished` tells whether
+    those rounds were enough; if not, vertices farther away are missing or null.
     """
     spark = edges.sparkSession
     layout = EdgeLayout.build(edges, rows_per_task)
@@ -32,6 +33,7 @@ def sssp(
         frontier = spark.range(1).select(F.lit(source).cast("bigint").alias("v"), F.lit(0).alias("dist"))
         reached = frontier
         rounds = 0
+        finished = False
         while max_rounds is None or rounds < max_rounds:
             rounds += 1
             sent = layout.follow(frontier.withColumnRenamed("v", "src"))
@@ -39,6 +41,7 @@ def sssp(
             fresh = met.join(reached, "v", "left_anti")
             frontier = cut_lineage(fresh)
             if frontier.isEmpty():
+                finished = True
                 break
             if snapshots is not None:
                 frontier.write.mode("overwrite").parquet(f"{snapshots}/iter={rounds}")
@@ -50,7 +53,7 @@ def sssp(
     if include_unreached:
         everyone = layout.vertices.select("v").unionByName(reached.select("v")).distinct()
         reached = everyone.join(reached, "v", "left")
-    return reached
+    return reached if max_rounds is None else reached.withColumn("finished", F.lit(finished))
 
 
 def longest_shortest_path(distances: DataFrame) -> DataFrame:

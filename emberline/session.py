@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
     return current
 
 
+def new_folder(spark: SparkSession, prefix: str = "emberline") -> str:
+    """A new path in the shared folder, removed with what is in it when the session ends."""
+    path = f"{shared_folder(spark)}/{prefix}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder and continue from the stored rows."""
     shared_folder(df.sparkSession)

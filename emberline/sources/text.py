@@ -35,9 +35,9 @@ def read_edges_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 
 def read_transactions_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    return (
-        spark.read.schema(TRANSACTION).option("header", header).option("mode", "FAILFAST").csv(path)
-    )
+    """Transactions of 11 fields; with a header, one that names other columns or another order stops the query."""
+    reader = spark.read.schema(TRANSACTION).option("header", header).option("mode", "FAILFAST")
+    return reader.option("enforceSchema", not header).csv(path)
 
 
 def read_key_value(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -73,6 +73,12 @@ def write_key_value(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("sep", sep).csv(path)
 
 
+def write_parts(df: DataFrame, part: str, path: str) -> None:
+    """Comma-joined lines in one folder per value of `part` (`part=value`), written in one pass over the rows."""
+    line = record_line([c for c in df.columns if c != part]).alias("value")
+    df.select(line, part).write.mode("overwrite").partitionBy(part).text(path)
+
+
 def write_split(train: DataFrame, test: DataFrame, train_path: str, test_path: str) -> None:
     """The two halves of a split as comma-joined lines in two folders."""
     write_text(train, train_path)
