@@ -606,11 +606,85 @@ def dt_predict(spark, folder):
 
 @query()
 def model_summary(spark, folder):
+    """The text form of the decision tree and of the forest."""
     train, _ = inputs.model_split(spark, folder)
-    model = trees.decision_tree().fit(train)
-    return spark.createDataFrame([("decision_tree", trees.model_summary(model))], "model string, summary string")
+    found = [(name, trees.model_summary(make().fit(train))) for name, make in (("decision_tree", trees.decision_tree), ("random_forest", trees.random_forest))]
+    return spark.createDataFrame(found, "model string, summary string")
 
 
 @query()
 def model_report(spark, folder):
     return trees.model_report(*inputs.model_split(spark, folder))
+
+
+# What SQL can say of the models: which rows they score with which label, that their outputs agree with each other, how large
+# they are, what they must learn where the label is a rule, and that they learn something where it is not.
+
+MODELS = {"random_forest": trees.random_forest, "boosted_trees": trees.boosted_trees, "decision_tree": trees.decision_tree}
+_NAMES = f"(values {', '.join(f'({name!r})' for name in MODELS)}) m(model)"
+_HELD = inputs.drawn("\"isFraud\" || ':' || o_orderkey", 20, 0.7)
+
+
+@query(
+    f"""with {inputs.PREPARED},
+    places as (select "isFraud" v, (row_number() over (order by count(*) desc, "isFraud") - 1)::double as label from prepared group by 1)
+    select model, o_orderkey, label, true valid, true bounded, true agrees
+    from prepared join places on v = "isFraud" cross join {_NAMES} where not {_HELD}"""
+)
+def model_checks(spark, folder):
+    """Each model's test rows: the prediction is 0 or 1, the probability lies between 0 and 1, and the two agree."""
+    train, test = inputs.model_split(spark, folder)
+    out = None
+    for name, make in MODELS.items():
+        found = trees.predict(make().fit(train), test).withColumn("p", vector_to_array("probability")[1])
+        some = found.select(
+            F.lit(name).alias("model"),
+            "o_orderkey",
+            "label",
+            F.col("prediction").isin(0.0, 1.0).alias("valid"),
+            F.col("p").between(0.0, 1.0).alias("bounded"),
+            (F.col("prediction") == (F.col("p") > 0.5).cast("double")).alias("agrees"),
+        )
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+@query(
+    f"""with ruled as (
+        select o_orderkey, (left(o_orderpriority, 1)::int <= 2 and o_orderstatus = 'F' or o_orderkey % 4 = 3)::int::double as label from orders)
+    select model, o_orderkey, label, label as prediction from ruled cross join {_NAMES}"""
+)
+def model_rule(spark, folder):
+    """Models of a label that is a rule on three features with few values: they must predict it for every order."""
+    urgent, final = F.substring("o_orderpriority", 1, 1).cast("int"), F.col("o_orderstatus") == "F"
+    turn = F.col("o_orderkey") % 4
+    label = (((urgent <= 2) & final) | (turn == 3)).cast("double").alias("label")
+    rows = inputs.table(spark, folder, "orders").select("o_orderkey", urgent.cast("double").alias("urgent"), final.cast("double").alias("final"), turn.cast("double").alias("turn"), label)
+    known = features.assemble_features(features.kept_for_training(rows, "o_orderkey"), ("urgent", "final", "turn"))
+    out = None
+    for name, make in MODELS.items():
+        maker = make()
+        if name == "random_forest":  # a forest sees a part of the features at each split; here it may look at all three
+            maker = maker.setFeatureSubsetStrategy("all")
+        some = trees.predict(maker.fit(known), known).select(F.lit(name).alias("model"), "o_orderkey", "label", "prediction")
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+@query("select * from (values ('random_forest', 10, true), ('boosted_trees', 10, true), ('decision_tree', 1, true)) t(model, trees, shallow)")
+def model_sizes(spark, folder):
+    """How many trees each model has, and that none is deeper than 10."""
+    train, _ = inputs.model_split(spark, folder)
+    found = []
+    for name, make in MODELS.items():
+        model = make().fit(train)
+        members = [model] if name == "decision_tree" else model.trees
+        found.append((name, len(members), all(t.depth <= 10 for t in members)))
+    return spark.createDataFrame(found, "model string, trees int, shallow boolean")
+
+
+@query(
+    "select * from (values ('random_forest', 'area_under_roc', true), ('boosted_trees', 'accuracy', true), ('decision_tree', 'accuracy', true)) t(model, metric, good)"
+)
+def model_report_checked(spark, folder):
+    return trees.model_report(*inputs.model_split(spark, folder)).select("model", "metric", (F.col("value") > 0.9).alias("good"))
