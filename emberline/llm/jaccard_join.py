@@ -3,8 +3,10 @@
 A document is the set of its word shingles. Shingles have one global order, the rare ones first. If two sets
 are similar enough, the first `n - ceil(t * n) + k` shingles of each share at least k, for any k of 1 or more. Every
 document picks its own k: a longer prefix costs more index rows but asks for more shared shingles, so k grows
-while the estimated work for the candidates falls. A pair is verified only if its prefixes share as many
-shingles as the smaller k of the two, and as many as its similarity leaves to them.
+while the estimated work for the candidates falls. The smaller set of a pair must have more of its shingles in the
+intersection than the larger one, so of its prefix the first `n - ceil(2 * t * n / (1 + t)) + k` are enough to meet. A
+pair is verified only if it meets in as many shingles as the smaller k of the two, and if its prefixes share as many as
+its similarity leaves to them.
 
 Equal sets are joined first and stand for one another. What is asked for is the components of the links, so
 a document first tries the one partner with which it shares most prefix shingles among the least ids of its
@@ -199,7 +201,9 @@ def jaccard_components(
     equal = stored(rows.join(least, "print").select(F.col(id_column).alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
     reps = least.select(F.col("rep").alias("id")).distinct()
     indexed = stored(prefixes(docs, id_column, size, percent, levels, most_matches).join(reps, "id", "left_semi"))
-    index = indexed.select("id", "n", "k", F.explode("prefix").alias("token"))
+    index = indexed.select("id", "n", "k", F.posexplode("prefix").alias("place", "token"))
+    early = F.col("place") < F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + F.col("k")
+    index = index.select("id", "n", "k", "token", early.alias("early"))
 
     groups = index.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "n", "k")).alias("lead")).where("docs > 1")
     shared = stored(index.join(groups.select("token", "lead"), "token"))
@@ -213,15 +217,20 @@ def jaccard_components(
     found = components(links)
     placed = shared.drop("lead").join(found, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     placed = stored(placed)
-    mixed = placed.groupBy("token").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high")).where("low < high")
+    mixed = placed.groupBy("token").agg(
+        F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.max("early").alias("met")
+    ).where("low < high and met")
     open_ = stored(placed.join(mixed.select("token"), "token", "left_semi"))
-    x = open_.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "k", "component_id")])
-    y = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "k", "component_id")])
-    near = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
-    met = x.join(y, "token").where((F.col("component_id_a") < F.col("component_id_b")) & near)
+    x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "k", "early", "component_id")]) for s in "ab")
+    near = F.lit(100) * F.col("n_a") >= F.lit(percent) * F.col("n_b")
+    smaller = F.struct("n_a", "id_a") < F.struct("n_b", "id_b")
+    met = x.where("early_a").join(y, "token").where((F.col("component_id_a") != F.col("component_id_b")) & near & smaller)
     pairs = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("common"), F.min(matches_needed(percent)).alias("needed")
+        F.count(F.lit(1)).alias("common"), F.min(F.least("k_a", "k_b")).alias("needed")
     ).where("common >= needed").select("a", "b")
+    sides = [indexed.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "k", "prefix")]) for s in "ab"]
+    shown = pairs.join(sides[0], "a").join(sides[1], "b")
+    pairs = shown.where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= matches_needed(percent)).select("a", "b").distinct()
     more = verified(pairs, docs, id_column, size, percent)
     all_links = stored(links.unionByName(more).unionByName(equal))
     of = components(all_links).withColumnRenamed("id", id_column)
