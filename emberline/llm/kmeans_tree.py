@@ -179,44 +179,59 @@ def _nearest(rows: DataFrame, queries: DataFrame, k: int, recall: float, sample_
     for r in sizes.collect():
         held[r["leaf"]] = r["n"]
 
+    # Neighbouring leaves share a block, so that a query gets one short list per block and not one per leaf.
+    block_of = (np.cumsum(held) - held) // ROWS_PER_PART
+    blocks = spark.createDataFrame([(int(i), int(b)) for i, b in enumerate(block_of)], "leaf bigint, block bigint")
+    placed = placed.join(F.broadcast(blocks), "leaf")
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, leaves = [], []
+            at, found, leaves = [], [], []
             for i, q in enumerate(batch.column("vector").to_numpy(zero_copy_only=False)):
-                seen = 0
+                seen, of_block = 0, {}
                 for n, leaf in enumerate(trees.value.visits(np.asarray(q))):
                     if n >= visits and seen > k:
                         break
                     if held[leaf]:
-                        at.append(i), leaves.append(leaf)
+                        of_block.setdefault(int(block_of[leaf]), []).append(leaf)
                         seen += int(held[leaf])
+                for block, some in of_block.items():
+                    at.append(i), found.append(block), leaves.append(some)
             rows = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column("vec_id"), rows.column("vector"), pa.array(leaves, pa.int64())], ["query_id", "vector", "leaf"])
-
-    walked = stored(queries.select("vec_id", "vector").mapInArrow(walk, "query_id bigint, vector array<double>, leaf bigint"))
-    asked = walked.groupBy("leaf").agg(F.count(F.lit(1)).alias("q"))
-    grid = sizes.join(asked, "leaf").select(
-        "leaf", F.ceil(F.col("n") / ROWS_PER_PART).cast("bigint").alias("row_parts"), F.ceil(F.col("q") / QUERIES_PER_PART).cast("bigint").alias("query_parts")
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("vec_id"), rows.column("vector"), pa.array(found, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))],
+                ["query_id", "vector", "block", "leaves"],
+            )
+
+    walked = stored(queries.select("vec_id", "vector").mapInArrow(walk, "query_id bigint, vector array<double>, block bigint, leaves array<bigint>"))
+    sizes = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    asked = walked.groupBy("block").agg(F.count(F.lit(1)).alias("q"))
+    grid = sizes.join(asked, "block").select(
+        "block",
+        F.ceil(F.col("n") / (2 * ROWS_PER_PART)).cast("bigint").alias("row_parts"),
+        F.ceil(F.col("q") / QUERIES_PER_PART).cast("bigint").alias("query_parts"),
     )
-    # A leaf with many rows or queries is cut on both sides; every part of the rows meets every part of the queries.
+    # A block with a leaf of many rows, or with many queries, is cut on both sides; every part of the rows meets every part of the queries.
     spread = lambda column, parts: F.pmod(F.xxhash64(column), F.col(parts))
     each = lambda parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
-    left = placed.join(grid, "leaf").withColumn("r", spread("vec_id", "row_parts")).withColumn("q", each("query_parts"))
-    right = walked.join(grid, "leaf").withColumn("q", spread("query_id", "query_parts")).withColumn("r", each("row_parts"))
+    left = placed.join(grid, "block").withColumn("r", spread("vec_id", "row_parts")).withColumn("q", each("query_parts"))
+    right = walked.join(grid, "block").withColumn("q", spread("query_id", "query_parts")).withColumn("r", each("row_parts"))
 
     def meet(_, some: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
         if len(some) and len(those):
-            x, ids = np.stack(some["vector"].to_numpy()), some["vec_id"].to_numpy(np.int64)
-            for i, q in zip(those["query_id"], those["vector"], strict=True):
-                score = np.where(ids == i, np.inf, distances(x, np.asarray(q)))
-                best = smallest(ids, score, k)
-                best = best[score[best] < np.inf]
-                out.append(pd.DataFrame({"query_id": i, "vec_id": ids[best], "score": score[best]}))
+            some = some.sort_values("leaf")
+            x, ids, leaf = np.stack(some["vector"].to_numpy()), some["vec_id"].to_numpy(np.int64), some["leaf"].to_numpy()
+            for i, q, leaves in zip(those["query_id"], those["vector"], those["leaves"], strict=True):
+                at = np.flatnonzero(np.isin(leaf, leaves) & (ids != i))
+                if len(at):
+                    score = distances(x[at], np.asarray(q))
+                    best = smallest(ids[at], score, k)
+                    out.append(pd.DataFrame({"query_id": i, "vec_id": ids[at[best]], "score": score[best]}))
         return pd.concat(out)
 
-    keys = ["leaf", "r", "q"]
-    found = left.select(*keys, "vec_id", "vector").groupBy(*keys).cogroup(right.select(*keys, "query_id", "vector").groupBy(*keys))
+    keys = ["block", "r", "q"]
+    found = left.select(*keys, "leaf", "vec_id", "vector").groupBy(*keys).cogroup(right.select(*keys, "query_id", "vector", "leaves").groupBy(*keys))
     found = found.applyInPandas(meet, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
