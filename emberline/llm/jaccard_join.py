@@ -34,6 +34,7 @@ COUNT_BITS = 20
 BLOCKS = 64
 MOST_MATCHES = 4
 BROADCAST_IDS = 1_000_000
+DOCS_PER_PART = 2_000
 CACHED_WORDS = 300_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -120,11 +121,12 @@ def prefix_of(shingles: np.ndarray, levels: np.ndarray, percent: int, most: int)
     n = len(shingles)
     level = levels[(shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
     base = n - overlap_needed(n, percent)
+    short = n - -(-2 * percent * n // (100 + percent))  # where it meets larger sets
     order = np.lexsort((shingles, level))[: base + most]
     partners = np.cumsum(np.exp2(level[order].astype(float)))
     best, cost = 1, np.inf
     for k in range(1, min(most, overlap_needed(n, percent)) + 1):
-        rows = partners[base + k - 1]
+        rows = partners[short + k - 1]
         work = rows + rows / k * n / 16  # reading the index, and comparing the candidates
         if work < cost:
             best, cost = k, work
@@ -186,6 +188,53 @@ def matches_needed(percent: int) -> Column:
     return F.greatest(F.least("k_a", "k_b"), whole - F.greatest(*rest))
 
 
+def candidates(open_: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs `(a, b)` of different components that meet in a shingle and whose prefixes share enough.
+
+    The documents of a shingle are compared by matrix products over the shingles of their prefixes; only pairs that
+    pass leave the task, each from the least of the shingles in which it meets. A shingle with many documents is
+    cut into parts on both sides, and every part meets every other.
+    """
+    parts = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("bigint").alias("parts"))
+    rows = open_.join(parts, "token")
+    mine, each = F.pmod(F.xxhash64("id"), F.col("parts")), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    columns = ["token", "p", "q", "id", "n", "k", "component_id", "prefix"]
+    left = rows.where("early").withColumn("p", mine).withColumn("q", each).select(*columns)
+    right = rows.withColumn("q", mine).withColumn("p", each).select(*columns).toDF(*columns)
+
+    def meet(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        if not len(x) or not len(y):
+            return none
+        known = np.intersect1d(np.concatenate(x["prefix"].to_numpy()), np.concatenate(y["prefix"].to_numpy()))
+        earlier = known < key[0]
+
+        def table(frame: pd.DataFrame, short: bool) -> np.ndarray:
+            out = np.zeros((len(frame), len(known)), np.float32)
+            for i, (n, k, prefix) in enumerate(zip(frame["n"], frame["k"], frame["prefix"], strict=True)):
+                some = prefix[: n - -(-2 * percent * n // (100 + percent)) + k] if short else prefix
+                at = np.minimum(np.searchsorted(known, some), len(known) - 1)
+                out[i, at[known[at] == some]] = 1
+            return out
+
+        of_y, (n_b, k_b, id_b, c_b) = table(y, False), (y[c].to_numpy() for c in ("n", "k", "id", "component_id"))
+        found = [none]
+        for lo in range(0, len(x), 500):
+            some = x.iloc[lo : lo + 500]
+            n_a, k_a, id_a, c_a = (some[c].to_numpy()[:, None] for c in ("n", "k", "id", "component_id"))
+            rest = np.maximum(-(-percent * n_a // 100) - k_a, -(-percent * n_b // 100) - k_b)
+            needed = np.maximum(np.minimum(k_a, k_b), -(-percent * (n_a + n_b) // (100 + percent)) - rest)
+            good = (c_a != c_b) & (100 * n_a >= percent * n_b) & ((n_a < n_b) | (n_a == n_b) & (id_a < id_b))
+            good &= table(some, False) @ of_y.T >= needed
+            good &= table(some, True)[:, earlier] @ of_y[:, earlier].T == 0
+            i, j = np.nonzero(good)
+            found.append(pd.DataFrame({"a": id_a[i, 0], "b": id_b[j]}))
+        return pd.concat(found)
+
+    keys = ["token", "p", "q"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "a bigint, b bigint").distinct()
+
+
 def jaccard_components(
     docs: DataFrame, size: int = 3, percent: int = 90, most_matches: int = MOST_MATCHES, id_column: str = "doc_id"
 ) -> DataFrame:
@@ -220,17 +269,8 @@ def jaccard_components(
     mixed = placed.groupBy("token").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.max("early").alias("met")
     ).where("low < high and met")
-    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi"))
-    x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "k", "early", "component_id")]) for s in "ab")
-    near = F.lit(100) * F.col("n_a") >= F.lit(percent) * F.col("n_b")
-    smaller = F.struct("n_a", "id_a") < F.struct("n_b", "id_b")
-    met = x.where("early_a").join(y, "token").where((F.col("component_id_a") != F.col("component_id_b")) & near & smaller)
-    pairs = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("common"), F.min(F.least("k_a", "k_b")).alias("needed")
-    ).where("common >= needed").select("a", "b")
-    sides = [indexed.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "k", "prefix")]) for s in "ab"]
-    shown = pairs.join(sides[0], "a").join(sides[1], "b")
-    pairs = shown.where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= matches_needed(percent)).select("a", "b").distinct()
+    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi").join(indexed.select("id", "prefix"), "id"))
+    pairs = candidates(open_, percent)
     more = verified(pairs, docs, id_column, size, percent)
     all_links = stored(links.unionByName(more).unionByName(equal))
     of = components(all_links).withColumnRenamed("id", id_column)
