@@ -35,7 +35,7 @@ BLOCKS = 64
 MOST_MATCHES = 4
 BROADCAST_IDS = 1_000_000
 DOCS_PER_PART = 2_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 

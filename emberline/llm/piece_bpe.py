@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 _NONE = np.iinfo(np.int32).max
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 SLICE_BYTES = 2 << 20
 
 
