@@ -4,8 +4,9 @@ Pages are ordered by host, path and id; of its two neighbours on the same host a
 whose path shares more leading characters. Both pages are cut into text lines (one per block), the lines are
 aligned by a longest common subsequence, and shared lines are deleted. What marks itself as something else
 (menus, footers, adverts, comments and so on, by element, class, id or role) goes in any case, as does what
-stands outside the article of a page that names one. Lines inside a named article, and pages that share most of
-their text with their neighbour, are copies of content and stay.
+stands outside the article of a page that names one. Shared lines inside a named article, and those of a page that
+shares most of its text with its neighbour, may be copies of content: they go only if the host shows them to be
+templates, beside three different bodies, and stay otherwise.
 
 The pairing moves line digests only; the pages themselves are read again where they lie.
 """
@@ -42,7 +43,9 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]
 _RAW = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in ("script", "style", "title", "textarea", "noscript", "iframe")}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_DIGITS = re.compile(r"\d+")
 IN_ARTICLE, ELSEWHERE, APART = 1, 0, -1
+EACH = pa.struct([("line", pa.int64()), ("body", pa.int64()), ("size", pa.int32()), ("shared", pa.bool_())])
 
 
 def is_apart(tag: str, attributes: str, in_article: bool) -> bool:
@@ -140,15 +143,17 @@ def shared_lines(mine: list[int], other: list[int]) -> list[int]:
     return out[::-1]
 
 
-def deletions(digests: list[int], where: list[int], sizes: list[int], other: list[int]) -> list[int]:
-    """Shared lines that the difference deletes; those that stand apart are gone anyway and are not listed."""
-    if IN_ARTICLE in where:
-        return []  # only the article's lines are left, and they stay
-    open_ = [i for i, w in enumerate(where) if w == ELSEWHERE]
-    shared = [i for i in shared_lines(digests, other) if where[i] == ELSEWHERE]
-    if 2 * sum(sizes[i] for i in shared) > sum(sizes[i] for i in open_):
-        return []
-    return shared
+def main_place(where: list[int]) -> int:
+    """Where a page's text stands: in its article if it names one."""
+    return IN_ARTICLE if IN_ARTICLE in where else ELSEWHERE
+
+
+def deletions(lines: list[int], where: list[int], sizes: list[int], shared: list[int], templates: set[int]) -> list[int]:
+    """Shared lines that the difference deletes. In an article, and where most of a page is shared, only templates go."""
+    place = main_place(where)
+    if place == ELSEWHERE and 2 * sum(sizes[i] for i in shared) <= sum(n for n, w in zip(sizes, where, strict=True) if w == place):
+        return shared
+    return [i for i in shared if lines[i] in templates]
 
 
 def paired(lines: DataFrame) -> DataFrame:
@@ -177,6 +182,27 @@ def paired(lines: DataFrame) -> DataFrame:
     return scored.select("row", other.alias("other")).where("other is not null")
 
 
+def templates(met: DataFrame) -> DataFrame:
+    """`(row, templates)`: the lines of a page that are the host's and not the page's.
+
+    A page's body is its longest line that most pages of the host do not have, without digits. A line is a template if
+    three different bodies stand beside it and most pages of the host have it, or at least eight pages share it with
+    their neighbour, which are half of those that have it: a part of the host.
+    """
+    each = met.select("row", "site", F.explode("each").alias("x")).select("row", "site", "x.*")
+    counts = each.groupBy("site", "line").agg(F.count(F.lit(1)).alias("holders"), F.count_if("shared").alias("sharers")).where("sharers > 0")
+    counts = stored(counts).join(stored(met.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))), "site")
+    most, part = 2 * F.col("holders") > F.col("pages"), (2 * F.col("sharers") >= F.col("holders")) & (F.col("sharers") >= 8)
+    counts = stored(counts.select("site", "line", most.alias("most"), (most | part).alias("common")))
+    met_lines = each.join(counts, ["site", "line"], "left")
+    body = F.max(F.when(~F.coalesce("most", F.lit(False)), F.struct("size", "body")))["body"].alias("body")
+    lines = F.collect_list(F.when(F.col("shared") & F.col("common"), F.col("line"))).alias("lines")
+    judged = stored(met_lines.groupBy("row", "site").agg(body, lines).where("size(lines) > 0"))
+    beside = judged.select("row", "site", "body", F.explode("lines").alias("line"))
+    found = beside.select("site", "line", "body").where("body is not null").distinct().groupBy("site", "line").count().where("count > 2").select("site", "line")
+    return beside.join(stored(found), ["site", "line"]).groupBy("row").agg(F.collect_list("line").alias("templates"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """`(page_id, url, text)`: the main text of every page, '' if there is none.
 
@@ -194,21 +220,39 @@ def main_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             parsed = [lines_of(p) for p in batch.column("html").to_pylist()]
             digests = [np.array([xxhash.xxh64_intdigest(t) for t, _ in p], np.uint64).view(np.int64) for p in parsed]
-            arrays = [pa.array(digests, pa.list_(pa.int64())), pa.array([[w for _, w in p] for p in parsed], pa.list_(pa.int32())), pa.array([[len(t) for t, _ in p] for p in parsed], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("host"), batch.column("path"), *arrays], ["row", "host", "path", "lines", "places", "sizes"])
+            bodies = [np.array([xxhash.xxh64_intdigest(_DIGITS.sub("", t)) for t, _ in p], np.uint64).view(np.int64) for p in parsed]
+            arrays = [pa.array(digests, pa.list_(pa.int64())), pa.array([[w for _, w in p] for p in parsed], pa.list_(pa.int32())), pa.array([[len(t) for t, _ in p] for p in parsed], pa.list_(pa.int32())), pa.array(bodies, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("host"), batch.column("path"), *arrays], ["row", "host", "path", "lines", "places", "sizes", "bodies"])
 
-    lines = stored(source.mapInArrow(cut, "row bigint, host string, path string, lines array<bigint>, places array<int>, sizes array<int>"))
-    once = lines.dropDuplicates(["row"]).select("row", "lines", "places", "sizes")
+    lines = stored(source.mapInArrow(cut, "row bigint, host string, path string, lines array<bigint>, places array<int>, sizes array<int>, bodies array<bigint>"))
+    once = lines.dropDuplicates(["row"]).select("row", F.xxhash64("host").alias("site"), "lines", "places", "sizes", "bodies")
     pairs = paired(lines).dropDuplicates(["row"])
     met = pairs.join(once, "row").join(once.select(F.col("row").alias("other"), F.col("lines").alias("beside")), "other")
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [deletions(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("lines", "places", "sizes", "beside")), strict=True)]
+            shared, each = [], []
+            for mine, where, sizes, bodies, beside in zip(*(batch.column(c).to_pylist() for c in ("lines", "places", "sizes", "bodies", "beside")), strict=True):
+                place = main_place(where)
+                shared.append([i for i in shared_lines(mine, beside) if where[i] == place])
+                both = {mine[i] for i in shared[-1]}
+                own = {mine[i]: {"line": mine[i], "body": bodies[i], "size": sizes[i], "shared": mine[i] in both} for i, w in enumerate(where) if w == place}
+                each.append(list(own.values()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "site", "lines", "places", "sizes")), pa.array(shared, pa.list_(pa.int32())), pa.array(each, pa.list_(EACH))], ["row", "site", "lines", "places", "sizes", "shared", "each"])
+
+    columns = "row bigint, site bigint, lines array<bigint>, places array<int>, sizes array<int>, shared array<int>"
+    met = met.select("row", "site", "lines", "places", "sizes", "bodies", "beside")
+    met = stored(met.mapInArrow(differ, f"{columns}, each array<struct<line:bigint,body:bigint,size:int,shared:boolean>>"))
+    settled = met.where("size(shared) > 0").join(templates(met), "row", "left").select("row", "lines", "places", "sizes", "shared", "templates")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("lines", "places", "sizes", "shared", "templates"))
+            found = [deletions(*x, set(t or ())) for *x, t in zip(*columns, strict=True)]
             some = [i for i, f in enumerate(found) if f]
             yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(some, pa.int64())), pa.array([found[i] for i in some], pa.list_(pa.int32()))], ["row", "gone"])
 
-    gone = stored(met.select("row", "lines", "places", "sizes", "beside").mapInArrow(differ, "row bigint, gone array<int>"))
+    gone = stored(settled.mapInArrow(settle, "row bigint, gone array<int>"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -163,6 +163,40 @@ def test_pages_lose_what_their_neighbours_share(spark):
     assert page_text.main_text(pages.limit(0)).count() == 0
 
 
+def texts_of(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in page_text.main_text(pages).collect()}
+
+
+WORDS = ["amber", "birch", "cedar", "delta", "ember", "frost", "grove", "heath"]
+
+
+def test_templates_inside_articles_go_and_copies_of_content_stay(spark):
+    article = "<article><p>{} is told of here at length.</p><div class='x1'>Pass this on to your friends</div></article>"
+    rows = [(i, f"http://a.org/{i}", article.format(w)) for i, w in enumerate(WORDS)]
+    copy = "<article><p>One long story that lies at two addresses of the host.</p><p>{}</p></article>"
+    rows += [(20, "http://a.org/z/1", copy.format("By Ann")), (21, "http://a.org/z/2", copy.format("By Bob"))]
+    rows += [(30 + i, f"http://mirror.org/{i}", f"<article><p>The same story everywhere.</p><p>Seen {i} times</p></article>") for i in range(4)]
+    rows += [(40 + i, f"http://b.org/{'s' if i < 9 else 'z'}/{i}", article.format(WORDS[i % 8] * (1 + i)) if i < 9 else f"<article>Page {WORDS[i % 8] * i}</article>") for i in range(30)]
+    rows += [(80 + i, f"http://c.org/{i}", f"<article><p>{WORDS[i % 8] * (1 + i)}</p>{'<p>Of.</p>' if 3 < i < 8 else ''}</article>") for i in range(20)]
+    found = texts_of(spark, rows)
+    assert all(found[i] == f"{w} is told of here at length." for i, w in enumerate(WORDS))
+    assert found[40] == "amber is told of here at length." and "friends" not in found[48]  # a part of the host
+    assert all(found[80 + i].endswith(" Of.") for i in range(4, 8))  # a line that some texts of the host have in common
+    assert found[20] == "One long story that lies at two addresses of the host. By Ann"
+    assert all(found[30 + i] == f"The same story everywhere. Seen {i} times" for i in range(4))
+
+
+def test_short_texts_under_long_templates_lose_the_template(spark):
+    page = "<div>All of the many things that this site has on offer, listed at length</div><p>{} is short.</p><div>And a long notice about the law that holds for every page</div>"
+    rows = [(i, f"http://a.org/{i}", page.format(w)) for i, w in enumerate(WORDS)]
+    copy = "<div>One long story that lies at two addresses of the host, in full.</div><p>{}</p>"
+    rows += [(20, "http://a.org/z/1", copy.format("By Ann")), (21, "http://a.org/z/2", copy.format("By Bob"))]
+    found = texts_of(spark, rows)
+    assert all(found[i] == f"{w} is short." for i, w in enumerate(WORDS))
+    assert found[21] == "One long story that lies at two addresses of the host, in full. By Bob"
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     found = {r.id: r.component_id for r in common.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
