@@ -36,38 +36,70 @@ ASIDE_NAMES = {
     "notice", "notices", "overlay", "pagination", "popup", "promo", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget",
 }
+COMMENT_NAMES = {"comment", "comments", "disqus", "replies", "reply"}
+# Words before a name that say something of another element, and words behind one that leave its meaning.
+MODIFIERS = {"has", "have", "hide", "hides", "is", "no", "non", "not", "show", "shows", "with", "without"}
+BOX_NAMES = {"area", "bar", "block", "body", "box", "button", "buttons", "container", "content", "group", "inner", "item", "items", "link", "links", "list", "panel", "section", "slot", "unit", "wrap", "wrapper"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _RAW = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in ("script", "style", "title", "textarea", "noscript", "iframe")}
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
-IN_ARTICLE, ELSEWHERE, APART = 1, 0, -1
+REOPENED, IN_ARTICLE, ELSEWHERE, APART, PART, COMMENTS, SILENCED = 2, 1, 0, -1, -2, -3, -4  # outside of cut_lines the second to fourth only
 EACH = pa.struct([("line", pa.int64()), ("body", pa.int64()), ("size", pa.int32()), ("shared", pa.bool_())])
 
 
-def is_apart(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is a page part other than main text; an article's own header belongs to it."""
-    if tag in ASIDE:
-        return not (tag == "header" and in_article)
-    if tag in ("body", "html", "article", "main") and "comment" not in attributes.lower():
+def named_apart(token: str) -> bool:
+    """Whether a class, id or role says that an element is such a part: alone, at its end, or with words for a box behind it."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    if not words or words[0] in MODIFIERS and len(words) > 1:
         return False
-    for found in _NAMES.findall(attributes):
-        words = _WORD.findall("".join(found).lower())
-        if not ASIDE_NAMES.isdisjoint(words):
-            return True
-    return False
+    return words[-1] in ASIDE_NAMES or words[0] in ASIDE_NAMES and BOX_NAMES.issuperset(words[1:])
+
+
+def standing(tag: str, attributes: str, in_article: bool) -> int:
+    """Where an element puts its text: ELSEWHERE if it changes nothing, PART by its element, APART by its name or as a form, COMMENTS."""
+    if tag in ("body", "html"):
+        return ELSEWHERE
+    tokens = [t for found in _NAMES.findall(attributes) for t in "".join(found).split()]
+    if any(named_apart(t) and not COMMENT_NAMES.isdisjoint(w.lower() for w in _WORD.findall(t)) for t in tokens):
+        return COMMENTS
+    if tag in ASIDE and tag != "form":
+        return ELSEWHERE if tag == "header" and in_article else PART
+    if tag in MAIN:
+        return ELSEWHERE
+    return APART if tag == "form" or any(map(named_apart, tokens)) else ELSEWHERE
 
 
 def lines_of(page: str | None) -> list[tuple[str, int]]:
-    """The text lines of a page in order, each with where it stands. Unclosed and cut tags are borne."""
+    """The text lines of a page in order, each with where it stands. Unclosed and cut tags are borne.
+
+    A page without article keeps forms and named elements that hold three quarters of its text, links and menus apart.
+    An article inside an element that stands apart is then the page's if it is no comment, no other article is there and
+    the text elsewhere is not longer.
+    """
     page = page or ""
+    lines, parts, size = cut_lines(page, frozenset())
+    if all(w != IN_ARTICLE for _, w in lines):
+        wrappers = frozenset(at for at, begin, end in parts if end > begin and 4 * (end - begin) >= 3 * size)
+        if wrappers:
+            lines = cut_lines(page, wrappers)[0]
+        inside, open_, named = (sum(len(t) for t, w in lines if w == place) for place in (REOPENED, ELSEWHERE, IN_ARTICLE))
+        if inside >= open_ and not named:
+            lines = [(t, IN_ARTICLE if w == REOPENED else w) for t, w in lines]
+    return [(t, w if w in (IN_ARTICLE, ELSEWHERE) else APART) for t, w in lines]
+
+
+def cut_lines(page: str, wrappers: frozenset[int]) -> tuple[list[tuple[str, int]], list[list[int]], int]:
+    """Lines with where they stand; forms and named elements with the text before their begin and end; all text. Elements at `wrappers` change nothing."""
     out: list[tuple[str, int]] = []
     text: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements that change where text stands, and others of the same name inside
-    where, at = ELSEWHERE, 0
+    stack: list[tuple[str, int, int]] = []  # open elements that change where text stands, and others of the same name inside
+    parts: list[list[int]] = []
+    where, at, size, link = ELSEWHERE, 0, 0, False
 
     def close_line() -> None:
         line = " ".join(html.unescape("".join(text)).split())
@@ -75,21 +107,32 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
             out.append((line, where))
         text.clear()
 
+    def leave() -> int:
+        _, before, part = stack.pop()
+        if part >= 0:
+            parts[part][2] = size
+        return before
+
     while at < len(page):
         tag = _TAG.search(page, at)
-        text.append(page[at : tag.start() if tag else len(page)])
+        chunk = page[at : tag.start() if tag else len(page)]
+        text.append(chunk)
+        if not link and where > PART:
+            size += len(chunk.strip())
         if not tag:
             break
         at = tag.end()
         name = (tag[2] or "").lower()
+        if name == "a":
+            link = not tag[1]
         if not name or name in INLINE and not stack and "=" not in (tag[3] or ""):
             continue
         if tag[1]:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, *_ in stack):
                 close_line()
                 while stack[-1][0] != name:
-                    stack.pop()
-                where = stack.pop()[1]
+                    leave()
+                where = leave()
             elif name not in INLINE:
                 close_line()
             continue
@@ -99,26 +142,28 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
                 end = _RAW[name].search(page, at)
                 at = end.end() if end else len(page)
                 continue
-            stack.append((name, where))
-            where = APART
+            stack.append((name, where, -1))
+            where = SILENCED
         elif name in VOID:
             if name not in INLINE:
                 close_line()
-        elif where != APART and is_apart(name, tag[3] or "", where == IN_ARTICLE):
+        elif where > COMMENTS and tag.start() not in wrappers and (place := standing(name, tag[3] or "", where in (IN_ARTICLE, REOPENED))) != ELSEWHERE:
             close_line()
-            stack.append((name, where))
-            where = APART
-        elif where != APART and name in MAIN:
+            stack.append((name, where, len(parts) if place == APART else -1))
+            if place == APART:
+                parts.append([tag.start(), size, -1])
+            where = min(where, place)
+        elif where > COMMENTS and name in MAIN:
             close_line()
-            stack.append((name, where))
-            where = IN_ARTICLE
+            stack.append((name, where, -1))
+            where = REOPENED if name == "article" and where in (APART, PART, REOPENED) else IN_ARTICLE
         else:
             if name not in INLINE:
                 close_line()
-            if any(n == name for n, _ in stack):  # so that its end does not close the outer one
-                stack.append((name, where))
+            if any(n == name for n, *_ in stack):  # so that its end does not close the outer one
+                stack.append((name, where, -1))
     close_line()
-    return out
+    return out, [[at, begin, size if end < 0 else end] for at, begin, end in parts], size
 
 
 def shared_lines(mine: list[int], other: list[int]) -> list[int]:

@@ -134,6 +134,36 @@ def test_lines_of_a_page():
     assert page_text.lines_of(None) == []
 
 
+def kept(page):
+    lines = page_text.lines_of(page)
+    best = max((w for _, w in lines), default=0)
+    return " ".join(t for t, w in lines if w == best != -1)
+
+
+def test_names_drop_an_element_only_as_whole_tokens_or_their_last_part():
+    for name in ("has-sidebar", "no-ads", "post-social-science", "search-results", "with-menu", "hasSidebar", "formal", "social-science"):
+        assert kept(f"<p>Top</p><div class='wide {name}'>Text</div>") == "Top Text", name
+        assert kept(f"<p>Top</p><div id={name}>Text</div>") == "Top Text", name
+    for name in ("sidebar", "left-sidebar", "userComments", "user-comments", "comment-list", "ad-123", "div-gpt-ad-7", "share_buttons", "cookie-notice", "menu-item-4"):
+        assert kept(f"<p>The longer text of this page</p><div class='wide {name}'>Apart</div>") == "The longer text of this page", name
+    assert kept("<p>Top</p><div data-id='menu'>Text</div>") == "Top Text"
+
+
+def test_articles_and_wrappers_inside_dropped_elements_stay():
+    assert kept("<form id=aspnetForm><nav>m</nav><p>All of the text</p><div class=ads>buy</div></form>") == "All of the text"
+    assert kept("<div class=sidebar><div class=widget><p>All of the text</p></div><footer>f</footer></div>") == "All of the text"
+    assert kept("<form><article>Story</article><p>other</p></form>") == "Story"
+    assert kept("<form><p>All of the text</p><aside><article>Teaser</article></aside></form>") == "All of the text"
+    assert kept("<body class='comments has-comments'><p>All of the text</p>") == "All of the text"
+    assert kept("<div class=sidebar><main>Story</main></div>") == "Story"
+    assert kept("<div class=comments><article>Said one</article></div>") == ""
+    assert kept("<p>Short</p><section id=comments><p>A much longer comment than the text</p><article>And more</article></section>") == "Short"
+    assert kept("<p>A text without an article of its own</p><aside><article>Teaser</article></aside>") == "A text without an article of its own"
+    assert kept("<article>Story</article><aside class=related><article>Teaser of more text than the story</article></aside>") == "Story"
+    assert kept("<p>Short</p><div class=menu><a href=x>One long link</a> <a href=y>Another long link</a></div>") == "Short"
+    assert kept("<p>The text to read</p><form>Name <input> Your address</form>") == "The text to read"
+
+
 def lcs(a, b):
     best = np.zeros((len(a) + 1, len(b) + 1), int)
     for i in range(len(a)):
