@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.llm import bwt_dedup, jaccard_join, nbsvm, piece_bpe, queries, source_mix
-from emberline.llm.common import WORD, stored, table
+from emberline.llm.common import WORD, ranked, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,15 +30,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of every group linked by five-word shingles with a similarity of 0.8 or more.
 
-    Documents without words or id stay. Of rows that share an id, one stays.
+    Documents without words or id stay. Rows that share an id are documents of their own, which go only as near
+    copies; among those the one with the least digest stays.
     """
     docs = docs.select(*COLUMNS)
-    groups = stored(jaccard_join.jaccard_components(docs, size=5, percent=80).select("doc_id", "component_id"))
-    kept = groups.where("component_id = doc_id").select("doc_id")
-    named = docs.where("doc_id is not null").join(kept.distinct(), "doc_id", "left_semi")
-    if kept.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
-    return documents(named.unionByName(docs.where("doc_id is null")))
+    named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    if named.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        digest = F.md5(F.to_json(F.struct("doc_id", "text", "lang", "source")).cast("binary"))
+        keyed = stored(ranked(named.withColumn("digest", digest), ["doc_id", "digest"], "row"))
+    else:
+        keyed = named.withColumn("row", F.col("doc_id"))
+    groups = stored(jaccard_join.jaccard_components(keyed, size=5, percent=80, id_column="row").select("row", "component_id"))
+    kept = keyed.join(groups.where("component_id = row").select("row"), "row", "left_semi")
+    return documents(kept.unionByName(nameless, allowMissingColumns=True))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

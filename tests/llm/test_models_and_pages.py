@@ -249,6 +249,14 @@ def test_pipeline_stages(spark, odd_documents, no_documents):
             docs = after if after.count() else odd_documents
 
 
+def test_rows_with_one_id_go_only_as_near_copies(spark, documents):
+    one, two = (" ".join(f"{name}{i}" for i in range(60)) for name in ("left", "right"))
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two), (3, "something else altogether, in a row of the same id"), (4, ""), (4, ""), (None, one), (None, one)]
+    found = corpus_pipeline.near_copies(spark, documents(rows), FOLDER).collect()
+    expected = [(1, one), (1, two), (3, rows[4][1]), (4, ""), (4, ""), (None, one), (None, one)]
+    assert sorted((r.doc_id or 0, r.text) for r in found) == sorted((i or 0, t) for i, t in expected)
+
+
 def test_pipeline_result(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r.n_tokens * 4 == len(r.ids) for r in rows)
