@@ -1,11 +1,17 @@
 """Classifiers by held-out accuracy, vectors and pages against brute force, and the pipeline's contract."""
 
+import hashlib
+import json
+import random
+
 import numpy as np
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from emberline.llm import common, hnsw_dedup, kmeans_tree, kneser_ney, nbsvm, page_text, queries
+from emberline.llm import bwt_dedup, common, hnsw_dedup, kmeans_tree, kneser_ney, nbsvm, page_text, queries
+from tests.llm.test_text_operators import repeats, shingle_components
 
 FOLDER = "/root/testdata/sf0.01"
 VECTOR = "vec_id bigint, embedding array<float>, label int, component_id string"
@@ -249,6 +255,65 @@ def test_pipeline_stages(spark, odd_documents, no_documents):
             docs = after if after.count() else odd_documents
 
 
+def plain_mix(rows):
+    """The mixed copies `(doc_id, text, source)` of `(doc_id, text, source)` rows with unique ids."""
+    sources = sorted({s for *_, s in rows})
+    size = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in sources}
+    weight = {s: 1 + n % 3 for n, s in enumerate(sources)}
+    budget, capped, level = sum(size.values()), set(), 0.0
+    while len(capped) < len(sources):
+        level = (budget - sum(3 * size[s] for s in capped)) / sum(weight[s] for s in sources if s not in capped)
+        more = {s for s in sources if 3 * size[s] <= level * weight[s]}
+        if more == capped:
+            break
+        capped = more
+    out = []
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    for s in sources:
+        target, start = min(3.0 * size[s], level * weight[s]), 0
+        digest = lambda r: md5(md5(json.dumps({"doc_id": r[0], "text": r[1], "lang": "en", "source": r[2]}, separators=(",", ":"))))
+        for i, text, _ in sorted((r for r in rows if r[2] == s), key=digest) * 3:
+            words = text.split()
+            take = int(max(np.floor(min(start + len(words), target)) - start, 0))
+            start += len(words)
+            if take:
+                out.append((i, text if take == len(words) else " ".join(words[:take]), s))
+    return sorted(out)
+
+
+def test_stages_equal_plain_programs(spark, documents):
+    draw = random.Random(4)
+    words = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    passage = words(90)
+    rows = [(i, words(draw.randint(1, 60)) + (f" {passage} {words(9)}" if i % 9 == 0 else ""), "abc"[i % 3 * (i % 5 > 0)]) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + (" end" if i % 2 else ""), rows[i][2]) for i in range(20)]
+    docs = documents(rows)
+    texts = lambda found: sorted((r.doc_id, r.text, r.source) for r in found.collect() if r.lang == "en" and r.n_chars == len(r.text))
+
+    model = queries.quality_model(docs, common.table(spark, FOLDER, "labels"))
+    good = {r.doc_id for r in nbsvm.score(docs, model).collect() if r.score >= 0.5}
+    assert texts(corpus_pipeline.quality(spark, docs, FOLDER)) == [r for r in sorted(rows) if r[0] in good]
+
+    groups = shingle_components([r[:2] for r in rows], 5, 80)
+    single = [r for r in sorted(rows) if groups[r[0]][1] == r[0]]
+    assert 40 < len(single) < len(rows) and texts(corpus_pipeline.near_copies(spark, docs, FOLDER)) == single
+
+    docs = documents(single)
+    left = [(i, b.decode(errors="replace"), s) for (i, t, s), b in zip(single, repeats([r[1] for r in single], bwt_dedup.WIDTH), strict=True) if b or not t]
+    assert left != single and texts(corpus_pipeline.repeated_passages(spark, docs, FOLDER)) == left
+
+    docs, mixed = documents(left), plain_mix(left)
+    ids = [r[0] for r in mixed]
+    assert len(set(ids)) < len(ids) and any(m not in left for m in mixed)
+    assert texts(corpus_pipeline.mixture(spark, docs, FOLDER)) == mixed
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    coded = {i: pieces.encode(t, add_bos=True, add_eos=True) for i, t, _ in left}
+    found = corpus_pipeline.tokens(spark, docs, FOLDER).collect()
+    assert {r.doc_id: (np.frombuffer(r.ids, "<i4").tolist(), r.n_tokens) for r in found} == {i: (c, len(c)) for i, c in coded.items()}
+    assert {r.doc_id: r.decoded_sha256 for r in found} == {i: hashlib.sha256(pieces.decode(c).encode()).hexdigest() for i, c in coded.items()}
+
+
 def test_rows_with_one_id_go_only_as_near_copies(spark, documents):
     one, two = (" ".join(f"{name}{i}" for i in range(60)) for name in ("left", "right"))
     rows = [(1, one), (1, two), (2, one + " more"), (3, two), (3, "something else altogether, in a row of the same id"), (4, ""), (4, ""), (None, one), (None, one)]
