@@ -161,7 +161,7 @@ def nearest(
 def _nearest(rows: DataFrame, queries: DataFrame, k: int, recall: float, sample_rows: int) -> DataFrame:
     spark = rows.sparkSession
     digest = F.xxhash64("vec_id")
-    sample = rows.orderBy(digest, "vec_id").limit(sample_rows).select("vector").toPandas()
+    sample = rows.orderBy(digest, "vec_id").limit(sample_rows).select(digest.alias("digest"), "vec_id", "vector").toPandas()
     tree = Tree(np.stack(sample["vector"].to_numpy())) if len(sample) else Tree(np.zeros((1, 1)))
     trees = spark.sparkContext.broadcast(tree)
 
@@ -172,7 +172,10 @@ def _nearest(rows: DataFrame, queries: DataFrame, k: int, recall: float, sample_
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(leaf)], ["vec_id", "vector", "leaf"])
 
     placed = stored(rows.select("vec_id", "vector").mapInArrow(place, "vec_id bigint, vector array<double>, leaf bigint"))
-    probes = queries.orderBy(digest, "vec_id").limit(CALIBRATION_QUERIES).select("vec_id", "vector").toPandas()
+    # Rows that the tree was fitted on come last, and others in an order of their own.
+    last = [F.lit(int(sample[c].iloc[-1])).alias(c) for c in ("digest", "vec_id")] if len(sample) else None
+    fitted = F.struct(digest.alias("digest"), "vec_id") <= F.struct(*last) if last else F.lit(False)
+    probes = queries.orderBy(fitted, F.xxhash64("vec_id", F.lit("probe")), "vec_id").limit(CALIBRATION_QUERIES).select("vec_id", "vector").toPandas()
     visits = calibrate(tree, placed, probes, k, recall)
     sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     held = np.zeros(tree.leaves, np.int64)  # one number per leaf, and the tree bounds the leaves

@@ -94,6 +94,17 @@ def test_tree_search_finds_most_neighbours_and_exact_distances(spark):
     assert hits >= 0.9 * 10 * len(true)
 
 
+def test_calibration_leaves_out_rows_the_tree_was_fitted_on(spark, monkeypatch):
+    df = spark.createDataFrame(vectors(seed=3, n=1_500), VECTOR)
+    asked, calibrate = [], kmeans_tree.calibrate
+    monkeypatch.setattr(kmeans_tree, "calibrate", lambda tree, rows, queries, *a: asked.append(set(queries["vec_id"])) or calibrate(tree, rows, queries, *a))
+    kmeans_tree.nearest(df, df.where("vec_id % 5 = 0"), sample_rows=300)
+    kmeans_tree.nearest(df, df.where("vec_id % 100 = 0"))
+    fitted = {r.vec_id for r in kmeans_tree.usable(df).select("vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(300).collect()}
+    assert len(asked[0]) == kmeans_tree.CALIBRATION_QUERIES and not asked[0] & fitted
+    assert asked[1]  # all rows are fitted, so fitted ones are asked
+
+
 def test_few_candidates_are_all_returned(spark):
     rows = [(0, [1.0, 0.0], 0, ""), (1, [1.0, 0.0], 0, ""), (2, [0.0, 2.0], 0, ""), (3, None, 0, "")]
     df = spark.createDataFrame(rows, VECTOR)
