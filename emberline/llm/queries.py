@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import bwt_dedup, hnsw_dedup, jaccard_join, kmeans_tree, kneser_ney, nbsvm, page_text, piece_bpe, source_mix, token_counts
+from emberline.llm import (
+    bwt_dedup, fm_decontam, hadamard_kmeans, hnsw_dedup, jaccard_join, kmeans_tree, kneser_ney, misra_gries, nbsvm, page_text, piece_bpe,
+    source_mix, token_counts,
+)
 from emberline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +184,116 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", fold(5) != 0, kneser_ney.SAMPLE_ROWS)
     return judged(kneser_ney.score(docs, kneser_ney.fit(known, docs)), fold(5) == 0)
+
+
+@query("op11_fm_decontam")
+def op11_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op11_fm_decontam"] = r"""
+with items as (
+    select coalesce(item_id::varchar, '') as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+    select distinct item, least(len(w), 10) as k, unnest(list_transform(range(1, greatest(len(w) - 8, 2)), lambda i: array_to_string(w[i:i + 9], ' '))) as win
+    from items where len(w) > 0),
+docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+grams as (
+    select r, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: {'i': i, 'win': array_to_string(w[i:i + k - 1], ' ')})) as g
+    from docs, (select distinct k from windows) lengths where len(w) >= k),
+hits as (select r, grams.k, g.i as i, item from grams join windows on windows.win = g.win and windows.k = grams.k),
+covered as (select r, count(distinct place) as n_hit from (select r, unnest(range(i, i + k)) as place from hits) group by r),
+named as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct r, item from hits) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (r) left join named using (r)
+"""
+
+
+@query("op12_misra_gries")
+def op12_misra_gries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return misra_gries.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_misra_gries"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+    select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+    from words, (select unnest([1, 2, 3, 4, 5]) as m) sizes where len(w) >= m),
+f as materialized (select lang, m, phrase, count(*) as a from grams group by lang, m, phrase),
+totals as (select lang, sum(a)::hugeint as n from f where m = 1 group by lang),
+cand as materialized (select lang, m, phrase, a, string_split(phrase, ' ') as w from f where m > 1 and a >= 100),
+cuts as (
+    select lang, m, phrase, a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:], ' ') as tail
+    from cand, (select unnest([1, 2, 3, 4]) as k) ks where k < m),
+scored as (
+    select c.lang, c.m, c.phrase, c.a, k, x.a as l, y.a as r, n, (1000 * c.a::hugeint * n) // (x.a::hugeint * y.a::hugeint) as score
+    from cuts c join f x on x.lang = c.lang and x.phrase = c.head and x.m = c.k
+    join f y on y.lang = c.lang and y.phrase = c.tail and y.m = c.m - c.k join totals t on t.lang = c.lang),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+    select distinct c.lang, array_to_string(w[i:i + s - 1], ' ') as phrase, a
+    from cand c, (select unnest([2, 3, 4]) as s) ss, (select unnest([1, 2, 3, 4]) as i) ii where s < m and i + s - 1 <= m),
+covers as (select lang, phrase, max(a) as cover from inside group by lang, phrase)
+select b.lang, (row_number() over (partition by b.lang order by score desc, a desc, encode(b.phrase)))::int as rank, b.phrase, a, l, r,
+    n::bigint as n, score::bigint as score
+from best b left join covers c on c.lang = b.lang and c.phrase = b.phrase where cover is null or 100 * cover < 100 * a
+qualify rank <= 2000
+"""
+
+
+@query("op13_hadamard_kmeans")
+def op13_hadamard_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hadamard_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+    sums = found.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(20,0)")).cast("bigint").alias("inertia")).collect()  # a row per centroid
+    per_cluster = {r.cluster: r.inertia for r in sums}
+    facts = [(i, per_cluster.get(i, 0), sum(per_cluster.values()), ",".join(map(str, c))) for i, c in enumerate(found.centroids)]
+    facts = spark.createDataFrame(facts, "cluster int, cluster_inertia bigint, inertia bigint, centroid string")
+    joined = found.rows.join(F.broadcast(facts), "cluster")
+    return joined.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
+def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    """Rounds written out one after another; whole numbers stay exact in doubles and 128-bit sums."""
+    steps = [
+        f"""kept as materialized (
+    select row_number() over () as r, vec_id, list_transform(embedding::double[], lambda x: floor(1024 * x)::bigint) as v,
+        sha256('3:' || coalesce(vec_id::varchar, '')) as digest
+    from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"c0 as materialized (select row_number() over (order by digest, v) - 1 as c, v as m from kept order by digest, v limit {k})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} as materialized (
+    select r, vec_id, v, c, m, list_sum(list_transform(range(1, 65), lambda j: (v[j] - m[j]) * (v[j] - m[j])))::bigint as d
+    from kept, c{i} qualify row_number() over (partition by r order by d, c) = 1)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} as materialized (
+    select c, j, sum(x) as s, count(*) as n from (select c, unnest(v) as x, unnest(range(1, 65)) as j from a{i}) group by c, j),
+c{i + 1} as materialized (
+    select c{i}.c, coalesce(moved.m, c{i}.m) as m from c{i} left join (
+        select c, list(((s - ((s % n) + n) % n) // n)::bigint order by j) as m from s{i} group by c) moved on moved.c = c{i}.c)"""
+            )
+    return (
+        "with " + ",\n".join(steps) + f""" select vec_id, c::int as cluster, d as distance, (sum(d) over (partition by c))::bigint as cluster_inertia,
+    (sum(d) over ())::bigint as inertia, sha256(array_to_string(m, ',')) as centroid_sha256 from a{rounds}"""
+    )
+
+
+ORACLE["op13_hadamard_kmeans"] = _lloyd_sql()
