@@ -5,10 +5,11 @@
 2. Phrases are hashed and summed per task, and their hashes go to hash partitions, each a run of cells. A
    partition's summary holds more counters than its mass divided by the threshold: when it overflows, all counters drop by the
    largest one beyond the capacity, which costs a phrase less than the threshold in all. So every frequent phrase survives.
-   Summaries of one partition can be merged and keep that bound.
-3. Survivors set bits in a second bitmap of fixed size. The second pass counts the phrases it lets through, as texts, exactly.
+   Summaries of one partition can be merged and keep that bound. This is done for pairs of words first, then for the longer
+   phrases all of whose pairs survived.
+3. Survivors set bits in bitmaps of fixed size. The second pass counts the phrases they let through, as texts, exactly.
 
-Only the two bitmaps and one number per cell come to the driver.
+Only the bitmaps and a number per cell come to the driver.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ CELL_BITS = 14
 WORD_BITS = 24
 PHRASE_BITS = 27
 PARTITION_MASS = 25_000_000
+SPARE = 8
+"""Counters per mass divided by the threshold; the guarantee needs 1, more of them let fewer rare phrases through."""
 SLICE_BYTES = 4 << 20
 FLUSH_ENTRIES = 1 << 21
 ROW_ENTRIES = 512
@@ -69,8 +72,7 @@ class Words:
         last = np.flatnonzero(end)
         #: How many words of the piece are left from each word on.
         self.left = np.repeat(last + 1, np.diff(np.concatenate([[-1], last]))) - np.arange(len(piece))
-        code = pd.util.hash_array(np.array(self.names.to_pylist(), object), categorize=False)
-        lang_code = pd.util.hash_array(np.array(self.lang_names, object), categorize=False)
+        code, lang_code = text_codes(self.names.to_pylist()), text_codes(self.lang_names)
         self.code = mixed(code[self.word] + lang_code[self.lang] * _MIX) if len(self.word) else np.zeros(0, np.uint64)
 
     def phrases(self, most: int, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -83,12 +85,25 @@ class Words:
             code = mixed(code * _MIX + self.code[start + words - 1])
             yield words, start, code
 
+    def up_to(self, stops: np.ndarray) -> np.ndarray:
+        """How many places there are from each word to the next stop."""
+        every = np.arange(len(self.word))
+        return np.append(stops, len(self.word))[np.searchsorted(stops, every)] - every
+
     def frequent_left(self, bitmap: np.ndarray) -> np.ndarray:
-        """How many words of the piece follow each word up to the first one that the bitmap does not hold."""
-        n = len(self.word)
-        rare = np.flatnonzero(~in_bitmap(bitmap, self.code))
-        after = np.append(rare, n)[np.searchsorted(rare, np.arange(n))]
-        return np.minimum(self.left, after - np.arange(n))
+        """How many words of the piece are left up to the first one that the bitmap does not hold."""
+        return np.minimum(self.left, self.up_to(np.flatnonzero(~in_bitmap(bitmap, self.code))))
+
+    def paired_left(self, frequent: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """How many are left up to the first pair that the second bitmap does not hold, its first word included."""
+        (_, start, code) = next(self.phrases(2, self.frequent_left(frequent)))
+        alone = np.ones(len(self.word), bool)
+        alone[start[in_bitmap(pairs, code)]] = False
+        return self.up_to(np.flatnonzero(alone)) + 1
+
+
+def text_codes(texts: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(texts, object), categorize=False)
 
 
 def in_bitmap(bitmap: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -149,75 +164,119 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 
 
 def count_words(docs: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
-    """`(lang, word, code, n)`: words per language, and in rows without a word the phrases per cell `code` of their hash."""
+    """`(lang, word, cell, n)`: words per language, and in rows without a word the phrases per cell of their hash: first the
+    cells of pairs, then those of longer phrases."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass = np.zeros(1 << CELL_BITS, np.int64)
-        names = ["lang", "word", "code", "n"]
+        cells = 1 << CELL_BITS
+        mass = np.zeros(2 * cells, np.int64)
+        names = ["lang", "word", "cell", "n"]
         for words in slices(batches):
             pair = words.lang.astype(np.int64) * max(1, len(words.names)) + words.word
-            pair, at, n = np.unique(pair, return_index=True, return_counts=True)
+            _, at, n = np.unique(pair, return_index=True, return_counts=True)
             langs = pa.array(words.lang_names, pa.string()).take(pa.array(words.lang[at]))
-            yield pa.RecordBatch.from_arrays([langs, words.names.take(pa.array(words.word[at])), pa.array(words.code[at].view(np.int64)), pa.array(n, pa.int64())], names)
-            for _, _, code in words.phrases(most_words, words.left):
-                mass += np.bincount((code >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(mass))
+            yield pa.RecordBatch.from_arrays([langs, words.names.take(pa.array(words.word[at])), pa.nulls(len(at), pa.int32()), pa.array(n, pa.int64())], names)
+            for size, _, code in words.phrases(most_words, words.left):
+                mass += np.bincount((code >> np.uint64(64 - CELL_BITS)).astype(np.int64) + (size > 2) * cells, minlength=len(mass))
         some = np.flatnonzero(mass)
         none = pa.nulls(len(some), pa.string())
-        yield pa.RecordBatch.from_arrays([none, none, pa.array(some, pa.int64()), pa.array(mass[some], pa.int64())], names)
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(some, pa.int32()), pa.array(mass[some], pa.int64())], names)
+
+    found = docs.select("text", "lang").mapInArrow(counted, "lang string, word string, cell int, n bigint")
+    return found.groupBy("lang", "word", "cell").agg(F.sum("n").alias("n"))
+
+
+def word_codes(words: DataFrame) -> DataFrame:
+    """`(code)`: the hash of each `(lang, word)`, as in the texts."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                code = mixed(text_codes(batch.column("word").to_pylist()) + text_codes(batch.column("lang").to_pylist()) * _MIX)
+                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64), pa.int64())], ["code"])
+
+    return words.select("lang", "word").mapInArrow(coded, "code bigint")
 
-    found = docs.select("text", "lang").mapInArrow(counted, "lang string, word string, code bigint, n bigint")
-    return found.groupBy("lang", "word", "code").agg(F.sum("n").alias("n"))
 
+KEY_BITS = 48
 
-def survivors(docs: DataFrame, frequent, mass: np.ndarray, threshold: int, most_words: int, partition_mass: int = PARTITION_MASS) -> DataFrame:
-    """`(code)`: hashes of all phrases that can have `threshold` occurrences, and of some others."""
+
+def packed(part_of: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, bytes, bytes]]:
+    """Sorted keys of `KEY_BITS` bits as rows `(part, first key, gaps, counts)` of `ROW_ENTRIES` keys of one part at most.
+
+    Gaps take 32 bits each; a row with a wider one has its keys whole, 64 bits each.
+    """
+    part = part_of[(keys >> np.uint64(KEY_BITS - CELL_BITS)).astype(np.int64)]
+    place = np.arange(len(part)) - np.searchsorted(part, part)
+    cuts = np.append(np.flatnonzero(place % ROW_ENTRIES == 0), len(part))
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    gaps[cuts[:-1]] = 0
+    wide = np.add.reduceat((gaps >> np.uint64(32)).astype(np.int64), cuts[:-1]) > 0
+    short, counts = gaps.astype(np.uint32), counts.astype(np.int32)
+    return [
+        (int(part[a]), int(keys[a]), keys[a:b].tobytes() if w else short[a:b].tobytes(), counts[a:b].tobytes())
+        for a, b, w in zip(cuts, cuts[1:], wide, strict=False)
+    ]
+
+
+def unpacked(first: int, gaps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = np.frombuffer(counts, np.int32).astype(np.int64)
+    if len(gaps) == 8 * len(n):
+        return np.frombuffer(gaps, np.uint64), n
+    return np.cumsum(np.frombuffer(gaps, np.uint32), dtype=np.uint64) + np.uint64(first), n
+
+
+def survivors(docs: DataFrame, mass: np.ndarray, threshold: int, phrase_codes, partition_mass: int = PARTITION_MASS) -> DataFrame:
+    """`(code)`: the hash, cut to `KEY_BITS` bits, of all phrases that can have `threshold` occurrences, and of some others.
+
+    `phrase_codes` gives the hashes of a slice's phrases, `mass` at least how many fall into each cell.
+    """
     parts = int(min(len(mass), max(shuffle_width(docs.sparkSession), -(-int(mass.sum()) // partition_mass))))
     part_of = np.arange(len(mass)) * parts // len(mass)
-    capacity = np.bincount(part_of, mass, parts).astype(np.int64) // threshold + 1
+    capacity = SPARE * np.bincount(part_of, mass, parts).astype(np.int64) // threshold + 1
+    cut = np.uint64(64 - KEY_BITS)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            keys, counts = summed(*(np.concatenate(c) for c in zip(*pending, strict=True)))
+        def flush() -> pa.RecordBatch:
+            rows = packed(part_of, *summed(*(np.concatenate(c) for c in zip(*pending, strict=True))))
             pending.clear()
-            part = part_of[(keys >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            cuts = np.unique(np.concatenate([edges, *(np.arange(a, b, ROW_ENTRIES) for a, b in zip(edges, edges[1:], strict=False))]))
-            rows = [(int(part[a]), keys[a:b].tobytes(), counts[a:b].astype(np.int32).tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)] if rows else []
-            if columns:
-                yield pa.RecordBatch.from_arrays(columns, ["part", "codes", "counts"])
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], ["part", "first", "gaps", "counts"])
 
         for words in slices(batches):
-            codes = [code for _, _, code in words.phrases(most_words, words.frequent_left(frequent.value))]
-            code = np.concatenate(codes)
-            pending.append(summed(code, np.ones(len(code), np.int64)))
+            code = phrase_codes(words) >> cut
+            if len(code):
+                pending.append(summed(code, np.ones(len(code), np.int64)))
             if sum(len(k) for k, _ in pending) > FLUSH_ENTRIES:
-                yield from flush()
+                yield flush()
         if pending:
-            yield from flush()
+            yield flush()
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Summary] = {}
+        waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def add(part: int) -> None:
+            found.setdefault(part, Summary(int(capacity[part]))).add(*(np.concatenate(c) for c in zip(*waiting.pop(part), strict=True)))
+
         for batch in batches:
-            rows: dict[int, list[int]] = {}
-            for i, part in enumerate(batch.column("part").to_pylist()):
-                rows.setdefault(part, []).append(i)
-            for part, at in rows.items():
-                mine = batch.take(pa.array(at))
-                keys = np.frombuffer(b"".join(mine.column("codes").to_pylist()), np.uint64)
-                counts = np.frombuffer(b"".join(mine.column("counts").to_pylist()), np.int32)
-                found.setdefault(part, Summary(int(capacity[part]))).add(keys, counts.astype(np.int64))
+            for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "first", "gaps", "counts")), strict=True):
+                waiting.setdefault(part, []).append(unpacked(*row))
+                if len(waiting[part]) * ROW_ENTRIES > FLUSH_ENTRIES // 2:
+                    add(part)
+        for part in list(waiting):
+            add(part)
         for summary in found.values():
-            yield pa.RecordBatch.from_arrays([pa.array(summary.frequent(threshold).view(np.int64), pa.int64())], ["code"])
+            yield pa.RecordBatch.from_arrays([pa.array((summary.frequent(threshold) << cut).view(np.int64), pa.int64())], ["code"])
 
-    rows = docs.select("text", "lang").mapInArrow(hashed, "part int, codes binary, counts binary")
+    rows = docs.select("text", "lang").mapInArrow(hashed, "part int, first bigint, gaps binary, counts binary")
     return rows.repartition(parts, "part").mapInArrow(summarised, "code bigint")
 
 
 def exact_counts(docs: DataFrame, frequent, wanted, most_words: int) -> DataFrame:
-    """`(lang, phrase, a)`: all occurrences of every phrase that both bitmaps let through."""
+    """`(lang, phrase, a)`: all occurrences of every phrase that the bitmaps of words and of phrases let through."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in slices(batches):
@@ -249,12 +308,23 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, most_words: in
     context = docs.sparkSession.sparkContext
     counts = stored(count_words(docs, most_words))
     words = counts.where("word is not null")
-    mass = np.zeros(1 << CELL_BITS, np.int64)
-    for r in counts.where("word is null").select("code", "n").collect():
-        mass[r.code] = r.n
+    mass = np.zeros(2 << CELL_BITS, np.int64)
+    for r in counts.where("word is null").select("cell", "n").collect():
+        mass[r.cell] = r.n
     common = words.where(F.col("n") >= threshold)
-    frequent = context.broadcast(bitmap_of(common.select("code"), WORD_BITS))
-    wanted = context.broadcast(bitmap_of(survivors(docs, frequent, mass, threshold, most_words), PHRASE_BITS))
+    frequent = context.broadcast(bitmap_of(word_codes(common), WORD_BITS))
+
+    def pair_codes(words: Words) -> np.ndarray:
+        return next(words.phrases(2, words.frequent_left(frequent.value)))[2]
+
+    def longer_codes(words: Words) -> np.ndarray:
+        left = words.paired_left(frequent.value, pairs.value)
+        return np.concatenate([np.zeros(0, np.uint64), *(code for size, _, code in words.phrases(most_words, left) if size > 2)])
+
+    some = bitmap_of(survivors(docs, mass[: 1 << CELL_BITS], threshold, pair_codes), PHRASE_BITS)
+    pairs = context.broadcast(some)
+    more = bitmap_of(survivors(docs, mass[1 << CELL_BITS :], threshold, longer_codes), PHRASE_BITS)
+    wanted = context.broadcast(some | more)
     phrases = stored(exact_counts(docs, frequent, wanted, most_words).where(F.col("a") >= threshold))
     return phrases, common.select("lang", F.col("word").alias("phrase"), F.col("n").alias("a")), words.groupBy("lang").agg(F.sum("n").alias("n"))
 

@@ -245,3 +245,15 @@ def test_progressive_search_is_exact_and_saves_work():
     assert (at == exact.argmin(1)).all() and (far == exact.min(1)).all()
     assert work < 0.2 * exact.size * 64
     assert (hadamard_kmeans.inverse(hadamard_kmeans.transform(vectors)) == 64 * vectors).all()
+
+
+def test_packed_keys_come_back():
+    draw = np.random.default_rng(12)
+    part_of = np.arange(1 << misra_gries.CELL_BITS) // 5
+    for n, spread in ((3, 48), (2_000, 48), (200_000, 48), (5_000, 20)):
+        keys = np.unique(draw.integers(0, 1 << spread, n).astype(np.uint64))
+        counts = draw.integers(1, 1 << 20, len(keys))
+        rows = misra_gries.packed(part_of, keys, counts)
+        back = [misra_gries.unpacked(*r[1:]) for r in rows]
+        assert (np.concatenate([k for k, _ in back]) == keys).all() and (np.concatenate([c for _, c in back]) == counts).all()
+        assert all((part_of[(k >> np.uint64(34)).astype(int)] == r[0]).all() and len(k) <= misra_gries.ROW_ENTRIES for r, (k, _) in zip(rows, back, strict=True))
