@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberline.operators.ranges import places_in_groups
+
 
 def follower_count(edges: DataFrame) -> DataFrame:
     """Followers per followed vertex: `(dst, followers)`."""
@@ -52,30 +54,15 @@ def amount_min_max(transactions: DataFrame) -> DataFrame:
     return whole.agg(F.max("amount").alias("max_amount"), F.min("amount").alias("min_amount"))
 
 
-def total(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.sum(column).alias("total"))
-
-
 def adjacency_list(edges: DataFrame, neighbours_per_row: int = 100_000) -> DataFrame:
     """Neighbours per vertex: `(v, part, neighbours, copies)`, both arrays sorted by neighbour.
 
     A repeated edge is one neighbour with its number of copies. The sorted neighbours of a vertex fill blocks of
-    `neighbours_per_row`, numbered by `part` from 0; only the last block of a vertex can be shorter.
+    `neighbours_per_row`, numbered by `part` from 0; only the last block of a vertex can be shorter. Every neighbour's place
+    is counted over ranges of (vertex, neighbour), so neither the block size nor a task depends on how large a hub is.
     """
-    from emberline.operators.ranges import running_totals
-    from emberline.operators.skew import hot_keys
-
     pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-    hot = hot_keys(pairs, ["src"], neighbours_per_row)
-    placed = pairs.withColumn("part", F.lit(0).cast("bigint"))
-    if hot is not None:
-        # Places among all rows of the large vertices, sorted in ranges, less the place of the vertex's first row.
-        large = pairs.join(hot.drop("parts"), "src", "left_semi").withColumn("key", F.struct("src", "dst"))
-        numbered = running_totals(large, "key", {"place": F.lit(1).cast("bigint")}, neighbours_per_row)
-        first = numbered.groupBy("src").agg(F.min("place").alias("first"))
-        part = F.floor((F.col("place") - F.col("first")) / neighbours_per_row).alias("part")
-        placed = placed.join(hot.drop("parts"), "src", "left_anti").unionByName(numbered.join(F.broadcast(first), "src").select("src", "dst", "copies", part))
-    lists = placed.groupBy("src", "part").agg(F.sort_array(F.collect_list(F.struct("dst", "copies"))).alias("items"))
-    return lists.select(
-        F.col("src").alias("v"), F.col("part").cast("int").alias("part"), F.col("items.dst").alias("neighbours"), F.col("items.copies").alias("copies")
-    )
+    placed = places_in_groups(pairs, ["src"], ["dst"], "place")
+    part = F.expr(f"cast(place div {neighbours_per_row} as int)").alias("part")
+    lists = placed.groupBy("src", part).agg(F.sort_array(F.collect_list(F.struct("dst", "copies"))).alias("items"))
+    return lists.select(F.col("src").alias("v"), "part", F.col("items.dst").alias("neighbours"), F.col("items.copies").alias("copies"))

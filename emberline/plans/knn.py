@@ -15,13 +15,17 @@ group are enough:
     all                    3k - 2            gap, gap + 1, gap + 2
 
 One distance can come from at most that many amounts of a side, so these lists hold k distinct
-distances that all lie below anything farther out of the same kind. The lists come from a window over
-test and train rows sorted by amount. Per group and amount, a few train rows answer every test row:
+distances that all lie below anything farther out of the same kind. Per group and amount, a few train rows answer every test row:
 the least classes that differ in the excluded type or user.
 
+All four kinds go through one range partitioning of train and test rows by (group, amount), stored and numbered by
+range. Inside a range the train rows of a group are packed, sorted by amount, into blocks of as many amounts as the table says; a test
+row takes two blocks on each side, which hold all it needs, whatever k is. A range also gets one block from the ranges below
+it and one from those above, if its first or last group goes on there.
+
 Distances are plain doubles, so that different amounts may come out at one distance where numbers are too coarse to tell
 them apart. A test row whose list is full but holds too few different distances for the table above is asked again with
-lists twice as long.
+blocks twice as long.
 """
 
 from __future__ import annotations
@@ -32,14 +36,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.operators.ranges import quantile_edges, with_bucket
-from emberline.operators.skew import copy_to_parts, hot_from_counts, spread
+from emberline.operators.ranges import ROWS_PER_RANGE, in_ranges
 from emberline.operators.topk import k_smallest_in_array, majority
 from emberline.session import cut_lineage
 
-ROWS_PER_TASK = 250_000
 TYPES_PER_LIST = 500
 FEATURES = ("type", "user", "amount")
+PLACE = ("level", "type_key", "user_key")
+"""A group of a kind: the level of the kind, and the type and user it shares, empty where it shares none."""
 
 
 @dataclass(frozen=True)
@@ -129,143 +133,137 @@ def train_tables(rows: DataFrame, types: int) -> dict[Kind, DataFrame]:
     }
 
 
-@dataclass(frozen=True)
-class Ranges:
-    """Where groups too large for one task are cut by amount, measured once for all kinds."""
-
-    edges: list[float]
-    large: DataFrame | None
-    """Groups `(type, user, level)` over the limit; a column outside the group is null."""
-    crowded: DataFrame | None
-    """Buckets `(type, user, bucket, level)` whose test rows alone are over the limit, with their parts."""
-
-    @classmethod
-    def measure(cls, rows: DataFrame, queries: DataFrame, count: int, rows_per_task: int) -> Ranges:
-        if count <= rows_per_task:
-            return cls([], None, None)
-        level = (F.grouping("type") * 2 + F.grouping("user")).alias("level")
-        size = F.count(F.lit(1)).alias("size")
-        together = rows.select(*FEATURES).unionByName(queries.select(*FEATURES))
-        edges = quantile_edges(together, "amount", rows_per_task, count)
-        names = ["type", "user"]
-        sets = [["type", "user"], ["type"], ["user"], []]
-        groups = together.groupingSets(sets[:3], *names).agg(size, level)
-        large = hot_from_counts(groups, [*names, "level"], "size", rows_per_task)
-        placed = with_bucket(queries, "amount", edges)
-        places = placed.groupingSets([[*s, "bucket"] for s in sets], *names, "bucket").agg(size, level)
-        return cls(edges, large, hot_from_counts(places, [*names, "bucket", "level"], "size", rows_per_task))
-
-    def bucketed(self, df: DataFrame, kind: Kind) -> DataFrame:
-        """Add `bucket`: the amount range in a group over the limit, -1 in the others."""
-        whole = F.lit(-1)
-        if self.edges and not kind.same:
-            return with_bucket(df, "amount", self.edges)
-        if self.large is None:
-            return df.withColumn("bucket", whole)
-        cut = with_bucket(df.join(_of_kind(self.large, kind), list(kind.same), "left"), "amount", self.edges)
-        return cut.withColumn("bucket", F.when(F.col("parts").isNull(), whole).otherwise(F.col("bucket"))).drop("parts")
-
-    def parts(self, kind: Kind) -> DataFrame | None:
-        return None if self.crowded is None else _of_kind(self.crowded, kind, "bucket")
-
-
-def _of_kind(groups: DataFrame, kind: Kind, *more: str) -> DataFrame:
-    return groups.where(F.col("level") == kind.level).select(*kind.same, *more, "parts")
-
-
-def _carried(train: DataFrame, test: DataFrame, keys: list[str], reach: int) -> DataFrame:
-    """Train rows just outside each bucket: the `reach` nearest amounts below and above it.
-
-    Only the outermost rows of a bucket travel. Their table has one row for each group and bucket.
+def _group(kind: Kind) -> list[Column]:
+    keys = [(F.col(c) if c in kind.same else F.lit("")).alias(f"{c}_key") for c in ("type", "user")]
+    return [F.lit(kind.level).alias("level"), *keys]
+
+
+def _by_level(values: Sequence[int]) -> str:
+    """SQL for the value of the row's level."""
+    return f"element_at(array({', '.join(map(str, values))}), level + 1)"
+
+
+def reaches(k: int, longer: int = 1) -> list[int]:
+    """How many amounts a side of each level needs, times `longer`."""
+    return [longer * kind.reach(k) for kind in sorted(KINDS, key=lambda kind: kind.level)]
+
+
+def in_amount_ranges(tables: dict[Kind, DataFrame], test: DataFrame, rows_per_range: int, rows: int | None = None) -> DataFrame:
+    """Train rows (`side` 0, with `answers`) and test rows (`side` 1) of all kinds, in stored ranges of (group, amount).
+
+    `rows` is a bound of how many there are, if known.
     """
-    train, test = train.where("bucket >= 0"), test.where("bucket >= 0")
-    place = [*keys, "bucket"]
-    up = Window.partitionBy(*place).orderBy("amount")
-    down = Window.partitionBy(*place).orderBy(F.desc("amount"))
-    entry = F.struct("amount", "answers").alias("entry")
-    low = train.withColumn("n", F.row_number().over(up)).where(F.col("n") <= reach).groupBy(*place).agg(F.collect_list(entry).alias("low"))
-    high = train.withColumn("n", F.row_number().over(down)).where(F.col("n") <= reach).groupBy(*place).agg(F.collect_list(entry).alias("high"))
-    places = low.join(high, place, "full").join(test.select(*place).distinct(), place, "full")
-    group = ", ".join(keys) if keys else "1"
-    over = f"over (partition by {group} order by bucket)"
-    near = []
-    for function, column in (("lag", "high"), ("lead", "low")):
-        lists = ", ".join(f"coalesce({function}({column}, {i}) ignore nulls {over}, array())" for i in range(1, reach + 1))
-        near.append(F.expr(f"flatten(array({lists}))").alias(f"from_{column}"))
-    seen = places.select(*place, *near)
-    below = F.slice(F.sort_array("from_high", asc=False), 1, reach)
-    above = F.slice(F.sort_array("from_low"), 1, reach)
-    return seen.select(*place, F.inline(F.concat(below, above)))
-
-
-def _too_few(side: str, reach: int, needed: int) -> str:
+    every = None
+    for kind in KINDS:
+        train = tables[kind].select(*_group(kind), "amount", F.lit(0).alias("side"), "answers")
+        asked = test.select(*_group(kind), *FEATURES, F.lit(1).alias("side"), "id")
+        both = train.unionByName(asked, allowMissingColumns=True)
+        every = both if every is None else every.unionByName(both)
+    return in_ranges(every, [*PLACE, "amount", "side", "id"], rows_per_range, rows)
+
+
+def packed(parts: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """Blocks `(_part, level, type_key, user_key, amount, entries)` of as many amounts as their level's length, from their
+    least one; the last one of a group in a range can be shorter."""
+    inside = Window.partitionBy("_part", *PLACE).orderBy("amount")
+    placed = parts.where("side = 0").withColumn("place", F.row_number().over(inside) - 1)
+    block = F.expr(f"place div {_by_level(lengths)}").alias("block")
+    lists = placed.groupBy("_part", *PLACE, block).agg(F.sort_array(F.collect_list(F.struct("amount", "answers"))).alias("entries"))
+    return lists.select("_part", *PLACE, F.expr("entries[0].amount").alias("amount"), "entries")
+
+
+def _carried(parts: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """One block per range of the nearest rows below it in its first group, and one of the nearest above in its last group.
+
+    Every table here has a few rows per range; a range whose part of the group is short is looked past.
+    """
+    key, most = F.struct(*PLACE), max(lengths)
+    ends = parts.groupBy("_part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    rows = parts.where("side = 0").select("_part", key.alias("key"), F.struct("amount", "answers").alias("entry"))
+
+    def outermost(order: list[Column]) -> DataFrame:
+        """Per range, the outermost entries of the outermost group, sorted."""
+        near = rows.withColumn("n", F.row_number().over(Window.partitionBy("_part").orderBy(*order))).where(F.col("n") <= most)
+        return near.groupBy("_part", "key").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+
+    def next_to(of: DataFrame, asked: str, turn: int, frame: tuple[int, int], cut: str) -> DataFrame:
+        """`turn` -1 or 1 puts the asking row of a range before or behind its own entries, out of its frame."""
+        asks = ends.select("_part", F.col(asked).alias("key"), F.lit(turn).alias("turn"))
+        both = of.withColumn("turn", F.lit(0)).unionByName(asks, allowMissingColumns=True)
+        over = Window.partitionBy("key").orderBy("_part", "turn").rowsBetween(*frame)
+        near = both.withColumn("near", F.flatten(F.collect_list("entries").over(over))).where((F.col("turn") == turn) & (F.size("near") > 0))
+        return near.select("_part", "key.*", "near").select("_part", *PLACE, F.expr(cut).alias("entries"))
+
+    length = _by_level(lengths)
+    reach = 2 * most  # rows of the window: entries of at least one amount each, and the asking rows between them
+    before = next_to(outermost([F.desc("key"), F.desc("entry.amount")]), "first", -1, (-reach, -1), f"slice(near, greatest(size(near) - {length} + 1, 1), {length})")
+    behind = next_to(outermost([F.asc("key"), F.asc("entry.amount")]), "last", 1, (1, reach), f"slice(near, 1, {length})")
+    return before.unionByName(behind).withColumn("amount", F.expr("entries[0].amount"))
+
+
+def _too_few(gaps: str, lengths: Sequence[int], needed: Sequence[int]) -> str:
     """Whether a side's list is full and, at one of the offsets, holds fewer different distances than needed."""
-    gaps = f"transform({side}, e -> abs(amount - e.amount))"
     kinds = ", ".join(f"size(array_distinct(transform({gaps}, g -> g + {c}.0D)))" for c in (0, 1, 2))
-    return f"(size({side}) = {reach} and least({kinds}) < {needed})"
+    return f"(size({gaps}) = {_by_level(lengths)} and least({kinds}) < {_by_level(needed)})"
 
 
-def _candidates(train: DataFrame, test: DataFrame, kind: Kind, k: int, ranges: Ranges, longer: int = 1) -> DataFrame:
-    """Per test row, the distances and classes of the nearest train rows of one kind, and whether its lists were too
-    short: `(id, near, short)`. `longer` multiplies the length of the lists.
+def _candidates(parts: DataFrame, k: int, lengths: Sequence[int]) -> DataFrame:
+    """Per test row and kind, the distances and classes of the nearest train rows, and whether its lists were too
+    short: `(id, near, short)`.
     """
-    keys, reach = list(kind.same), longer * kind.reach(k)
-    place = [*keys, "bucket"]
-    train, test = ranges.bucketed(train, kind), ranges.bucketed(test, kind)
-    if ranges.edges and (ranges.large is not None or not keys):
-        train = train.unionByName(_carried(train, test, keys, reach))
-    crowded = ranges.parts(kind)
-    train = copy_to_parts(train, place, crowded)
-    test = spread(test, place, crowded, ["id"])
-
-    answers = train.schema["answers"].dataType
-    only_test = [(c, kind_of) for c, kind_of in test.dtypes if c not in train.columns]
-    rows = train.select(
-        *place, "part", "amount", F.lit(0).alias("side"),
-        F.struct("amount", "answers").alias("entry"), *[F.lit(None).cast(t).alias(c) for c, t in only_test],
-    ).unionByName(
-        test.select(
-            *place, "part", "amount", F.lit(1).alias("side"),
-            F.lit(None).cast(f"struct<amount: double, answers: {answers.simpleString()}>").alias("entry"), *[c for c, _ in only_test],
-        )
-    )
-    over = f"over (partition by {', '.join([*place, 'part'])} order by amount, side)"
-    near = [f"{f}(entry, {i}) ignore nulls {over}" for f in ("lag", "lead") for i in range(1, reach + 1)]
-    found = rows.withColumn("found", F.expr(f"array({', '.join(near)})")).where("side = 1")
-
-    fits = " and ".join(["true", *[f"a.`{c}` <> `{c}`" for c in kind.differs]])
+    blocks = packed(parts, lengths).unionByName(_carried(parts, lengths)).withColumn("side", F.lit(0))
+    rows = parts.where("side = 1").drop("answers").unionByName(blocks, allowMissingColumns=True)
+    over = f"over (partition by _part, {', '.join(PLACE)} order by amount, side)"
+    functions = ("lag(entries, 2)", "lag(entries, 1)", "lead(entries, 1)", "lead(entries, 2)")
+    near = [f"coalesce({f} ignore nulls {over}, array())" for f in functions]
+    found = rows.withColumn("found", F.expr(f"concat({', '.join(near)})")).where("side = 1")
+    length = _by_level(lengths)
+    found = found.withColumn("below", F.expr("filter(found, e -> e.amount <= amount)"))
+    found = found.withColumn("above", F.expr(f"slice(found, size(below) + 1, {length})"))
+    found = found.withColumn("below", F.expr(f"slice(below, greatest(size(below) - {length} + 1, 1), {length})"))
+    for side in ("below", "above"):
+        found = found.withColumn(f"{side}_gaps", F.expr(f"transform({side}, e -> abs(amount - e.amount))"))
+
+    fits = "(level < 2 or a.type <> type) and (level % 2 = 0 or a.user <> user)"
     least = f"array_min(transform(filter(e.answers, a -> {fits}), a -> a.cls))"
-    apart = {c: "1.0D" if c in kind.differs else "0.0D" for c in ("type", "user")}
-    distance = f"{apart['type']} + abs(amount - e.amount) + {apart['user']}"
-    measured = f"transform(filter(found, e -> e is not null), e -> struct({distance} as d, {least} as cls))"
-    sides = [f"filter(slice(found, {start}, {reach}), e -> e is not null)" for start in (1, reach + 1)]
-    short = " or ".join(_too_few(side, reach, kind.reach(k)) for side in sides)
+    distance = "if(level < 2, 0.0D, 1.0D) + abs(amount - e.amount) + if(level % 2 = 0, 0.0D, 1.0D)"
+    measured = f"transform(concat(below, above), e -> struct({distance} as d, {least} as cls))"
+    short = " or ".join(_too_few(f"{side}_gaps", lengths, reaches(k)) for side in ("below", "above"))
     return found.select("id", F.expr(f"filter({measured}, e -> e.cls is not null)").alias("near"), F.expr(short).alias("short"))
 
 
+def scaled(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with amounts moved to 0 .. 1 by the least and the greatest train amount; all 0 if these are one."""
+    amount = F.col("amount").cast("double")
+    low, high = train.where(~F.isnan(amount)).agg(F.min(amount), F.max(amount)).first()
+    part = F.lit(0.0) if low is None or low == high else (amount - low) / (high - low)
+    return tuple(df.withColumn("amount", F.when(F.isnan(amount), amount).when(amount.isNotNull(), part)) for df in (train, test))
+
+
 def knn_neighbours(
-    train: DataFrame, test: DataFrame, k: int, prune: bool = True, rows_per_task: int = ROWS_PER_TASK
+    train: DataFrame, test: DataFrame, k: int, prune: bool = True, rows_per_range: int = ROWS_PER_RANGE, scale_amount: bool = False
 ) -> DataFrame:
     """`(id, neighbours)`: per test row the up to k nearest `(d, cls)`, nearest first.
 
-    `train` has `type, user, amount, cls`; `test` has a unique `id` and `type, user, amount`.
-    With `prune`, each task keeps the k nearest of a kind before the rows of one id are brought together.
+    `train` has `type, user, amount, cls`; `test` has a unique `id` and `type, user, amount`. With `prune`, each task keeps the k
+    nearest of a kind before the rows of one id are brought together. With `scale_amount`, amounts count relative
+    to the span of the train amounts (see `scaled`), so that type and user weigh as much as that span.
     """
+    if scale_amount:
+        train, test = scaled(train, test)
     rows = cut_lineage(distinct_rows(train))
     queries = cut_lineage(_prepared(test, "id"))
     n_rows, types = rows.agg(F.count(F.lit(1)), F.approx_count_distinct("type")).first()
-    ranges = Ranges.measure(rows, queries, n_rows + queries.count(), rows_per_task)
     tables = train_tables(rows, types)
+    most = len(KINDS) * (n_rows + queries.count())
     done, longer = None, 1
     while True:
-        parts = None
-        for kind in KINDS:
-            found = _candidates(tables[kind], queries, kind, k, ranges, longer)
-            if prune:
-                found = found.withColumn("near", k_smallest_in_array("near", k))
-            parts = found if parts is None else parts.unionByName(found)
+        parts = in_amount_ranges(tables, queries, rows_per_range, most)
+        found = _candidates(parts, k, reaches(k, longer))
+        if prune:
+            found = found.withColumn("near", k_smallest_in_array("near", k))
         lists = F.flatten(F.collect_list("near")).alias("near")  # four lists per id
-        merged = cut_lineage(parts.groupBy("id").agg(lists, F.max("short").alias("short")))
+        merged = cut_lineage(found.groupBy("id").agg(lists, F.max("short").alias("short")))
         nearest = merged.where("not short").select("id", k_smallest_in_array("near", k).alias("neighbours"))
         done = nearest if done is None else done.unionByName(nearest)
         short = merged.where("short").select("id")
@@ -279,13 +277,13 @@ def classify(neighbours: DataFrame) -> DataFrame:
     return neighbours.select("id", majority("neighbours.cls").alias("pred"))
 
 
-def knn_classify(train: DataFrame, test: DataFrame, k: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return classify(knn_neighbours(train, test, k, prune=False, rows_per_task=rows_per_task))
+def knn_classify(train: DataFrame, test: DataFrame, k: int, **options) -> DataFrame:
+    return classify(knn_neighbours(train, test, k, prune=False, **options))
 
 
-def knn_classify_topk(train: DataFrame, test: DataFrame, k: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def knn_classify_topk(train: DataFrame, test: DataFrame, k: int, **options) -> DataFrame:
     """The same answer; each task passes on at most k neighbours per test row and kind."""
-    return classify(knn_neighbours(train, test, k, prune=True, rows_per_task=rows_per_task))
+    return classify(knn_neighbours(train, test, k, prune=True, **options))
 
 
 def labelled(predictions: DataFrame, test: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.operators.ranges import ROWS_PER_BUCKET, running_totals
+from emberline.operators.ranges import running_totals
 
 
 def confusion_matrix(results: DataFrame, actual: str = "actual", pred: str = "pred") -> DataFrame:
@@ -24,17 +24,17 @@ def accuracy(results: DataFrame, actual: str = "actual", pred: str = "pred") ->
     return results.agg(F.avg((F.col(actual) == F.col(pred)).cast("double")).alias("accuracy"))
 
 
-def roc_auc(scores: DataFrame, score: str = "score", label: str = "label", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def roc_auc(scores: DataFrame, score: str = "score", label: str = "label", rows_per_range: int | None = None) -> DataFrame:
     """Exact area under the ROC curve, as one row `(auc)`; null when a class is missing.
 
     Rows of one score are merged first. Each score's positives then meet the negatives below it, plus half
-    of those at the same score; the running count goes through range buckets.
+    of those at the same score; the running count goes through ranges.
     """
     positive = F.col(label) == 1
     merged = scores.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    ranked = running_totals(merged, "score", {"neg_below": F.col("neg")}, rows_per_bucket)
+    ranked = running_totals(merged, "score", {"neg_below": F.col("neg")}, rows_per_range, unique=True)
     won = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg(F.when(pairs > 0, won / pairs).alias("auc"))

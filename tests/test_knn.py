@@ -45,7 +45,7 @@ def sample(seed, n_train, n_test, step, hot=0.0, users=6, types=3, span=40):
 
 
 @pytest.mark.parametrize(
-    ("seed", "step", "hot", "k", "rows_per_task", "prune"),
+    ("seed", "step", "hot", "k", "rows_per_range", "prune"),
     [
         (1, 1.0, 0.0, 3, 10**6, True),
         (2, 0.25, 0.3, 3, 15, True),
@@ -55,14 +55,14 @@ def sample(seed, n_train, n_test, step, hot=0.0, users=6, types=3, span=40):
         (6, 0.01, 0.3, 4, 20, True),
     ],
 )
-def test_neighbours_equal_brute_force(spark, seed, step, hot, k, rows_per_task, prune):
+def test_neighbours_equal_brute_force(spark, seed, step, hot, k, rows_per_range, prune):
     train, test = sample(seed, 90, 40, step, hot)
-    assert run(spark, train, test, k, rows_per_task=rows_per_task, prune=prune) == brute_force(train, test, k)
+    assert run(spark, train, test, k, rows_per_range=rows_per_range, prune=prune) == brute_force(train, test, k)
 
 
 def test_many_types_and_users_at_one_amount(spark):
     train, test = sample(7, 120, 40, 1.0, 0.4, users=3, types=6, span=3)
-    assert run(spark, train, test, 6, rows_per_task=10) == brute_force(train, test, 6)
+    assert run(spark, train, test, 6, rows_per_range=10) == brute_force(train, test, 6)
 
 
 def test_more_types_than_one_list_takes(spark, monkeypatch):
@@ -74,8 +74,8 @@ def test_more_types_than_one_list_takes(spark, monkeypatch):
 def test_hot_user_hides_the_other_users(spark):
     train = [("a", float(i), "hub", 1) for i in range(30)] + [("a", 100.0, "other", 0), ("b", 50.0, "hub", 2)]
     test = [(1, "a", 10.0, "hub"), (2, "a", 10.0, "nobody"), (3, "c", 99.0, "other"), (4, "b", 29.0, "hub")]
-    for rows_per_task in (5, 10**6):
-        assert run(spark, train, test, 4, rows_per_task=rows_per_task) == brute_force(train, test, 4)
+    for rows_per_range in (5, 10**6):
+        assert run(spark, train, test, 4, rows_per_range=rows_per_range) == brute_force(train, test, 4)
 
 
 def test_equal_distances_are_one_neighbour_with_the_least_class(spark):
@@ -93,8 +93,8 @@ def test_both_variants_agree_and_rows_do_not_influence_each_other(spark):
     train, test = sample(8, 80, 12, 0.5, 0.2)
     frames = spark.createDataFrame(train, TRAIN), spark.createDataFrame(test, TEST)
     expected = {i: vote(n) for i, n in brute_force(train, test, 3).items()}
-    plain = {r["id"]: r["pred"] for r in knn.knn_classify(*frames, 3, rows_per_task=10).collect()}
-    pruned = {r["id"]: r["pred"] for r in knn.knn_classify_topk(*frames, 3, rows_per_task=10).collect()}
+    plain = {r["id"]: r["pred"] for r in knn.knn_classify(*frames, 3, rows_per_range=10).collect()}
+    pruned = {r["id"]: r["pred"] for r in knn.knn_classify_topk(*frames, 3, rows_per_range=10).collect()}
     alone = {}
     for row in test[:3]:
         one = spark.createDataFrame([row], TEST)
@@ -114,3 +114,43 @@ def test_confusion_counts_every_test_row(spark):
 def test_no_train_rows_give_no_prediction(spark):
     assert run(spark, [], [(1, "a", 1.0, "u")], 3) == {}
     assert run(spark, [("a", 1.0, "u", 0)], [], 3) == {}
+
+
+@pytest.mark.parametrize(("k", "rows_per_range", "seed"), [(40, 10**6, 11), (40, 7, 12), (7, 1, 13)])
+def test_many_neighbours_and_tiny_ranges(spark, k, rows_per_range, seed):
+    train, test = sample(seed, 150, 30, 0.5, 0.2, users=4, types=3, span=120)
+    assert run(spark, train, test, k, rows_per_range=rows_per_range) == brute_force(train, test, k)
+
+
+def test_four_window_functions_whatever_k_is(spark):
+    train, test = sample(14, 40, 10, 0.5)
+    tables = knn.train_tables(knn.distinct_rows(spark.createDataFrame(train, TRAIN)), 3)
+    parts = knn.in_amount_ranges(tables, knn._prepared(spark.createDataFrame(test, TEST), "id"), 10**6, 200)
+    for k in (3, 40):
+        text = knn._candidates(parts, k, knn.reaches(k))._jdf.queryExecution().optimizedPlan().toString()
+        window = next(line for line in text.splitlines() if "lag(entries" in line and "Window" in line)
+        assert window.count("lag(entries") == 2 and window.count("lead(entries") == 2
+
+
+def test_ranges_come_back_to_nobody(spark, monkeypatch):
+    """Nothing that grows with the rows is collected: only single rows come to the driver."""
+    taken = []
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    collect = Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda self: taken.append(rows := collect(self)) or rows)
+    train, test = sample(15, 90, 30, 0.25, 0.3)
+    found = knn.knn_neighbours(spark.createDataFrame(train, TRAIN), spark.createDataFrame(test, TEST), 3, rows_per_range=5)
+    assert all(len(rows) <= 1 for rows in taken)
+    assert found.count() == len(test)
+
+
+def test_scaled_amounts(spark):
+    train, test = sample(16, 80, 25, 3.7, 0.1)
+    test += [(900, "t0", -500.0, "u0"), (901, "t1", 10_000.0, "u1")]
+    low, high = min(r[1] for r in train), max(r[1] for r in train)
+    move = lambda a: (a - low) / (high - low)
+    moved = [(t, move(a), u, c) for t, a, u, c in train], [(i, t, move(a), u) for i, t, a, u in test]
+    assert run(spark, train, test, 4, scale_amount=True) == brute_force(*moved, 4)
+    one = [("a", 5.0, "u", 1), ("b", 5.0, "u", 0)]
+    assert run(spark, one, [(1, "a", 70.0, "u"), (2, "b", None, "u")], 2, scale_amount=True) == {1: [(0.0, 1), (1.0, 0)]}

@@ -17,13 +17,13 @@ def test_amounts_that_differ_in_the_seventh_decimal(spark):
     assert run(spark, train, test, 2) == brute_force(train, test, 2)
 
 
-@pytest.mark.parametrize("rows_per_task", [10**6, 9])
-def test_amounts_too_coarse_to_stay_apart(spark, rows_per_task):
+@pytest.mark.parametrize("rows_per_range", [10**6, 9])
+def test_amounts_too_coarse_to_stay_apart(spark, rows_per_range):
     draw = random.Random(3)
     amounts = [2.0**53 + 2 * i for i in range(12)] + [1e-9 * i for i in range(25)] + [3.0e12 + 0.0005 * i for i in range(10)]
     record = lambda: (draw.choice("ab"), draw.choice(amounts), draw.choice("uvw"))
     train, test = [(*record(), draw.randrange(3)) for _ in range(120)], [(i, *record()) for i in range(25)]
-    assert run(spark, train, test, 4, rows_per_task=rows_per_task) == brute_force(train, test, 4)
+    assert run(spark, train, test, 4, rows_per_range=rows_per_range) == brute_force(train, test, 4)
 
 
 def test_records_without_an_amount_stay_in_the_labelled_output(spark):
@@ -61,21 +61,14 @@ def test_parts_are_written_in_one_pass(spark, tmp_path):
     assert [r["value"] for r in spark.read.text(str(tmp_path / "parts/part=x")).collect()] == ["1,"]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10, 10_000])
-def test_ids_of_text_keys(spark, rows_per_bucket):
+@pytest.mark.parametrize("rows_per_range", [10, 10_000])
+def test_ids_of_text_keys(spark, rows_per_range):
     keys = sorted(f"k{i * 37 % 101:03d}" for i in range(100))
     df = spark.createDataFrame([(k,) for k in random.Random(2).sample(keys, 100)], "key string")
-    found = ranges.assign_ids(df, "key", rows_per_bucket=rows_per_bucket).collect()
+    found = ranges.assign_ids(df, "key", rows_per_range=rows_per_range).collect()
     assert sorted((r["key"], r["id"]) for r in found) == [(k, 10_001 + i) for i, k in enumerate(keys)]
 
 
-def test_edges_in_two_levels(spark):
-    df = spark.range(2_000).selectExpr("cast(id as double) x")
-    edges = ranges.quantile_edges(df, "x", rows_per_bucket=20, coarse=5)
-    sizes = [r["count"] for r in ranges.with_bucket(df, "x", edges).groupBy("bucket").count().collect()]
-    assert len(sizes) >= 80 and max(sizes) <= 60
-
-
 def test_no_more_hot_keys_than_the_list_holds(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_KEY_LIMIT", 3)
     counts = spark.createDataFrame([(i, 10 + i) for i in range(20)], "k int, size bigint")
@@ -128,3 +121,29 @@ def test_the_reported_area_is_exact(spark):
     scored = VectorAssembler(inputCols=["q", "p"], outputCol="rawPrediction").transform(wrong)
     exact = metrics.roc_auc(df.selectExpr("p as score", "label")).first()["auc"]
     assert trees.area_under_roc(scored) == exact
+
+
+def test_blocks_do_not_depend_on_a_list_of_hot_keys(edges, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_KEY_LIMIT", 2)
+    pairs = [(v, i) for v in (1, 2) for i in range(25)] + [(v, 0) for v in range(3, 33)]
+    sizes = {(r["v"], r["part"]): len(r["neighbours"]) for r in aggregates.adjacency_list(edges(pairs), neighbours_per_row=10).collect()}
+    assert {k: n for k, n in sizes.items() if k[0] < 3} == {(v, p): n for v in (1, 2) for p, n in enumerate((10, 10, 5))}
+    assert all(n == 1 for k, n in sizes.items() if k[0] > 2)
+
+
+def test_rows_of_one_key_spread_over_ranges(spark):
+    df = spark.range(20_000).selectExpr("cast(id % 2 as int) other", "7 key")
+    parts = ranges.in_ranges(ranges._told_apart(df, unique=False), ["key", "_tie"], 1_000)
+    sizes = [r["count"] for r in parts.groupBy("_part").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 2_000
+    ids = [r["id"] for r in ranges.assign_ids(df, "key", start=0, rows_per_range=1_000).select("id").collect()]
+    assert sorted(ids) == list(range(1, 20_001))
+
+
+@pytest.mark.parametrize("rows_per_range", [1, 9, 10**6])
+def test_places_in_groups_over_many_ranges(spark, rows_per_range):
+    draw = random.Random(8)
+    rows = [("hub", i) for i in range(60)] + [(draw.choice(["a", "b", None]), 1_000 + i) for i in range(60)] + [("z", 5)]
+    df = spark.createDataFrame(draw.sample(rows, len(rows)), "g string, x int")
+    found = {(r["g"], r["x"]): r["place"] for r in ranges.places_in_groups(df, ["g"], ["x"], "place", rows_per_range).collect()}
+    assert found == {(g, x): sum(h == g and y < x for h, y in rows) for g, x in rows}
