@@ -304,6 +304,22 @@ def longest_shortest_path(spark, folder):
     return shortest_path.longest_shortest_path(shortest_path.sssp(inputs.order_edges(spark, folder), SOURCE))
 
 
+@query(f"{REACHED} select * from reached")
+def sssp_resumed(spark, folder):
+    """Stopped after three rounds, then taken up again from what those wrote."""
+    path, ordered = inputs.scratch(spark), inputs.order_edges(spark, folder)
+    shortest_path.sssp(ordered, SOURCE, max_rounds=3, snapshots=path)
+    return shortest_path.sssp(ordered, SOURCE, snapshots=path, resume=True)
+
+
+@query(f"{REACHED} select dist as round, v, dist from reached where dist > 0")
+def sssp_snapshots(spark, folder):
+    """The rounds as they lie in the folder."""
+    path = inputs.scratch(spark)
+    shortest_path.sssp(inputs.order_edges(spark, folder), SOURCE, snapshots=path)
+    return spark.read.parquet(path).withColumnRenamed("iter", "round")
+
+
 # ---- ranks -------------------------------------------------------------------------------------
 
 ROUNDS = pagerank.ROUNDS
@@ -344,6 +360,22 @@ def pagerank_top5(spark, folder):
     return pagerank.top_ranks(pagerank.pagerank(inputs.order_edges(spark, folder)).ranks, TOP)
 
 
+@query(f"{RANKS} select v, round(pr, 10) pr from r{ROUNDS}")
+def pagerank_resumed(spark, folder):
+    """Stopped after three rounds, then taken up again from what those wrote."""
+    path, ordered = inputs.scratch(spark), inputs.order_edges(spark, folder)
+    pagerank.pagerank(ordered, rounds=3, snapshots=path)
+    return rounded(pagerank.pagerank(ordered, snapshots=path, resume=True).ranks)
+
+
+@query(f"{RANKS} " + " union all ".join(f"select {i} round, v, round(pr, 10) pr from r{i}" for i in range(1, 4)))
+def pagerank_snapshots(spark, folder):
+    """The rounds as they lie in the folder."""
+    path = inputs.scratch(spark)
+    pagerank.pagerank(inputs.order_edges(spark, folder), rounds=3, snapshots=path)
+    return spark.read.parquet(path).select(F.col("iter").alias("round"), "v", F.round("pr", 10).alias("pr"))
+
+
 # ---- clusters ----------------------------------------------------------------------------------
 
 
@@ -356,8 +388,8 @@ FIRST_STEP = f"with {inputs.BALANCES}, {sql.kmeans('points', CLUSTERS, 'even', 1
 HISTORY = "select round, round(old_centroid, 9) old_centroid, round(centroid, 9) centroid, n, abs_error from history"
 
 
-def history(points: DataFrame, init: str) -> DataFrame:
-    found = kmeans.kmeans_1d(points, CLUSTERS, init).history
+def history(points: DataFrame, init: str, **options) -> DataFrame:
+    found = kmeans.kmeans_1d(points, CLUSTERS, init, **options).history
     return found.select("round", F.round("old_centroid", 9).alias("old_centroid"), F.round("centroid", 9).alias("centroid"), "n", "abs_error")
 
 
@@ -400,16 +432,31 @@ def kmeans_followers(spark, folder):
     return history(inputs.follower_points(spark, folder), "even")
 
 
+@query(f"with {inputs.BALANCES}, {sql.kmeans('points', CLUSTERS, 'max_minus', kmeans.MAX_ROUNDS)} {HISTORY}")
+def kmeans_resumed(spark, folder):
+    """Stopped after three rounds, then taken up again from what those wrote."""
+    path, points = inputs.scratch(spark), inputs.balances(spark, folder)
+    kmeans.kmeans_1d(points, CLUSTERS, "max_minus", max_rounds=3, snapshots=path)
+    return history(points, "max_minus", snapshots=path, resume=True)
+
+
 # ---- nearest neighbours ------------------------------------------------------------------------
 
-NEIGHBOURS = f"""with {inputs.TRANSACTIONS},
-pairs as (
+def neighbours_sql(train: str = "train", test: str = "test") -> str:
+    return f"""pairs as (
     select t.id, (t.type <> r.type)::int::double + abs(t.amount - r.amount) + (t.usr <> r.usr)::int::double d, r.cls
-    from test t cross join train r),
+    from {test} t cross join {train} r),
 ranked as (select *, dense_rank() over (partition by id order by d) place from pairs),
 near as (select id, d, min(cls) cls from ranked where place <= {K} group by 1, 2),
 votes as (select id, cls, count(*) n from near group by 1, 2),
 pred as (select id, cls pred from votes qualify row_number() over (partition by id order by n desc, cls) = 1)"""
+
+
+NEIGHBOURS = f"with {inputs.TRANSACTIONS}, {neighbours_sql()}"
+_MOVED = "(amount - (select min(amount) from train)) / (select max(amount) - min(amount) from train)"
+SCALED_NEIGHBOURS = f"""with {inputs.TRANSACTIONS},
+scaled_train as (select * replace ({_MOVED} as amount) from train), scaled_test as (select * replace ({_MOVED} as amount) from test),
+{neighbours_sql("scaled_train", "scaled_test")}"""
 PREDICTED = f"{NEIGHBOURS} select * from pred"
 
 
@@ -442,6 +489,13 @@ def knn_topk_neighbours(spark, folder):
     return listed(knn.knn_neighbours(*split(spark, folder), K))
 
 
+@query(f"{SCALED_NEIGHBOURS} select id, round(d, 9) d, cls from near")
+def knn_scaled_neighbours(spark, folder):
+    """With amounts relative to the span of the train amounts."""
+    found = knn.knn_neighbours(*split(spark, folder), K, scale_amount=True)
+    return found.select("id", F.inline("neighbours")).withColumn("d", F.round("d", 9))
+
+
 @query(PREDICTED)
 def knn_classify(spark, folder):
     return knn.knn_classify(*split(spark, folder), K)

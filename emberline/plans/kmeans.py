@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberline.plans.snapshots import Snapshots
+
 MAX_ROUNDS = 10
 MIN_DROP = 0.01
 
@@ -81,33 +83,42 @@ def kmeans_1d(
     column: str = "x",
     max_rounds: int = MAX_ROUNDS,
     snapshots: str | None = None,
+    resume: bool = False,
 ) -> Clustering:
     """Rounds until the error drops by no more than 0.01, at most ten; the first always continues.
 
     Points with the same value always share a cluster, so the rounds run over the distinct values with
-    their counts. Each round brings at most k rows to the driver. A cluster without points vanishes.
+    their counts. Each round brings at most k rows to the driver. A cluster without points vanishes. With `snapshots`, the
+    rows of round i are also written below that path as `iter=i`; with `resume` the run goes on behind the last round there.
     """
     spark = points.sparkSession
+    store = None if snapshots is None else Snapshots(spark, snapshots, {"loop": "kmeans_1d", "k": k, "init": init})
     values = (
         points.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("x"))
         .agg(F.count(F.lit(1)).alias("weight"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    rows: list[Row] = []
+    rows: list[tuple] = []
     errors: list[int] = []
     try:
-        centroids = initial_centroids(values, k, init, "x")
-        while centroids and len(errors) < max_rounds:
+        if resume and store is not None and (last := store.last()):
+            names = [c.split()[0] for c in HISTORY.split(", ")]
+            rows = [tuple(r) for r in store.up_to(last[0]).select(*names).orderBy("round", "old_centroid").collect()]
+            errors = last[1]["errors"]
+            centroids = sorted({r[2] for r in rows if r[0] == last[0]})
+        else:
+            centroids = initial_centroids(values, k, init, "x")
+        settled = len(errors) > 1 and errors[-2] - errors[-1] <= MIN_DROP
+        while centroids and not settled and len(errors) < max_rounds:
             stats = sorted(step(values, centroids, "x", "weight").collect(), key=lambda r: r.old_centroid)
             number = len(errors) + 1
             rows += [(number, r.old_centroid, r.centroid, r.n, r.abs_error, r.sse) for r in stats]
             centroids = sorted({r.centroid for r in stats})
             errors.append(sum(r.abs_error for r in stats))
-            if snapshots is not None:
-                spark.createDataFrame(rows[-len(stats):], HISTORY).write.mode("overwrite").parquet(f"{snapshots}/iter={number}")
-            if number > 1 and errors[-2] - errors[-1] <= MIN_DROP:
-                break
+            if store is not None:
+                store.write(number, spark.createDataFrame(rows[-len(stats):], HISTORY), errors=errors)
+            settled = number > 1 and errors[-2] - errors[-1] <= MIN_DROP
     finally:
         values.unpersist()
     return Clustering(centroids, errors, spark.createDataFrame(rows, HISTORY))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from emberline.operators.skew import ROWS_PER_TASK
 from emberline.plans.graph_layout import EdgeLayout
+from emberline.plans.snapshots import Snapshots
 from emberline.session import cut_lineage
+from emberline.sources.bucketed import sorted_buckets
 from emberline.sources.graphs import chain_graph
 
 ROUNDS = 10
@@ -29,35 +31,44 @@ def pagerank(
     rounds: int = ROUNDS,
     rows_per_task: int = ROWS_PER_TASK,
     snapshots: str | None = None,
+    resume: bool = False,
 ) -> Ranks:
     """A fixed number of rounds from equal ranks. A repeated edge carries a share per copy.
 
     Per round the edges stay partitioned by source; the rank table moves to them, and the contributions,
-    summed per task, move to their targets. One row with the total and the dangling rank comes back.
+    summed per task, move to their targets. One row with the total and the dangling rank comes back. With `snapshots`, round
+    i's ranks are also written below that path as `iter=i`; with `resume` the run goes on behind the last round written there.
     """
-    layout = EdgeLayout.build(edges, rows_per_task)
-    try:
-        table = layout.vertices.select("v", F.col("out_edges").cast("double").alias("out_edges"))
-        n, sinks = table.agg(F.count(F.lit(1)), F.count_if(F.col("out_edges") == 0)).first()
-        if n == 0:
-            return Ranks(table.select("v", F.lit(0.0).alias("pr")), [0.0] * rounds)
-        state = table.withColumn("pr", F.lit(1.0 / n))
-        dangling = sinks / n
-        masses = []
-        for i in range(1, rounds + 1):
-            sent = state.where("out_edges > 0").select(F.col("v").alias("src"), (F.col("pr") / F.col("out_edges")).alias("share"))
-            got = (F.col("share") * F.col("n")).alias("got")
-            received = layout.follow(sent).select(F.col("dst").alias("v"), got, F.lit(0.0).alias("out_edges"))
-            every = received.unionByName(table.select("v", F.lit(0.0).alias("got"), "out_edges"))
-            summed = every.groupBy("v").agg(F.sum("got").alias("got"), F.max("out_edges").alias("out_edges"))
-            rank = F.lit((1.0 - damping) / n) + F.lit(damping) * (F.col("got") + F.lit(dangling / n))
-            state = cut_lineage(summed.select("v", "out_edges", rank.alias("pr")))
-            if snapshots is not None:
-                state.select("v", "pr").write.mode("overwrite").parquet(f"{snapshots}/iter={i}")
-            mass, dangling = state.agg(F.sum("pr"), F.sum(F.when(F.col("out_edges") == 0, F.col("pr")).otherwise(0.0))).first()
-            masses.append(mass)
-    finally:
-        layout.release()
+    spark = edges.sparkSession
+    store = None if snapshots is None else Snapshots(spark, snapshots, {"loop": "pagerank", "damping": damping})
+    with sorted_buckets(spark):
+        layout = EdgeLayout.build(edges, rows_per_task)
+        try:
+            table = layout.vertices.select("v", F.col("out_edges").cast("double").alias("out_edges"))
+            n, sinks = table.agg(F.count(F.lit(1)), F.count_if(F.col("out_edges") == 0)).first()
+            if n == 0:
+                return Ranks(table.select("v", F.lit(0.0).alias("pr")), [0.0] * rounds)
+            lost = F.sum(F.when(F.col("out_edges") == 0, F.col("pr")).otherwise(0.0))
+            masses: list[float] = []
+            if resume and store is not None and (last := store.last()):
+                state = cut_lineage(table.join(store.read(last[0]), "v"))
+                masses, dangling = last[1]["masses"], state.agg(lost).first()[0]
+            else:
+                state, dangling = table.withColumn("pr", F.lit(1.0 / n)), sinks / n
+            for i in range(len(masses) + 1, rounds + 1):
+                sent = state.where("out_edges > 0").select(F.col("v").alias("src"), (F.col("pr") / F.col("out_edges")).alias("share"))
+                got = (F.col("share") * F.col("n")).alias("got")
+                received = layout.follow(sent).select(F.col("dst").alias("v"), got, F.lit(0.0).alias("out_edges"))
+                every = received.unionByName(table.select("v", F.lit(0.0).alias("got"), "out_edges"))
+                summed = every.groupBy("v").agg(F.sum("got").alias("got"), F.max("out_edges").alias("out_edges"))
+                rank = F.lit((1.0 - damping) / n) + F.lit(damping) * (F.col("got") + F.lit(dangling / n))
+                state = cut_lineage(summed.select("v", "out_edges", rank.alias("pr")))
+                mass, dangling = state.agg(F.sum("pr"), lost).first()
+                masses.append(mass)
+                if store is not None:
+                    store.write(i, state.select("v", "pr"), masses=masses)
+        finally:
+            layout.release()
     return Ranks(state.select("v", "pr"), masses)
 
 

@@ -8,9 +8,54 @@ from pyspark.sql import functions as F
 from emberline.operators.aggregates import min_by_key
 from emberline.operators.skew import ROWS_PER_TASK
 from emberline.plans.graph_layout import EdgeLayout
-from emberline.session import cut_lineage
+from emberline.plans.snapshots import Snapshots
+from emberline.sources.bucketed import BucketedTable, sorted_buckets
 
-ROUNDS_PER_MERGE = 16
+LAYERS_PER_MERGE = 8
+
+
+class Reached:
+    """The vertices met so far, in bucketed tables sorted by `v` that stay where they are.
+
+    Each round adds a layer. `LAYERS_PER_MERGE` layers of one size class become one of the next, so that there are few layers and a
+    vertex is rewritten once per class.
+    """
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.layers: list[tuple[int, BucketedTable]] = []
+        self.written: list[BucketedTable] = []
+
+    def _write(self, rows: DataFrame) -> BucketedTable:
+        self.written.append(BucketedTable.write(rows, ["v"], self.buckets))
+        return self.written[-1]
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Store the rows as a layer and return them, read by bucket."""
+        table = self._write(rows)
+        self.layers.append((0, table))
+        while len(last := self.layers[-LAYERS_PER_MERGE:]) == LAYERS_PER_MERGE and len({level for level, _ in last}) == 1:
+            merged = last[0][1].rows
+            for _, other in last[1:]:
+                merged = merged.unionByName(other.rows)
+            self.layers[-LAYERS_PER_MERGE:] = [(last[0][0] + 1, self._write(merged))]
+        return table.rows
+
+    def without(self, met: DataFrame) -> DataFrame:
+        """The rows of `met` whose `v` no layer holds; only `met` moves."""
+        for _, layer in self.layers:
+            met = met.join(layer.rows.select("v"), "v", "left_anti")
+        return met
+
+    def rows(self) -> DataFrame:
+        every = self.layers[0][1].plain()
+        for _, layer in self.layers[1:]:
+            every = every.unionByName(layer.plain())
+        return every
+
+    def forget(self) -> None:
+        for table in self.written:
+            table.forget()
 
 
 def sssp(
@@ -20,40 +65,47 @@ def sssp(
     max_rounds: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     snapshots: str | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """`(v, dist)` for every vertex reached from `source`; unreached ones on request, with null.
 
     Only vertices reached in the last round send messages. With `snapshots`, round i's newly reached
-    vertices are also written below that path as `iter=i`. With `max_rounds` a column `finished` tells whether
-    those rounds were enough; if not, vertices farther away are missing or null.
+    vertices are also written below that path as `iter=i`; with `resume` the run goes on behind the last round written
+    there. With `max_rounds` a column `finished` tells whether that many rounds, written ones included, were enough; if not, vertices
+    farther away are missing or null.
     """
     spark = edges.sparkSession
-    layout = EdgeLayout.build(edges, rows_per_task)
-    try:
-        frontier = spark.range(1).select(F.lit(source).cast("bigint").alias("v"), F.lit(0).alias("dist"))
-        reached = frontier
-        rounds = 0
-        finished = False
-        while max_rounds is None or rounds < max_rounds:
-            rounds += 1
-            sent = layout.follow(frontier.withColumnRenamed("v", "src"))
-            met = min_by_key(sent.select(F.col("dst").alias("v"), (F.col("dist") + 1).alias("dist")), "v", "dist")
-            fresh = met.join(reached, "v", "left_anti")
-            frontier = cut_lineage(fresh)
-            if frontier.isEmpty():
-                finished = True
-                break
-            if snapshots is not None:
-                frontier.write.mode("overwrite").parquet(f"{snapshots}/iter={rounds}")
-            reached = reached.unionByName(frontier)
-            if rounds % ROUNDS_PER_MERGE == 0:
-                reached = cut_lineage(reached)
-    finally:
-        layout.release()
+    store = None if snapshots is None else Snapshots(spark, snapshots, {"loop": "sssp", "source": source})
+    rounds, finished = 0, False
+    frontier = spark.range(1).select(F.lit(source).cast("bigint").alias("v"), F.lit(0).alias("dist"))
+    with sorted_buckets(spark):
+        layout = EdgeLayout.build(edges, rows_per_task)
+        reached = Reached(layout.buckets)
+        try:
+            if resume and store is not None and (last := store.last()):
+                rounds = last[0]
+                reached.add(frontier.unionByName(store.up_to(rounds).select("v", "dist")))
+                frontier = store.read(rounds)
+            else:
+                frontier = reached.add(frontier)
+            while max_rounds is None or rounds < max_rounds:
+                sent = layout.follow(frontier.withColumnRenamed("v", "src"))
+                met = min_by_key(sent.select(F.col("dst").alias("v"), (F.col("dist") + 1).alias("dist")), "v", "dist")
+                frontier = reached.add(reached.without(met))
+                rounds += 1
+                if frontier.isEmpty():
+                    finished = True
+                    break
+                if store is not None:
+                    store.write(rounds, frontier)
+        finally:
+            layout.release()
+            reached.forget()
+    found = reached.rows()
     if include_unreached:
-        everyone = layout.vertices.select("v").unionByName(reached.select("v")).distinct()
-        reached = everyone.join(reached, "v", "left")
-    return reached if max_rounds is None else reached.withColumn("finished", F.lit(finished))
+        everyone = layout.vertices.select("v").unionByName(found.select("v")).distinct()
+        found = everyone.join(found, "v", "left")
+    return found if max_rounds is None else found.withColumn("finished", F.lit(finished))
 
 
 def longest_shortest_path(distances: DataFrame) -> DataFrame:

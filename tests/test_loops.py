@@ -4,6 +4,8 @@ from collections import deque
 import pytest
 
 from emberline.plans import kmeans, pagerank, shortest_path
+from emberline.plans.graph_layout import EdgeLayout
+from emberline.sources.bucketed import sorted_buckets
 from emberline.sources.graphs import chain_graph
 
 
@@ -131,3 +133,64 @@ def test_rounds_and_stop_equal_the_plain_loop(spark, init, seed):
     found = kmeans.kmeans_1d(points(spark, values), 4, init)
     assert found.errors == errors
     assert found.centroids == pytest.approx(centroids)
+
+
+@pytest.mark.parametrize("stopped", [1, 3])
+def test_loops_go_on_from_their_snapshots(spark, edges, tmp_path, stopped):
+    draw = random.Random(4)
+    pairs = [(draw.randrange(40), draw.randrange(40)) for _ in range(70)] + [(i, i + 1) for i in range(50, 62)] + [(0, 50)]
+    graph = edges(pairs)
+    path = str(tmp_path / "paths")
+    assert {r["finished"] for r in shortest_path.sssp(graph, 0, max_rounds=stopped, snapshots=path).collect()} == {False}
+    assert distances(shortest_path.sssp(graph, 0, snapshots=path, resume=True)) == breadth_first(pairs, 0)
+    assert distances(shortest_path.sssp(graph, 0, snapshots=path, resume=True)) == breadth_first(pairs, 0)
+    with pytest.raises(ValueError, match="source"):
+        shortest_path.sssp(graph, 1, snapshots=path, resume=True)
+
+    path = str(tmp_path / "ranks")
+    pagerank.pagerank(graph, rounds=stopped, snapshots=path)
+    whole, resumed = pagerank.pagerank(graph, rounds=5), pagerank.pagerank(graph, rounds=5, snapshots=path, resume=True)
+    assert resumed.masses == pytest.approx(whole.masses, abs=1e-12)
+    ranks = lambda found: {r["v"]: r["pr"] for r in found.ranks.collect()}
+    assert ranks(resumed) == pytest.approx(ranks(whole), abs=1e-12)
+
+    path, values = str(tmp_path / "clusters"), points(spark, [draw.randrange(-500, 2000) for _ in range(80)])
+    kmeans.kmeans_1d(values, 4, "even", max_rounds=stopped, snapshots=path)
+    whole, resumed = kmeans.kmeans_1d(values, 4, "even"), kmeans.kmeans_1d(values, 4, "even", snapshots=path, resume=True)
+    assert (resumed.errors, resumed.centroids) == (whole.errors, whole.centroids)
+    assert sorted(resumed.history.collect()) == sorted(whole.history.collect())
+
+
+def test_a_round_without_its_manifest_does_not_count(edges, tmp_path):
+    pairs = [(i, i + 1) for i in range(8)]
+    path = str(tmp_path / "paths")
+    shortest_path.sssp(edges(pairs), 0, max_rounds=2, snapshots=path)
+    edges([(99, 99)]).selectExpr("src v", "3 dist").write.parquet(f"{path}/iter=3")
+    assert distances(shortest_path.sssp(edges(pairs), 0, snapshots=path, resume=True)) == {i: i for i in range(9)}
+
+
+def test_only_messages_move(spark, edges):
+    """With broadcasts off, neither the edges nor the reached vertices are shuffled or sorted, however many layers there are."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with sorted_buckets(spark):
+            layout = EdgeLayout.build(edges([(i, i * 7 % 50) for i in range(50)]))
+            reached = shortest_path.Reached(layout.buckets)
+            frontier = reached.add(edges([(1, 0), (2, 0)]).selectExpr("src v", "cast(dst as int) dist"))
+            for i in range(3):
+                reached.add(edges([(100 + i, 0)]).selectExpr("src v", "cast(dst as int) dist"))
+            met = layout.follow(frontier.withColumnRenamed("v", "src")).groupBy("dst").agg({"dist": "min"}).withColumnRenamed("dst", "v")
+            text = reached.without(met)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Bucketed: true") == 6 and text.count("SortMergeJoin") == 5
+        assert text.count("Exchange") == 1, text  # the messages by target; the frontier lies bucketed like the edges
+        assert text.count("Sort [") == 1, text
+        layout.release()
+        reached.forget()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_layers_are_merged(edges):
+    pairs = [(i, i + 1) for i in range(20)]
+    assert distances(shortest_path.sssp(edges(pairs), 0)) == {i: i for i in range(21)}
