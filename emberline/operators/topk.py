@@ -2,18 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HELD_ROWS = 1_000_000
+
+
+def least_of_batches(batches: Iterator[pa.RecordBatch], k: int, held_rows: int = HELD_ROWS) -> Iterator[pa.RecordBatch]:
+    """A task's rows `(id, d, cls)` cut to the k least distances of each id, each with its least class.
+
+    The table in hand has at most k rows per id; beyond `held_rows` rows (very many ids) it is sent on and begun anew.
+    """
+    held: list[pa.Table] = []
+    new = 0
+
+    def cut() -> pa.Table:
+        least = pa.concat_tables(held).group_by(["id", "d"]).aggregate([("cls", "min")]).select(["id", "d", "cls_min"]).rename_columns(["id", "d", "cls"])
+        least = least.sort_by([("id", "ascending"), ("d", "ascending")])
+        id_code = pc.rank(least.column("id"), tiebreaker="dense", null_placement="at_end").to_numpy()
+        place = np.arange(len(id_code)) - np.searchsorted(id_code, id_code)
+        return least.filter(pa.array(place < k))
+
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        new += batch.num_rows
+        if new > held_rows // 2:
+            held, new = [cut()], 0
+            if len(held[0]) > held_rows:
+                yield from held.pop().to_batches()
+    if held:
+        yield from cut().to_batches()
+
 
 def k_smallest(pairs: DataFrame, k: int) -> DataFrame:
     """Per `id`, the k smallest distinct values of `d`, each with its least `cls`.
 
-    The rank limit applies inside the map tasks, before the only shuffle (by `id`): a task sends the rows of
-    the k least distances it has of an id. Equal distances are merged behind it, in the same task.
+    A task merges equal distances and sends at most k rows of an id into the only shuffle (by `id`), however many
+    rows share a distance. Rows without an id or a distance order last, as in `sort`.
     """
-    by_distance = Window.partitionBy("id").orderBy("d")
-    near = pairs.select("id", "d", "cls").withColumn("rank", F.dense_rank().over(by_distance)).where(F.col("rank") <= k)
+    rows = pairs.select("id", "d", "cls")
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    least = rows.mapInArrow(lambda batches: least_of_batches(batches, k), kinds)
+    by_distance = Window.partitionBy("id").orderBy(F.asc_nulls_last("d"))
+    near = least.withColumn("rank", F.dense_rank().over(by_distance)).where(F.col("rank") <= k)
     return near.groupBy("id", "d", "rank").agg(F.min("cls").alias("cls")).select("id", "d", "cls", "rank")
 
 

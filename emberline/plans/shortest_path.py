@@ -30,21 +30,23 @@ class Reached:
         self.written.append(BucketedTable.write(rows, ["v"], self.buckets))
         return self.written[-1]
 
-    def add(self, rows: DataFrame) -> DataFrame:
-        """Store the rows as a layer and return them, read by bucket."""
+    def add(self, rows: DataFrame) -> BucketedTable:
+        """Store the rows as a layer, unless there are none."""
         table = self._write(rows)
+        if table.is_empty():
+            return table
         self.layers.append((0, table))
         while len(last := self.layers[-LAYERS_PER_MERGE:]) == LAYERS_PER_MERGE and len({level for level, _ in last}) == 1:
             merged = last[0][1].rows
             for _, other in last[1:]:
                 merged = merged.unionByName(other.rows)
             self.layers[-LAYERS_PER_MERGE:] = [(last[0][0] + 1, self._write(merged))]
-        return table.rows
+        return table
 
     def without(self, met: DataFrame) -> DataFrame:
         """The rows of `met` whose `v` no layer holds; only `met` moves."""
         for _, layer in self.layers:
-            met = met.join(layer.rows.select("v"), "v", "left_anti")
+            met = met.join(layer.rows.select("v").hint("merge"), "v", "left_anti")  # both sides lie sorted
         return met
 
     def rows(self) -> DataFrame:
@@ -87,15 +89,16 @@ def sssp(
                 reached.add(frontier.unionByName(store.up_to(rounds).select("v", "dist")))
                 frontier = store.read(rounds)
             else:
-                frontier = reached.add(frontier)
+                frontier = reached.add(frontier).rows
             while max_rounds is None or rounds < max_rounds:
                 sent = layout.follow(frontier.withColumnRenamed("v", "src"))
                 met = min_by_key(sent.select(F.col("dst").alias("v"), (F.col("dist") + 1).alias("dist")), "v", "dist")
-                frontier = reached.add(reached.without(met))
+                met = reached.add(reached.without(met))
                 rounds += 1
-                if frontier.isEmpty():
+                if met.is_empty():
                     finished = True
                     break
+                frontier = met.rows
                 if store is not None:
                     store.write(rounds, frontier)
         finally:

@@ -11,7 +11,7 @@ found once, at its lowest vertex.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.operators.edges import filter_max_id, weighted_edges
@@ -19,7 +19,6 @@ from emberline.operators.skew import ROWS_PER_TASK, balanced_join, grid_join, ho
 from emberline.session import cut_lineage
 
 STAR_ROWS = 4096
-ROW_BYTES = 24
 
 
 def bounded(edges: DataFrame, max_id: int | None, distinct_edges: bool) -> DataFrame:
@@ -83,7 +82,7 @@ def vertex_table(pairs: DataFrame) -> DataFrame:
 
 
 def oriented_pairs(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Pairs from the lower end x to the higher end y by (degree, id): `(x, y, y_deg, fwd, back, loops)`.
+    """Pairs from the lower end x to the higher end y by (degree, id): `(x, y, x_deg, y_deg, fwd, back, loops)`.
 
     `fwd` counts x->y, `back` counts y->x, `loops` the self-loops on both ends. A pair with an end that
     edges never leave or never enter cannot close a path and is left out.
@@ -103,6 +102,7 @@ def oriented_pairs(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
     return both.select(
         F.when(u_lower, F.col("u")).otherwise(F.col("v")).alias("x"),
         F.when(u_lower, F.col("v")).otherwise(F.col("u")).alias("y"),
+        F.when(u_lower, F.col("u_deg")).otherwise(F.col("v_deg")).alias("x_deg"),
         F.when(u_lower, F.col("v_deg")).otherwise(F.col("u_deg")).alias("y_deg"),
         F.when(u_lower, F.col("fwd")).otherwise(F.col("back")).alias("fwd"),
         F.when(u_lower, F.col("back")).otherwise(F.col("fwd")).alias("back"),
@@ -121,12 +121,26 @@ def wedges(oriented: DataFrame, star_rows: int = STAR_ROWS) -> DataFrame:
     hot = hot_keys(oriented, ["x"], star_rows)
     ordered = F.struct("y_deg", "y") < F.struct("z_deg", "z")
     met = balanced_join(one, two, ["x"], ["y"], hot, ordered)
-    out = met.select("x", "y", "z", (F.col("xy") * F.col("zx")).alias("turn"), (F.col("xz") * F.col("yx")).alias("counter"))
+    out = met.select("x", "y", "z", "y_deg", (F.col("xy") * F.col("zx")).alias("turn"), (F.col("xz") * F.col("yx")).alias("counter"))
     return out.where("turn > 0 or counter > 0")
 
 
 def closing(oriented: DataFrame) -> DataFrame:
-    return oriented.select(F.col("x").alias("y"), F.col("y").alias("z"), F.col("fwd").alias("yz"), F.col("back").alias("zy"))
+    return oriented.select(
+        F.col("x").alias("y"), F.col("y").alias("z"), F.col("x_deg").alias("y_deg"), F.col("fwd").alias("yz"), F.col("back").alias("zy")
+    )
+
+
+def closed_wedges(open_: DataFrame, closing_rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Wedges with the pair that closes them, joined on (y, z).
+
+    A pair closes no more wedges than its lower end has neighbours, so both sides know from `y_deg` into how many parts the wedges of a
+    pair go, without a list of hot pairs: wedges are spread by `x`, the closing row is copied to each part.
+    """
+    parts = F.ceil(F.col("y_deg") / F.lit(rows_per_task)).cast("int")
+    spread = open_.withColumn("part", F.pmod(F.xxhash64("x"), parts).cast("int")).drop("y_deg")
+    copied = closing_rows.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("y_deg")
+    return spread.join(copied, ["y", "z", "part"]).drop("part")
 
 
 def closed_triangles(
@@ -138,7 +152,7 @@ def closed_triangles(
 ) -> DataFrame:
     """Ends of the closed length-2 paths, with multiplicity: `(src, dst, n_closed)`."""
     oriented = cut_lineage(oriented_pairs(bounded(edges, max_id, distinct_edges), rows_per_task))
-    found = wedges(oriented, star_rows).join(closing(oriented), ["y", "z"])
+    found = closed_wedges(wedges(oriented, star_rows), closing(oriented), rows_per_task)
     turn = F.col("turn") * F.col("yz")
     counter = F.col("counter") * F.col("zy")
     rotations = F.array(
@@ -184,23 +198,44 @@ def thirds(closed: DataFrame) -> DataFrame:
     return closed.select("closed_rows", F.expr("closed_rows div 3").alias("triangles"))
 
 
+def neighbour_lists(oriented: DataFrame) -> DataFrame:
+    """One row per vertex with out-going pairs: `(x, ids, fwds, backs)`, sorted by the neighbour's id."""
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("y").alias("id"), "fwd", "back"))).alias("pairs")
+    return oriented.groupBy("x").agg(pairs).select("x", F.col("pairs.id").alias("ids"), F.col("pairs.fwd").alias("fwds"), F.col("pairs.back").alias("backs"))
+
+
+def row_bytes() -> Column:
+    """Bytes that a row of `neighbour_lists` takes as Spark lays it out: header, one word per column, and per list a header, a bit
+    per element and a word per element."""
+    words = F.size("ids")
+    one = 8 + 8 * F.ceil(words / 64) + 8 * words
+    return F.lit(8 + 4 * 8) + 3 * one
+
+
 def triangle_count_broadcast(
     edges: DataFrame,
     max_id: int | None = None,
     distinct_edges: bool = False,
     max_broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """The same count with the edge table copied to every executor, and no shuffle of paths.
+    """The same count with the neighbour lists of the oriented pairs copied to every executor once, and no shuffle of paths.
 
-    The table's size is measured first; above `max_broadcast_bytes` the shuffled count runs instead.
+    Each pair x-y intersects the list of x with that of y, so the in x out pairs around a hub never exist. The lists are stored
+    and the bytes of their rows summed first; above `max_broadcast_bytes` the shuffled count runs instead.
     """
     edges = bounded(edges, max_id, distinct_edges)
-    counted = cut_lineage(weighted_edges(edges))
-    if counted.count() * ROW_BYTES > max_broadcast_bytes:
+    oriented = cut_lineage(oriented_pairs(edges))
+    lists = cut_lineage(neighbour_lists(oriented))
+    if (lists.agg(F.sum(row_bytes())).first()[0] or 0) > max_broadcast_bytes:
         return triangle_count(edges)
-    second = F.broadcast(counted.toDF("mid", "dst", "n_second"))
-    third = F.broadcast(counted.toDF("dst", "src", "n_third"))
-    paths = counted.toDF("src", "mid", "n_first").join(second, "mid").where("src <> dst")
-    closed = paths.join(third, ["src", "dst"])
-    product = F.col("n_first") * F.col("n_second") * F.col("n_third")
-    return thirds(closed.agg(F.coalesce(F.sum(product), F.lit(0)).alias("closed_rows")))
+    sent = F.broadcast(lists)
+    mine = lists.select("x", F.col("ids").alias("z_ids"), F.explode(F.arrays_zip("ids", "fwds", "backs")).alias("y"), "fwds", "backs")
+    mine = mine.select("z_ids", F.col("fwds").alias("x_fwds"), F.col("backs").alias("x_backs"), F.col("y.ids").alias("x"), F.col("y.fwds").alias("xy"), F.col("y.backs").alias("yx"))
+    met = mine.join(sent, "x").where(F.arrays_overlap("z_ids", "ids"))
+    third = met.withColumn("z", F.explode(F.array_intersect("z_ids", "ids")))
+    at = lambda lists, ids: F.element_at(lists, F.array_position(ids, F.col("z")).cast("int"))
+    turn = F.col("xy") * at("fwds", F.col("ids")) * at("x_backs", F.col("z_ids"))
+    counter = F.col("yx") * at("backs", F.col("ids")) * at("x_fwds", F.col("z_ids"))
+    rows = third.select((3 * (turn + counter)).alias("n"))
+    rows = rows.unionByName(oriented.select((2 * F.col("fwd") * F.col("back") * F.col("loops")).alias("n")))
+    return thirds(rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("closed_rows")))

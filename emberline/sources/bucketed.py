@@ -54,6 +54,10 @@ class BucketedTable:
         by_key.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
         return cls(name, path, spark.table(name))
 
+    def is_empty(self) -> bool:
+        """Without a job: a bucket without rows has no file."""
+        return not self.rows.inputFiles()
+
     def plain(self) -> DataFrame:
         """The same rows from the files alone; stays readable when the table's name is gone."""
         return self.rows.sparkSession.read.schema(self.rows.schema).parquet(self.path)

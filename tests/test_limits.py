@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from emberline.functions.columns import record_line
@@ -106,9 +108,32 @@ def test_one_distance_many_times(spark):
     assert sorted(tuple(r) for r in found) == [(1, 1.0, 1, 1), (1, 2.0, 3, 2), (2, 5.0, 4, 1)]
 
 
-def test_the_rank_limit_stands_below_the_only_shuffle(spark):
+def test_one_shuffle_of_what_tasks_have_cut(spark):
     plan = topk.k_smallest(spark.createDataFrame([(1, 1.0, 0)], "id bigint, d double, cls int"), 3)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_a_task_sends_k_rows_of_a_million_at_one_distance():
+    one = pa.RecordBatch.from_pydict({"id": np.zeros(10_000, np.int64), "d": np.ones(10_000), "cls": np.arange(10_000, 0, -1).astype(np.int32)})
+    other = pa.RecordBatch.from_pydict({"id": np.array([0, 0, 5]), "d": np.array([0.5, 3.0, 9.0]), "cls": np.array([7, 7, 7], np.int32)})
+    for k in (1, 2, 5):
+        sent = [r for b in topk.least_of_batches(iter([one] * 100 + [other]), k) for r in zip(*(b.column(c).to_pylist() for c in ("id", "d", "cls")), strict=True)]
+        assert sorted(sent) == [(0, 0.5, 7), (0, 1.0, 1), (0, 3.0, 7)][:k] + [(5, 9.0, 7)]
+
+
+def test_many_ids_are_sent_on_in_pieces(spark):
+    draw = random.Random(9)
+    rows = [(draw.choice([*range(40), None]), draw.choice([0.5, 1.0, 2.0, 2.5, 4.0, None]), draw.randrange(5)) for _ in range(900)]
+    batches = [pa.RecordBatch.from_pylist([{"id": i, "d": d, "cls": c} for i, d, c in rows[a : a + 50]], pa.schema([("id", pa.int64()), ("d", pa.float64()), ("cls", pa.int32())])) for a in range(0, 900, 50)]
+    sent = [b for b in topk.least_of_batches(iter(batches), 2, held_rows=60)]
+    assert len(sent) > 1
+    df = spark.createDataFrame(rows, "id bigint, d double, cls int")
+    found = {(r["id"], r["rank"]): (r["d"], r["cls"]) for r in topk.k_smallest(df.repartition(4), 2).collect()}
+    expected = {}
+    for i in {r[0] for r in rows}:
+        ds = sorted({r[1] for r in rows if r[0] == i}, key=lambda d: (d is None, d or 0))[:2]
+        expected |= {(i, n + 1): (d, min(c for j, e, c in rows if (j, e) == (i, d))) for n, d in enumerate(ds)}
+    assert found == expected
 
 
 def test_the_reported_area_is_exact(spark):

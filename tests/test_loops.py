@@ -177,7 +177,7 @@ def test_only_messages_move(spark, edges):
         with sorted_buckets(spark):
             layout = EdgeLayout.build(edges([(i, i * 7 % 50) for i in range(50)]))
             reached = shortest_path.Reached(layout.buckets)
-            frontier = reached.add(edges([(1, 0), (2, 0)]).selectExpr("src v", "cast(dst as int) dist"))
+            frontier = reached.add(edges([(1, 0), (2, 0)]).selectExpr("src v", "cast(dst as int) dist")).rows
             for i in range(3):
                 reached.add(edges([(100 + i, 0)]).selectExpr("src v", "cast(dst as int) dist"))
             met = layout.follow(frontier.withColumnRenamed("v", "src")).groupBy("dst").agg({"dist": "min"}).withColumnRenamed("dst", "v")

@@ -90,3 +90,31 @@ def test_star_of_a_hub_has_no_wedges(edges):
     pairs = [(i, 0) for i in range(1, 200)] + [(0, i) for i in range(1, 200)]
     oriented = triangles.oriented_pairs(edges(pairs))
     assert triangles.wedges(oriented).count() == 0
+
+
+@pytest.mark.parametrize("rows_per_task", [2, 10**6])
+def test_two_hubs_with_many_shared_neighbours(edges, rows_per_task):
+    pairs = [(0, 1)] + [(i, 0) for i in range(2, 40)] + [(1, i) for i in range(2, 40)] + [(1, 0), (5, 6), (6, 5)]
+    found = {(r["src"], r["dst"]): r["n_closed"] for r in triangles.closed_triangles(edges(pairs), rows_per_task=rows_per_task).collect()}
+    assert found == closed_paths(pairs) and found[0, 2] == 1
+
+
+def test_wedges_of_a_hot_pair_are_spread(spark):
+    open_ = spark.createDataFrame([(x, 1, 2, 500, 1, 0) for x in range(500)], "x bigint, y bigint, z bigint, y_deg bigint, turn bigint, counter bigint")
+    closing = spark.createDataFrame([(1, 2, 500, 3, 4)], "y bigint, z bigint, y_deg bigint, yz bigint, zy bigint")
+    assert triangles.closed_wedges(open_, closing, 50).count() == 500
+    text = triangles.closed_wedges(open_, closing, 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in text and "sequence" in text
+
+
+def test_a_hub_is_never_paired_with_itself(spark, edges):
+    n = 10_000
+    into = [(i, 0) for i in range(1, n + 1)]
+    out = [(0, n + i) for i in range(1, n + 1)]
+    back = [(n + i, i) for i in range(1, n + 1)]
+    graph_ = edges(into + out + back)
+    lists = triangles.neighbour_lists(triangles.oriented_pairs(triangles.bounded(graph_, None, False)))
+    assert lists.agg({"x": "count"}).first()[0] <= 2 * n + 1
+    assert max(len(r["ids"]) for r in lists.select("ids").collect()) <= 2
+    assert tuple(triangles.triangle_count_broadcast(graph_).first()) == (3 * n, n)
+    assert tuple(triangles.triangle_count_broadcast(graph_, max_broadcast_bytes=10).first()) == (3 * n, n)
