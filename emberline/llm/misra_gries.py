@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.llm.common import stored
-from emberline.llm.fm_decontam import shard_rows
+from emberline.llm.fm_decontam import list_array, shard_rows
 from emberline.session import shuffle_width
 
 MOST_WORDS = 5
@@ -226,12 +226,16 @@ def unpacked(first: int, gaps: bytes, counts: bytes) -> tuple[np.ndarray, np.nda
     return np.cumsum(np.frombuffer(gaps, np.uint32), dtype=np.uint64) + np.uint64(first), n
 
 
+def partitions(docs: DataFrame, mass: np.ndarray, partition_mass: int = PARTITION_MASS) -> int:
+    return int(min(len(mass), max(shuffle_width(docs.sparkSession), -(-int(mass.sum()) // partition_mass))))
+
+
 def survivors(docs: DataFrame, mass: np.ndarray, threshold: int, phrase_codes, partition_mass: int = PARTITION_MASS) -> DataFrame:
     """`(code)`: the hash, cut to `KEY_BITS` bits, of all phrases that can have `threshold` occurrences, and of some others.
 
     `phrase_codes` gives the hashes of a slice's phrases, `mass` at least how many fall into each cell.
     """
-    parts = int(min(len(mass), max(shuffle_width(docs.sparkSession), -(-int(mass.sum()) // partition_mass))))
+    parts = partitions(docs, mass, partition_mass)
     part_of = np.arange(len(mass)) * parts // len(mass)
     capacity = SPARE * np.bincount(part_of, mass, parts).astype(np.int64) // threshold + 1
     cut = np.uint64(64 - KEY_BITS)
@@ -275,10 +279,38 @@ def survivors(docs: DataFrame, mass: np.ndarray, threshold: int, phrase_codes, p
     return rows.repartition(parts, "part").mapInArrow(summarised, "code bigint")
 
 
-def exact_counts(docs: DataFrame, frequent, wanted, most_words: int) -> DataFrame:
-    """`(lang, phrase, a)`: all occurrences of every phrase that the bitmaps of words and of phrases let through."""
+def merged(tables: list[pa.Table]) -> pa.Table:
+    """`(lang, phrase, n)` with one row per phrase."""
+    found = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+    return found.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"]).combine_chunks()
+
+
+def blocks(table: pa.Table, parts: int) -> pa.RecordBatch:
+    """The rows packed by part and language: `(part, lang, phrases, counts)`, `ROW_ENTRIES` phrases in a block at most."""
+    part = (text_codes(table.column("phrase").to_pylist()) % np.uint64(parts)).astype(np.int64)
+    lang = table.column("lang").combine_chunks().dictionary_encode()
+    group = part * max(1, len(lang.dictionary)) + lang.indices.to_numpy()
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    place = np.arange(len(group)) - np.searchsorted(group, group)
+    first = np.flatnonzero(place % ROW_ENTRIES == 0)
+    sizes = np.diff(np.append(first, len(group)))
+    rows = table.take(pa.array(order)).combine_chunks()
+    phrases, counts = (list_array(rows.column(c).combine_chunks(), sizes) for c in ("phrase", "n"))
+    return pa.RecordBatch.from_arrays([pa.array(part[order][first], pa.int32()), rows.column("lang").combine_chunks().take(pa.array(first)), phrases, counts], ["part", "lang", "phrases", "counts"])
+
+
+def exact_counts(docs: DataFrame, frequent, wanted, most_words: int, threshold: int = 1, parts: int = 1) -> DataFrame:
+    """`(lang, phrase, a)`: all occurrences of every phrase that the bitmaps of words and of phrases let through, if there are
+    `threshold` of them.
+
+    Tasks send their sums in blocks; a task that receives them holds one row per phrase of its parts, no more than those
+    parts' mass divided by the threshold but for the rare ones that the bitmaps let in.
+    """
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[pa.Table] = []
         for words in slices(batches):
             names = words.names
             for size, start, code in words.phrases(most_words, words.frequent_left(frequent.value)):
@@ -296,10 +328,30 @@ def exact_counts(docs: DataFrame, frequent, wanted, most_words: int) -> DataFram
                     first, n = np.concatenate([first, start[other]]), np.concatenate([n, np.ones(int(other.sum()), n.dtype)])
                 texts = pc.binary_join_element_wise(*(names.take(pa.array(words.word[first + j])) for j in range(size)), " ")
                 langs = pa.array(words.lang_names, pa.string()).take(pa.array(words.lang[first]))
-                yield pa.RecordBatch.from_arrays([langs, texts, pa.array(n, pa.int64())], ["lang", "phrase", "n"])
+                pending.append(pa.Table.from_arrays([langs, texts, pa.array(n, pa.int64())], schema=schema))
+            if sum(map(len, pending)) > FLUSH_ENTRIES // 4:
+                pending = [merged(pending)]
+                if len(pending[0]) > FLUSH_ENTRIES // 8:
+                    yield blocks(pending.pop(), parts)
+        if pending:
+            yield blocks(merged(pending), parts)
+
+    def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        new = 0
+        for batch in batches:
+            phrases, counts = batch.column("phrases"), batch.column("counts")
+            langs = batch.column("lang").take(pa.array(np.repeat(np.arange(len(phrases)), np.diff(phrases.offsets.to_numpy()))))
+            held.append(pa.Table.from_arrays([langs, phrases.flatten(), counts.flatten()], schema=schema))
+            new += len(langs)
+            if new > FLUSH_ENTRIES // 2:
+                held, new = [merged(held)], 0
+        if held:
+            rows = merged(held)
+            yield from rows.filter(pc.greater_equal(rows.column("n"), threshold)).rename_columns(["lang", "phrase", "a"]).to_batches()
 
-    found = docs.select("text", "lang").mapInArrow(counted, "lang string, phrase string, n bigint")
-    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
+    found = docs.select("text", "lang").mapInArrow(counted, "part int, lang string, phrases array<string>, counts array<bigint>")
+    return found.repartition(parts, "part").mapInArrow(collected, "lang string, phrase string, a bigint")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, most_words: int = MOST_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -325,7 +377,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, most_words: in
     pairs = context.broadcast(some)
     more = bitmap_of(survivors(docs, mass[1 << CELL_BITS :], threshold, longer_codes), PHRASE_BITS)
     wanted = context.broadcast(some | more)
-    phrases = stored(exact_counts(docs, frequent, wanted, most_words).where(F.col("a") >= threshold))
+    phrases = stored(exact_counts(docs, frequent, wanted, most_words, threshold, partitions(docs, mass)))
     return phrases, common.select("lang", F.col("word").alias("phrase"), F.col("n").alias("a")), words.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
