@@ -25,7 +25,17 @@ def stored(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables that `stored` wrote, once everything that reads them is written itself."""
+    for each in tables:
+        spark = each.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(each.stored_at)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,8 +5,8 @@ are similar enough, the first `n - ceil(t * n) + k` shingles of each share at le
 document picks its own k: a longer prefix costs more index rows but asks for more shared shingles, so k grows
 while the estimated work for the candidates falls. The smaller set of a pair must have more of its shingles in the
 intersection than the larger one, so of its prefix the first `n - ceil(2 * t * n / (1 + t)) + k` are enough to meet. A
-pair is verified only if it meets in as many shingles as the smaller k of the two, and if its prefixes share as many as
-its similarity leaves to them.
+pair is verified only if sketches of its prefixes allow as many shared shingles as the smaller k of the two, and as many
+as its similarity leaves to the prefixes.
 
 Equal sets are joined first and stand for one another. What is asked for is the components of the links, so
 a document first tries the one partner with which it shares most prefix shingles among the least ids of its
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import components, stored
+from emberline.llm.common import components, released, stored
 from emberline.llm.piece_bpe import slices
 
 COUNT_BITS = 20
@@ -35,6 +35,9 @@ BLOCKS = 64
 MOST_MATCHES = 4
 BROADCAST_IDS = 1_000_000
 DOCS_PER_PART = 2_000
+SKETCH_BITS = 2_048
+SMALLER_PER_BLOCK = 500
+PAIRS_PER_BLOCK = 50_000
 CACHED_WORDS = 150_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -140,22 +143,20 @@ def prefixes(docs: DataFrame, id_column: str, size: int, percent: int, levels: n
         shingler = Shingler(size)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, sizes, asked, tokens = [], [], [], []
+                ids, sizes, asked, tokens, sketches = [], [], [], [], []
                 for i, s in zip(part.column(id_column).to_pylist(), shingler.sets(part.column("text").to_pylist()), strict=True):
                     if len(s):
                         k, prefix = prefix_of(s, sent.value, percent, most)
-                        ids.append(i), sizes.append(len(s)), asked.append(k), tokens.append(prefix.view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(asked, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))], ["id", "n", "k", "prefix"]
-                )
+                        ids.append(i), sizes.append(len(s)), asked.append(k), tokens.append(prefix.view(np.int64)), sketches.append(sketch(prefix))
+                columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(asked, pa.int32()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "k", "prefix", "sketch"])
 
     rows = docs.select(F.col(id_column).cast("bigint").alias(id_column), "text")
-    return rows.mapInArrow(run, "id bigint, n int, k int, prefix array<bigint>")
+    return rows.mapInArrow(run, "id bigint, n int, k int, prefix array<bigint>, sketch binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_column: str, size: int, percent: int) -> DataFrame:
-    """Of the distinct pairs `(a, b)` those whose whole shingle sets are similar enough."""
-    pairs = stored(pairs)
+    """Of the distinct pairs `(a, b)`, a stored table, those whose whole shingle sets are similar enough."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     if ids.count() <= BROADCAST_IDS:  # 8 MB of ids at most; beyond that Spark shuffles both sides
         ids = F.broadcast(ids)
@@ -173,7 +174,9 @@ def verified(pairs: DataFrame, docs: DataFrame, id_column: str, size: int, perce
     both = left.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     judged = both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).alias("sum"))
-    return judged.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("sum") - F.col("i"))).select("a", "b")
+    linked = stored(judged.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("sum") - F.col("i"))).select("a", "b"))
+    released(sets)
+    return linked
 
 
 def matches_needed(percent: int) -> Column:
@@ -188,51 +191,67 @@ def matches_needed(percent: int) -> Column:
     return F.greatest(F.least("k_a", "k_b"), whole - F.greatest(*rest))
 
 
+def sketch(prefix: np.ndarray) -> bytes:
+    """The shingles of a prefix as a bitmap of fixed size."""
+    bits = np.zeros(SKETCH_BITS, np.uint8)
+    bits[(prefix * _C >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def meeting_pairs(rows: pd.DataFrame, percent: int, across: bool) -> pd.DataFrame:
+    """Distinct pairs `(a, b)` of `rows` that meet in a shingle, lie in different components and may share enough.
+
+    Two prefixes share at most the common bits of their sketches, and the shingles that fell on a bit already set in
+    either of them. With `across`, only pairs of different parts count. Blocks of pairs bound the memory.
+    """
+    rows = rows.sort_values("token", kind="stable")
+    token, ids, n, k, of, early, part = (rows[c].to_numpy() for c in ("token", "id", "n", "k", "component_id", "early", "part"))
+    n, k = n.astype(np.int64), k.astype(np.int64)
+    bits = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(rows), -1)
+    least = -(-percent * n // 100)
+    merged = n - least + k - np.bitwise_count(bits).sum(1)
+    cuts = np.flatnonzero(np.diff(token)) + 1
+    found = [np.zeros((0, 2), np.int64)]
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)], strict=True):
+        smaller, all_ = lo + np.flatnonzero(early[lo:hi]), slice(lo, hi)
+        for start in range(0, len(smaller), SMALLER_PER_BLOCK):
+            x = smaller[start : start + SMALLER_PER_BLOCK, None]
+            good = (of[x] != of[all_]) & (100 * n[x] >= percent * n[all_])
+            good &= (n[x] < n[all_]) | (n[x] == n[all_]) & (ids[x] < ids[all_])
+            if across:
+                good &= part[x] != part[all_]
+            i, j = np.nonzero(good)
+            i, j = x[i, 0], j + lo
+            for at in range(0, len(i), PAIRS_PER_BLOCK):
+                s, t = i[at : at + PAIRS_PER_BLOCK], j[at : at + PAIRS_PER_BLOCK]
+                whole = -(-percent * (n[s] + n[t]) // (100 + percent))
+                needed = np.maximum(np.minimum(k[s], k[t]), whole - np.maximum(least[s] - k[s], least[t] - k[t]))
+                ok = np.bitwise_count(bits[s] & bits[t]).sum(1) + np.minimum(merged[s], merged[t]) >= needed
+                if ok.any():
+                    found.append(np.stack([ids[s[ok]], ids[t[ok]]], 1))
+    return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+
 def candidates(open_: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs `(a, b)` of different components that meet in a shingle and whose prefixes share enough.
+    """Distinct pairs `(a, b)` of different components that meet in a shingle and whose prefixes may share enough.
 
-    The documents of a shingle are compared by matrix products over the shingles of their prefixes; only pairs that
-    pass leave the task, each from the least of the shingles in which it meets. A shingle with many documents is
-    cut into parts on both sides, and every part meets every other.
+    Shingles with few documents are dealt into cells of some thousand rows. A shingle with many is cut into parts;
+    a cell holds two of them, and every part meets every other in one cell. A row has the same size whatever its prefix.
     """
     parts = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("bigint").alias("parts"))
-    rows = open_.join(parts, "token")
-    mine, each = F.pmod(F.xxhash64("id"), F.col("parts")), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
-    columns = ["token", "p", "q", "id", "n", "k", "component_id", "prefix"]
-    left = rows.where("early").withColumn("p", mine).withColumn("q", each).select(*columns)
-    right = rows.withColumn("q", mine).withColumn("p", each).select(*columns).toDF(*columns)
-
-    def meet(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        if not len(x) or not len(y):
-            return none
-        known = np.intersect1d(np.concatenate(x["prefix"].to_numpy()), np.concatenate(y["prefix"].to_numpy()))
-        earlier = known < key[0]
-
-        def table(frame: pd.DataFrame, short: bool) -> np.ndarray:
-            out = np.zeros((len(frame), len(known)), np.float32)
-            for i, (n, k, prefix) in enumerate(zip(frame["n"], frame["k"], frame["prefix"], strict=True)):
-                some = prefix[: n - -(-2 * percent * n // (100 + percent)) + k] if short else prefix
-                at = np.minimum(np.searchsorted(known, some), len(known) - 1)
-                out[i, at[known[at] == some]] = 1
-            return out
-
-        of_y, (n_b, k_b, id_b, c_b) = table(y, False), (y[c].to_numpy() for c in ("n", "k", "id", "component_id"))
-        found = [none]
-        for lo in range(0, len(x), 500):
-            some = x.iloc[lo : lo + 500]
-            n_a, k_a, id_a, c_a = (some[c].to_numpy()[:, None] for c in ("n", "k", "id", "component_id"))
-            rest = np.maximum(-(-percent * n_a // 100) - k_a, -(-percent * n_b // 100) - k_b)
-            needed = np.maximum(np.minimum(k_a, k_b), -(-percent * (n_a + n_b) // (100 + percent)) - rest)
-            good = (c_a != c_b) & (100 * n_a >= percent * n_b) & ((n_a < n_b) | (n_a == n_b) & (id_a < id_b))
-            good &= table(some, False) @ of_y.T >= needed
-            good &= table(some, True)[:, earlier] @ of_y[:, earlier].T == 0
-            i, j = np.nonzero(good)
-            found.append(pd.DataFrame({"a": id_a[i, 0], "b": id_b[j]}))
-        return pd.concat(found)
+    cells = -(-open_.count() // (2 * DOCS_PER_PART)) or 1
+    rows = open_.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    cell = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("token"), F.lit(cells).cast("bigint"))).otherwise(F.col("token"))
+    rows = rows.select(
+        cell.alias("cell"), F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+        "token", "part", "id", "n", "k", "component_id", "early", "sketch",
+    )
+
+    def meet(key, frame: pd.DataFrame) -> pd.DataFrame:
+        return meeting_pairs(frame, percent, across=key[1] != key[2])
 
-    keys = ["token", "p", "q"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "a bigint, b bigint").distinct()
+    return rows.groupBy("cell", "p", "q").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
 def jaccard_components(
@@ -260,20 +279,24 @@ def jaccard_components(
         F.count(F.lit(1)).alias("common"), *[F.first(c).alias(f"{c}_a") for c in ("n", "k")], *[F.first(f"lead.{c}").alias(f"{c}_b") for c in ("n", "k")]
     ).where(F.col("common") >= matches_needed(percent))
     tried = stars.groupBy("id").agg(F.max(F.struct("common", (-F.col("lead")).alias("least"))).alias("best"))
-    links = stored(verified(tried.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b")), docs, id_column, size, percent))
+    tried = stored(tried.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b")))
+    links = verified(tried, docs, id_column, size, percent)
+    released(tried)
 
     # What is left to find are links between components; a shingle whose documents are all of one has none.
     found = components(links)
-    placed = shared.drop("lead").join(found, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    placed = stored(placed)
+    placed = stored(shared.drop("lead").join(found, "id", "left").withColumn("component_id", F.coalesce("component_id", "id")))
+    released(shared, least)
     mixed = placed.groupBy("token").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.max("early").alias("met")
     ).where("low < high and met")
-    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi").join(indexed.select("id", "prefix"), "id"))
-    pairs = candidates(open_, percent)
+    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi").join(indexed.select("id", "sketch"), "id"))
+    released(placed, indexed)
+    pairs = stored(candidates(open_, percent))
+    released(open_)
     more = verified(pairs, docs, id_column, size, percent)
-    all_links = stored(links.unionByName(more).unionByName(equal))
-    of = components(all_links).withColumnRenamed("id", id_column)
+    of = components(links.unionByName(more).unionByName(equal)).withColumnRenamed("id", id_column)
+    released(links, equal, pairs, more)
     return rows.select(id_column, "n_shingles").join(of, id_column, "left").select(
         id_column, "n_shingles", F.coalesce("component_id", id_column).alias("component_id")
     )

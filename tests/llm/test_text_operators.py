@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -149,8 +151,9 @@ def shingle_components(rows, size, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
-def test_jaccard_components_equal_brute_force(documents, size, percent):
+@pytest.mark.parametrize("size,percent,docs_per_part", [(3, 90, 2_000), (5, 80, 2_000), (3, 90, 3), (5, 80, 2)])
+def test_jaccard_components_equal_brute_force(documents, monkeypatch, size, percent, docs_per_part):
+    monkeypatch.setattr(jaccard_join, "DOCS_PER_PART", docs_per_part)
     draw = random.Random(8)
     base = [[f"w{draw.randint(0, 400)}" for _ in range(draw.randint(1, 150))] for _ in range(12)]
     rows = []
@@ -172,6 +175,47 @@ def test_jaccard_components_of_odd_rows(odd_documents, no_documents):
     assert jaccard_join.jaccard_components(no_documents).count() == 0
 
 
+def prefix_rows(sets, percent, k, seed=0):
+    """Rows as they meet, one for every shingle of a document's prefix, and the prefixes."""
+    order = {t: i for i, t in enumerate(np.random.default_rng(seed).permutation(max(map(max, sets)) + 1).tolist())}
+    prefixes, rows = {}, []
+    for i, s in enumerate(sets):
+        ranked = sorted(s, key=order.get)
+        prefixes[i] = ranked[: len(s) + percent * len(s) // -100 + k]
+        early = len(s) + 2 * percent * len(s) // -(100 + percent) + k
+        bits = jaccard_join.sketch(np.array(prefixes[i], np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        rows += [(t, i, len(s), k, i % 50, place < early, i % 2, bits) for place, t in enumerate(prefixes[i])]
+    return pd.DataFrame(rows, columns=["token", "id", "n", "k", "component_id", "early", "part", "sketch"]), prefixes
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_meeting_pairs_lose_no_similar_pair(across):
+    draw = random.Random(12)
+    base = [draw.sample(range(4_000), draw.choice([5, 60, 900])) for _ in range(15)]
+    sets = []
+    for i in range(120):
+        words = list(base[i % 15])
+        for _ in range(draw.randint(0, len(words) // 12)):
+            words[draw.randrange(len(words))] = 4_000 + draw.randint(0, 500)
+        sets.append(set(words))
+    rows, prefixes = prefix_rows(sets, 80, 2)
+    found = set(jaccard_join.meeting_pairs(rows, 80, across).itertuples(index=False, name=None))
+    allowed = {(a, b) for a in prefixes for b in prefixes if a % 50 != b % 50 and (not across or a % 2 != b % 2) and (len(sets[a]), a) < (len(sets[b]), b)}
+    similar = {(a, b) for a, b in allowed if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert similar and similar <= found <= allowed
+    assert len(found) < 2 * len(similar)
+
+
+def test_long_prefixes_that_meet_in_one_shingle_need_little_memory():
+    draw = np.random.default_rng(2)
+    bits = [jaccard_join.sketch(draw.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(2_000)]
+    rows = pd.DataFrame({"token": 0, "id": range(2_000), "n": 1_900, "k": 10, "component_id": range(2_000), "early": True, "part": 0, "sketch": bits})
+    tracemalloc.start()
+    assert len(jaccard_join.meeting_pairs(rows, 90, False)) == 0
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_prefixes_ask_for_as_many_matches_as_they_are_longer():
     levels = np.full(1 << jaccard_join.COUNT_BITS, 3, np.uint8)
     shingles = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 200, dtype=np.uint64))
