@@ -11,7 +11,8 @@ representative each, a run's bytes are a segment, and only segments with equal r
    merged by interleave refinement: a round reads the merged transform in the present order and deals its rows
    stably by their symbol, which gives the interleave of all suffixes by one symbol more, and new boundaries
    wherever the common prefix has ended. After `width / STRIDE` rounds the intervals between boundaries
-   are the strings that are equal, and no suffix has been sorted again.
+   are the strings that are equal, and no suffix has been sorted again. As segments of different representatives
+   share no string, a task takes a bucket in portions, and holds the transforms of one.
 3. A representative with more than `hot_segments` different segments would fill one bucket; its strings are
    counted one by one by their hash, which spreads them over all tasks.
 
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm.common import stored
+from emberline.llm.piece_bpe import slices
 
 WIDTH = 400
 GRAM = 100
@@ -36,6 +38,7 @@ STRIDE = 50
 SHARDS = 4
 HOT_SEGMENTS = 4_096
 BUCKET_BYTES = 2_000_000
+MERGED_BYTES = 125_000
 BROADCAST_BYTES = 24_000_000
 _CHUNK = 1 << 22
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -119,15 +122,16 @@ class Shard:
 
     def __init__(self, symbol: np.ndarray, ahead: np.ndarray, back: np.ndarray, rounds: int):
         # symbol: of each position, -1 where less than a block is left; ahead/back: the position a stride on, or -1.
-        rank = symbol + 1
-        step = 1
-        hop = ahead.copy()
-        while step < rounds:  # order by 2, 4, ... symbols
-            behind = np.where(hop >= 0, rank[hop], 0)
-            rank = np.unique(rank.astype(np.int64) << 32 | behind, return_inverse=True)[1]
+        rank, hop, step = symbol.astype(np.int64) + 1, ahead, 2
+        while True:  # order by 2, 4, ... symbols
+            key = rank << 32 | np.where(hop >= 0, rank[hop], 0)
+            self.rows = np.argsort(key)  # suffixes that agree in all symbols may stand in any order
+            if step >= rounds:
+                break
+            key = key[self.rows]
+            rank[self.rows] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
             hop = np.where(hop >= 0, hop[hop], -1)
             step *= 2
-        self.rows = np.argsort(np.where(symbol < 0, -1, rank), kind="stable")
         before = back[self.rows]
         self.transform = np.where(before >= 0, symbol[before], -1)
         self.empty = int((symbol < 0).sum())  # rows of suffixes without a symbol, which come first
@@ -137,32 +141,34 @@ def interleave(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray
     """`(shard of each merged row, interval of each merged row)` after `rounds` refinements."""
     size = [len(s.rows) for s in shards]
     empty = np.repeat(np.arange(len(shards)), [s.empty for s in shards])
-    order, block = np.repeat(np.arange(len(shards)), size), np.zeros(sum(size), np.int64)
+    empty = empty.astype(np.uint8)
+    order, block = np.repeat(np.arange(len(shards), dtype=np.uint8), size), np.zeros(sum(size), np.int32)
     for _ in range(rounds):
-        symbol = np.empty(len(order), np.int64)
+        symbol = np.empty(len(order), np.int32)
         for k, shard in enumerate(shards):
             symbol[order == k] = shard.transform
         has = np.flatnonzero(symbol >= 0)
         dealt = has[stable_order(symbol[has])]
+        symbol, block = symbol[dealt], block[dealt]
         change = np.ones(len(dealt), bool)
-        change[1:] = (symbol[dealt[1:]] != symbol[dealt[:-1]]) | (block[dealt[1:]] != block[dealt[:-1]])
+        change[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
         order = np.concatenate([empty, order[dealt]])
-        block = np.concatenate([np.zeros(len(empty), np.int64), np.cumsum(change)])
+        block = np.concatenate([np.zeros(len(empty), np.int32), np.cumsum(change, dtype=np.int32)])
     return order, block
 
 
 def repeated_starts(texts: list[bytes], weights: np.ndarray, width: int = WIDTH, stride: int = STRIDE, shards: int = SHARDS) -> list[np.ndarray]:
     """For each segment, which of its string starts begin a string that occurs twice among the (weighted) segments."""
     data = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8)  # the byte behind a segment is its empty suffix
-    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    start = np.cumsum(size) - size
-    owner = np.repeat(np.arange(len(texts)), size)
-    place = np.arange(len(data)) - start[owner]
+    size = np.fromiter(map(len, texts), np.int32, len(texts)) + 1
+    start = np.cumsum(size, dtype=np.int32) - size
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), size)
+    index = np.arange(len(data), dtype=np.int32)
+    place = index - start[owner]
     left = size[owner] - place - 1
     whole = np.flatnonzero(left >= stride)
-    symbol = np.full(len(data), -1, np.int64)
+    symbol = np.full(len(data), -1, np.int32)
     symbol[whole] = np.unique(Hashes(data).of(whole, whole + stride), return_inverse=True)[1]
-    index = np.arange(len(data))
     ahead = np.where(left >= stride, index + stride, -1)
     back = np.where(place >= stride, index - stride, -1)
     shards = max(1, min(shards, len(texts)))
@@ -176,7 +182,7 @@ def repeated_starts(texts: list[bytes], weights: np.ndarray, width: int = WIDTH,
             parts.append(Shard(symbol[lo:hi], shift(ahead[lo:hi]), shift(back[lo:hi]), rounds))
             origin.append(parts[-1].rows + lo)
     merged, block = interleave(parts, rounds)
-    position = np.empty(len(merged), np.int64)
+    position = np.empty(len(merged), np.int32)
     for k, rows in enumerate(origin):
         position[merged == k] = rows
     valid = left[position] >= width
@@ -186,6 +192,14 @@ def repeated_starts(texts: list[bytes], weights: np.ndarray, width: int = WIDTH,
     return [hit[s : s + max(n - width, 0)] for s, n in zip(start.tolist(), size.tolist(), strict=True)]
 
 
+def portions(grams: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cut sorted segments between representatives, so that a portion holds about `MERGED_BYTES`, or one representative."""
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    part = (np.cumsum(sizes) - sizes)[first] // MERGED_BYTES
+    edges = [*first[np.flatnonzero(np.diff(part, prepend=-1))].tolist(), len(grams)]
+    yield from zip(edges, edges[1:], strict=False)
+
+
 def met_by_key(docs: DataFrame, side: DataFrame, size: str, how: str) -> DataFrame:
     """Join the texts with a table by text key: it is broadcast if its size is checked to be small, else both are shuffled."""
     total = side.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
@@ -205,7 +219,7 @@ def removals(
     rows = docs.select(*carried, "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             keys, grams, codes, times = [], [], [], []
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
                 _, _, _, gram, code = segments(as_bytes(text.as_py()), width)
@@ -228,7 +242,7 @@ def removals(
     asked = stored(wanted.groupBy("key").agg(F.collect_list(F.struct("gram", "code", "weight", "hot")).alias("asked")).withColumn("size", F.size("asked") * 32))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             out: list[tuple] = []
             for key, text, asked in zip(batch.column("key").to_pylist(), batch.column("text"), batch.column("asked").to_pylist(), strict=True):
                 data = as_bytes(text.as_py())
@@ -254,7 +268,10 @@ def removals(
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["gram", "code"])
-        flags = repeated_starts(frame["bytes"].tolist(), frame["weight"].to_numpy(float), width)
+        texts, weights = frame["bytes"].tolist(), frame["weight"].to_numpy(float)
+        flags: list[np.ndarray] = []
+        for lo, hi in portions(frame["gram"].to_numpy(), np.fromiter(map(len, texts), np.int64, len(texts))):
+            flags += repeated_starts(texts[lo:hi], weights[lo:hi], width)
         open_ = (frame["weight"] < 2).to_numpy() & np.array([f.any() for f in flags])
         packed = [np.packbits(f).tobytes() for f, o in zip(flags, open_, strict=True) if o]
         return frame.loc[open_, ["key", "gram", "code"]].assign(flags=packed)
@@ -304,7 +321,7 @@ def removals(
         return np.flatnonzero(gone[1:] != gone[:-1]).reshape(-1, 2)
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             spans, kept, sizes = [], [], []
             for text, marks in zip(batch.column("text"), batch.column("marks").to_pylist(), strict=True):
                 data = as_bytes(text.as_py())

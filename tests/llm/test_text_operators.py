@@ -122,6 +122,37 @@ def test_merged_transforms_equal_one_sorted_list():
         assert [f.tolist() for f in flags] == [[seen[t[i : i + 8]] > 1 for i in range(len(t) - 7)] for t in texts]
 
 
+@pytest.mark.parametrize("most", [1, 40, 100, 10_000])
+def test_portions_keep_representatives_whole(monkeypatch, most):
+    monkeypatch.setattr(bwt_dedup, "MERGED_BYTES", most)
+    draw = np.random.default_rng(most)
+    grams = np.sort(draw.choice([-(1 << 63), -5, 0, 7, 9, (1 << 63) - 1], 40))
+    sizes = draw.integers(1, 20, 40)
+    parts = list(bwt_dedup.portions(grams, sizes))
+    assert [i for lo, hi in parts for i in range(lo, hi)] == list(range(40))
+    assert all(grams[hi - 1] != grams[hi] for _, hi in parts[:-1])
+    largest = max(sizes[grams == g].sum() for g in grams)
+    assert all(sizes[lo:hi].sum() <= most + largest for lo, hi in parts)
+
+
+def test_merge_of_one_portion_is_bounded():
+    """A representative with the most segments that a transform takes: 2.9 MB in one merge."""
+    draw = np.random.default_rng(8)
+    base = draw.integers(97, 123, 700, dtype=np.uint8)
+    texts = []
+    for i in range(bwt_dedup.HOT_SEGMENTS):
+        text = base.copy()
+        text[[0, 1, 698, 699]] = 65 + i % 26, 65 + i // 26 % 26, 65 + i // 676, 65
+        texts.append(text.tobytes())
+    tracemalloc.start()
+    flags = bwt_dedup.repeated_starts(texts, np.ones(len(texts)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen = Counter(t[i : i + 400] for t in texts for i in (0, 1, 150, 299))
+    assert [f[[0, 1, 150, 299]].tolist() for f in flags] == [[seen[t[i : i + 400]] > 1 for i in (0, 1, 150, 299)] for t in texts]
+    assert peak < 350 << 20
+
+
 def test_repeated_strings_of_odd_rows(odd_documents, no_documents):
     texts = [r.text for r in odd_documents.collect()]
     rows = bwt_dedup.removals(odd_documents).collect()
