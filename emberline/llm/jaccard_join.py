@@ -6,7 +6,7 @@ document picks its own k: a longer prefix costs more index rows but asks for mor
 while the estimated work for the candidates falls. The smaller set of a pair must have more of its shingles in the
 intersection than the larger one, so of its prefix the first `n - ceil(2 * t * n / (1 + t)) + k` are enough to meet. A
 pair is verified only if sketches of its prefixes allow as many shared shingles as the smaller k of the two, and as many
-as its similarity leaves to the prefixes.
+as its similarity leaves to the prefixes, and if sketches of its whole sets allow the similarity.
 
 Equal sets are joined first and stand for one another. What is asked for is the components of the links, so
 a document first tries the one partner with which it shares most prefix shingles among the least ids of its
@@ -71,7 +71,8 @@ class Shingler:
         for step in range(width):
             mixed = (mixed ^ codes[step : len(codes) - width + 1 + step]) * _A
             mixed ^= mixed >> np.uint64(32)
-        return np.unique(mixed * _B ^ mixed >> np.uint64(29))
+        mixed = np.sort(mixed * _B ^ mixed >> np.uint64(29))
+        return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
 def overlap_needed(n: int, percent: int) -> int:
@@ -120,13 +121,13 @@ def shingle_counts(docs: DataFrame, id_column: str, size: int) -> tuple[DataFram
 
 
 def prefix_of(shingles: np.ndarray, levels: np.ndarray, percent: int, most: int) -> tuple[int, np.ndarray]:
-    """`(matches asked for, prefix)` of a set: the prefix grows while the estimated work falls."""
+    """`(matches asked for, prefix)` of a sorted set: the prefix grows while the estimated work falls."""
     n = len(shingles)
     level = levels[(shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
     base = n - overlap_needed(n, percent)
     short = n - -(-2 * percent * n // (100 + percent))  # where it meets larger sets
-    order = np.lexsort((shingles, level))[: base + most]
-    partners = np.cumsum(np.exp2(level[order].astype(float)))
+    order = np.argsort(level, kind="stable")[: base + most]  # the shingles come sorted
+    partners = np.cumsum(np.exp2(level[order], dtype=float))
     best, cost = 1, np.inf
     for k in range(1, min(most, overlap_needed(n, percent)) + 1):
         rows = partners[short + k - 1]
@@ -143,20 +144,49 @@ def prefixes(docs: DataFrame, id_column: str, size: int, percent: int, levels: n
         shingler = Shingler(size)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, sizes, asked, tokens, sketches = [], [], [], [], []
+                ids, sizes, asked, tokens, sketches, wholes = [], [], [], [], [], []
                 for i, s in zip(part.column(id_column).to_pylist(), shingler.sets(part.column("text").to_pylist()), strict=True):
                     if len(s):
                         k, prefix = prefix_of(s, sent.value, percent, most)
-                        ids.append(i), sizes.append(len(s)), asked.append(k), tokens.append(prefix.view(np.int64)), sketches.append(sketch(prefix))
-                columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(asked, pa.int32()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "k", "prefix", "sketch"])
+                        ids.append(i), sizes.append(len(s)), asked.append(k), tokens.append(prefix.view(np.int64))
+                        sketches.append(sketch(prefix)), wholes.append(sketch(s, max(SKETCH_BITS, 1 << (4 * len(s)).bit_length())))
+                columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(asked, pa.int32()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(wholes, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "k", "prefix", "sketch", "whole"])
 
     rows = docs.select(F.col(id_column).cast("bigint").alias(id_column), "text")
-    return rows.mapInArrow(run, "id bigint, n int, k int, prefix array<bigint>, sketch binary")
+    return rows.mapInArrow(run, "id bigint, n int, k int, prefix array<bigint>, sketch binary, whole binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_column: str, size: int, percent: int) -> DataFrame:
+def may_link(x: bytes, n_x: int, y: bytes, n_y: int, percent: int) -> bool:
+    """Whether two sets of `n_x` and `n_y` with these sketches can be similar enough; never false for sets that are.
+
+    Both share at most the common bits, and the shingles that fell on a bit already set in either of them. The
+    larger sketch is folded to the size of the smaller.
+    """
+    bits = [np.unpackbits(np.frombuffer(b, np.uint8)) for b in (x, y)]
+    size = min(map(len, bits))
+    a, b = (each.reshape(size, -1).max(1) for each in bits)
+    shared = min(np.count_nonzero(a & b) + min(n_x - np.count_nonzero(a), n_y - np.count_nonzero(b)), n_x, n_y)
+    return 100 * shared >= percent * (n_x + n_y - shared)
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs `(a, b)`, a stored table, those whose whole sets may be similar enough, by `(id, n, whole)`; stored."""
+    left = pairs.join(sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("whole").alias("x")), "a")
+    both = left.join(sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("whole").alias("y")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("x", "n_a", "y", "n_b")), strict=True)
+            good = pa.array([may_link(*row, percent) for row in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(good)
+
+    return stored(both.select("a", "b", "x", "n_a", "y", "n_b").mapInArrow(run, "a bigint, b bigint").distinct())
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, id_column: str, size: int, percent: int) -> DataFrame:
     """Of the distinct pairs `(a, b)`, a stored table, those whose whole shingle sets are similar enough."""
+    pairs = possible(pairs, sketches, percent)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     if ids.count() <= BROADCAST_IDS:  # 8 MB of ids at most; beyond that Spark shuffles both sides
         ids = F.broadcast(ids)
@@ -175,7 +205,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id_column: str, size: int, perce
     shared = F.size(F.array_intersect("x", "y"))
     judged = both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).alias("sum"))
     linked = stored(judged.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("sum") - F.col("i"))).select("a", "b"))
-    released(sets)
+    released(sets, pairs)
     return linked
 
 
@@ -191,10 +221,10 @@ def matches_needed(percent: int) -> Column:
     return F.greatest(F.least("k_a", "k_b"), whole - F.greatest(*rest))
 
 
-def sketch(prefix: np.ndarray) -> bytes:
-    """The shingles of a prefix as a bitmap of fixed size."""
-    bits = np.zeros(SKETCH_BITS, np.uint8)
-    bits[(prefix * _C >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)] = 1
+def sketch(shingles: np.ndarray, size: int = SKETCH_BITS) -> bytes:
+    """The shingles as a bitmap of `size` bits, a power of two."""
+    bits = np.zeros(size, np.uint8)
+    bits[(shingles * _C >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
@@ -232,11 +262,12 @@ def meeting_pairs(rows: pd.DataFrame, percent: int, across: bool) -> pd.DataFram
     return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
 
-def candidates(open_: DataFrame, percent: int) -> DataFrame:
+def candidates(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs `(a, b)` of different components that meet in a shingle and whose prefixes may share enough.
 
     Shingles with few documents are dealt into cells of some thousand rows. A shingle with many is cut into parts;
-    a cell holds two of them, and every part meets every other in one cell. A row has the same size whatever its prefix.
+    a cell holds two of them, and every part meets every other in one cell. A row has the same size whatever its prefix,
+    and meets its sketch once its cell is known, so sketches move to the cells only.
     """
     parts = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("bigint").alias("parts"))
     cells = -(-open_.count() // (2 * DOCS_PER_PART)) or 1
@@ -245,8 +276,8 @@ def candidates(open_: DataFrame, percent: int) -> DataFrame:
     cell = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("token"), F.lit(cells).cast("bigint"))).otherwise(F.col("token"))
     rows = rows.select(
         cell.alias("cell"), F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-        "token", "part", "id", "n", "k", "component_id", "early", "sketch",
-    )
+        "token", "part", "id", "n", "k", "component_id", "early",
+    ).join(sketches.select("id", "sketch"), "id")
 
     def meet(key, frame: pd.DataFrame) -> pd.DataFrame:
         return meeting_pairs(frame, percent, across=key[1] != key[2])
@@ -280,7 +311,7 @@ def jaccard_components(
     ).where(F.col("common") >= matches_needed(percent))
     tried = stars.groupBy("id").agg(F.max(F.struct("common", (-F.col("lead")).alias("least"))).alias("best"))
     tried = stored(tried.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b")))
-    links = verified(tried, docs, id_column, size, percent)
+    links = verified(tried, indexed, docs, id_column, size, percent)
     released(tried)
 
     # What is left to find are links between components; a shingle whose documents are all of one has none.
@@ -290,13 +321,13 @@ def jaccard_components(
     mixed = placed.groupBy("token").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.max("early").alias("met")
     ).where("low < high and met")
-    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi").join(indexed.select("id", "sketch"), "id"))
-    released(placed, indexed)
-    pairs = stored(candidates(open_, percent))
+    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi"))
+    released(placed)
+    pairs = stored(candidates(open_, indexed, percent))
     released(open_)
-    more = verified(pairs, docs, id_column, size, percent)
+    more = verified(pairs, indexed, docs, id_column, size, percent)
     of = components(links.unionByName(more).unionByName(equal)).withColumnRenamed("id", id_column)
-    released(links, equal, pairs, more)
+    released(links, equal, pairs, more, indexed)
     return rows.select(id_column, "n_shingles").join(of, id_column, "left").select(
         id_column, "n_shingles", F.coalesce("component_id", id_column).alias("component_id")
     )

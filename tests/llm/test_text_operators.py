@@ -247,6 +247,26 @@ def test_long_prefixes_that_meet_in_one_shingle_need_little_memory():
     tracemalloc.stop()
 
 
+@pytest.mark.parametrize("bits", [2_048, 256])
+def test_sketches_of_whole_sets_lose_no_link(bits):
+    draw = np.random.default_rng(bits)
+    refused = 0
+    for _ in range(600):
+        n, percent = int(draw.integers(1, 700)), int(draw.choice([50, 80, 90]))
+        pool = np.unique(draw.integers(0, 1 << 63, n + 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        x = draw.permutation(pool)[:n]
+        y = np.concatenate([x[: int(n * draw.random()) if draw.random() < 0.5 else n - int(draw.integers(0, n // 8 + 1))], draw.permutation(np.setdiff1d(pool, x))[: int(draw.integers(0, n // 4 + 2))]])
+        if not len(y):
+            continue
+        shared = len(np.intersect1d(x, y))
+        link = 100 * shared >= percent * (len(x) + len(y) - shared)
+        sides = [jaccard_join.sketch(s, max(bits, 1 << (4 * len(s)).bit_length())) for s in (x, y)]
+        may = jaccard_join.may_link(sides[0], len(x), sides[1], len(y), percent)
+        assert may or not link
+        refused += not may
+    assert refused > 100
+
+
 def test_prefixes_ask_for_as_many_matches_as_they_are_longer():
     levels = np.full(1 << jaccard_join.COUNT_BITS, 3, np.uint8)
     shingles = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 200, dtype=np.uint64))
