@@ -652,7 +652,7 @@ PREDICTIONS = f"{LABELLED} select o_orderkey, label, case when {FAR} then label
 def predictions(spark: SparkSession, folder: str, estimator) -> DataFrame:
     """Test rows with the prediction, and whether the probability lies on its side."""
     train, test = inputs.model_split(spark, folder)
-    found = trees.predict(estimator.fit(train), test).withColumn("p", vector_to_array("probability")[1])
+    found = trees.predict(trees.fit_all([estimator], train)[0], test).withColumn("p", vector_to_array("probability")[1])
     agrees = F.col("p").between(0.0, 1.0) & (F.col("prediction") == (F.col("p") > 0.5).cast("double"))
     return found.select("o_orderkey", "label", F.expr(f"case when {FAR} then prediction end").alias("prediction"), agrees.alias("agrees"))
 
@@ -676,7 +676,8 @@ def dt_predict(spark, folder):
 def model_summary(spark, folder):
     """The text form of the decision tree and of the forest."""
     train, _ = inputs.model_split(spark, folder)
-    found = [(name, trees.model_summary(make().fit(train))) for name, make in (("decision_tree", trees.decision_tree), ("random_forest", trees.random_forest))]
+    models = trees.fit_all([trees.decision_tree(), trees.random_forest()], train)
+    found = [(name, trees.model_summary(model)) for name, model in zip(("decision_tree", "random_forest"), models, strict=True)]
     return spark.createDataFrame(found, "model string, summary string")
 
 
@@ -701,19 +702,15 @@ _NAMES = f"(values {', '.join(f'({name!r})' for name in MODELS)}) m(model)"
 def model_checks(spark, folder):
     """Each model's test rows: the prediction is 0 or 1, the probability lies between 0 and 1, and the two agree."""
     train, test = inputs.model_split(spark, folder)
-    out = None
-    for name, make in MODELS.items():
-        found = trees.predict(make().fit(train), test).withColumn("p", vector_to_array("probability")[1])
-        some = found.select(
-            F.lit(name).alias("model"),
-            "o_orderkey",
-            "label",
-            F.col("prediction").isin(0.0, 1.0).alias("valid"),
-            F.col("p").between(0.0, 1.0).alias("bounded"),
-            (F.col("prediction") == (F.col("p") > 0.5).cast("double")).alias("agrees"),
-        )
-        out = some if out is None else out.unionByName(some)
-    return out
+    found, judged = test.select("o_orderkey", "label", "features"), []
+    for name, model in zip(MODELS, trees.fit_all([make() for make in MODELS.values()], train), strict=True):
+        outputs = {kind: f"{name}_{kind}" for kind in ("rawPrediction", "probability", "prediction")}
+        model.setRawPredictionCol(outputs["rawPrediction"]).setProbabilityCol(outputs["probability"]).setPredictionCol(outputs["prediction"])
+        found = trees.predict(model, found).withColumn(f"{name}_p", vector_to_array(outputs["probability"])[1]).drop(outputs["rawPrediction"], outputs["probability"])
+        prediction, p = F.col(outputs["prediction"]), F.col(f"{name}_p")
+        checks = {"valid": prediction.isin(0.0, 1.0), "bounded": p.between(0.0, 1.0), "agrees": prediction == (p > 0.5).cast("double")}
+        judged.append(F.struct(F.lit(name).alias("model"), "o_orderkey", "label", *[check.alias(c) for c, check in checks.items()]))
+    return found.select(F.inline(F.array(*judged)))
 
 
 @query(
@@ -728,12 +725,11 @@ def model_rule(spark, folder):
     label = (((urgent <= 2) & final) | (turn == 3)).cast("double").alias("label")
     rows = inputs.table(spark, folder, "orders").select("o_orderkey", urgent.cast("double").alias("urgent"), final.cast("double").alias("final"), turn.cast("double").alias("turn"), label)
     known = features.assemble_features(features.kept_for_training(rows, "o_orderkey"), ("urgent", "final", "turn"))
+    makers = {name: make() for name, make in MODELS.items()}
+    makers["random_forest"].setFeatureSubsetStrategy("all")  # a forest sees a part of the features at each split; here it may look at all three
     out = None
-    for name, make in MODELS.items():
-        maker = make()
-        if name == "random_forest":  # a forest sees a part of the features at each split; here it may look at all three
-            maker = maker.setFeatureSubsetStrategy("all")
-        some = trees.predict(maker.fit(known), known).select(F.lit(name).alias("model"), "o_orderkey", "label", "prediction")
+    for name, model in zip(makers, trees.fit_all(list(makers.values()), known), strict=True):
+        some = trees.predict(model, known).select(F.lit(name).alias("model"), "o_orderkey", "label", "prediction")
         out = some if out is None else out.unionByName(some)
     return out
 
@@ -743,8 +739,7 @@ def model_sizes(spark, folder):
     """How many trees each model has, and that none is deeper than 10."""
     train, _ = inputs.model_split(spark, folder)
     found = []
-    for name, make in MODELS.items():
-        model = make().fit(train)
+    for name, model in zip(MODELS, trees.fit_all([make() for make in MODELS.values()], train), strict=True):
         members = [model] if name == "decision_tree" else model.trees
         found.append((name, len(members), all(t.depth <= 10 for t in members)))
     return spark.createDataFrame(found, "model string, trees int, shallow boolean")
