@@ -78,7 +78,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The encoded corpus: the piece ids of every text with begin and end, their number, and a digest of what they decode to."""
     model = queries.piece_model()
-    decoded = piece_bpe.decode_pieces(piece_bpe.encode_pieces(docs.select(*COLUMNS), model), model)
+    decoded = piece_bpe.encode_and_decode(docs.select(*COLUMNS), model)
     return decoded.select(
         "doc_id", "ids", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
     )

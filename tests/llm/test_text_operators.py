@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+import corpus_pipeline
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -304,3 +305,15 @@ def test_digests_of_the_token_query(spark):
         ids = [1, *LIBRARY.encode(texts[r.doc_id]), 2]
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
+
+
+def test_tokens_take_one_python_worker_per_task(spark, odd_documents):
+    """Idle workers keep their tables and add to an executor's memory in the stages that follow."""
+    path = queries.piece_model()
+    apart = piece_bpe.decode_pieces(piece_bpe.encode_pieces(odd_documents, path), path)
+    at_once = piece_bpe.encode_and_decode(odd_documents, path)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(at_once) == rows(apart)
+    docs = odd_documents.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "0L as n_chars")
+    plan = corpus_pipeline.tokens(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
