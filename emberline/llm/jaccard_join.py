@@ -24,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.llm.common import components, released, stored
 from emberline.llm.piece_bpe import slices
+from emberline.sources.bucketed import BucketedTable
 
 COUNT_BITS = 20
 BLOCKS = 64
@@ -36,6 +37,7 @@ MOST_MATCHES = 4
 BROADCAST_IDS = 1_000_000
 DOCS_PER_PART = 2_000
 SKETCH_BITS = 2_048
+DOCS_PER_BUCKET = 5_000
 SMALLER_PER_BLOCK = 500
 PAIRS_PER_BLOCK = 50_000
 CACHED_WORDS = 150_000
@@ -265,13 +267,14 @@ def meeting_pairs(rows: pd.DataFrame, percent: int, across: bool) -> pd.DataFram
 def candidates(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs `(a, b)` of different components that meet in a shingle and whose prefixes may share enough.
 
-    Shingles with few documents are dealt into cells of some thousand rows. A shingle with many is cut into parts;
+    `open_` says with `docs` how many rows have the same shingle. Shingles with few documents are dealt into cells of
+    some thousand rows. A shingle with many is cut into parts;
     a cell holds two of them, and every part meets every other in one cell. A row has the same size whatever its prefix,
     and meets its sketch once its cell is known, so sketches move to the cells only.
     """
-    parts = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("bigint").alias("parts"))
     cells = -(-open_.count() // (2 * DOCS_PER_PART)) or 1
-    rows = open_.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    parts = F.ceil(F.col("docs") / DOCS_PER_PART).cast("bigint").alias("parts")
+    rows = open_.select("*", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     cell = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("token"), F.lit(cells).cast("bigint"))).otherwise(F.col("token"))
     rows = rows.select(
@@ -299,13 +302,16 @@ def jaccard_components(
     least = stored(least)
     equal = stored(rows.join(least, "print").select(F.col(id_column).alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
     reps = least.select(F.col("rep").alias("id")).distinct()
-    indexed = stored(prefixes(docs, id_column, size, percent, levels, most_matches).join(reps, "id", "left_semi"))
-    index = indexed.select("id", "n", "k", F.posexplode("prefix").alias("place", "token"))
+    # Prefixes and sketches move once, into buckets by id; every join by id reads them there.
+    lasting = BucketedTable.write(prefixes(docs, id_column, size, percent, levels, most_matches), ["id"], -(-rows.count() // DOCS_PER_BUCKET) or 1)
+    indexed = lasting.rows
+    index = indexed.join(reps, "id", "left_semi").select("id", "n", "k", F.posexplode("prefix").alias("place", "token"))
     early = F.col("place") < F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + F.col("k")
     index = index.select("id", "n", "k", "token", early.alias("early"))
 
-    groups = index.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "n", "k")).alias("lead")).where("docs > 1")
-    shared = stored(index.join(groups.select("token", "lead"), "token"))
+    same = Window.partitionBy("token")  # the index moves once: counts and leads come from the rows themselves
+    groups = index.select("*", F.count(F.lit(1)).over(same).alias("docs"), F.min(F.struct("id", "n", "k")).over(same).alias("lead"))
+    shared = stored(groups.where("docs > 1"))
     stars = shared.where("id <> lead.id").groupBy("id", F.col("lead.id").alias("lead")).agg(
         F.count(F.lit(1)).alias("common"), *[F.first(c).alias(f"{c}_a") for c in ("n", "k")], *[F.first(f"lead.{c}").alias(f"{c}_b") for c in ("n", "k")]
     ).where(F.col("common") >= matches_needed(percent))
@@ -316,18 +322,18 @@ def jaccard_components(
 
     # What is left to find are links between components; a shingle whose documents are all of one has none.
     found = components(links)
-    placed = stored(shared.drop("lead").join(found, "id", "left").withColumn("component_id", F.coalesce("component_id", "id")))
+    placed = shared.drop("lead").join(found, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    mixed = placed.select(
+        "*", F.min("component_id").over(same).alias("low"), F.max("component_id").over(same).alias("high"), F.max("early").over(same).alias("met")
+    )
+    open_ = stored(mixed.where("low < high and met").drop("low", "high", "met"))
     released(shared, least)
-    mixed = placed.groupBy("token").agg(
-        F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.max("early").alias("met")
-    ).where("low < high and met")
-    open_ = stored(placed.join(mixed.select("token"), "token", "left_semi"))
-    released(placed)
     pairs = stored(candidates(open_, indexed, percent))
     released(open_)
     more = verified(pairs, indexed, docs, id_column, size, percent)
     of = components(links.unionByName(more).unionByName(equal)).withColumnRenamed("id", id_column)
-    released(links, equal, pairs, more, indexed)
+    released(links, equal, pairs, more)
+    lasting.remove()
     return rows.select(id_column, "n_shingles").join(of, id_column, "left").select(
         id_column, "n_shingles", F.coalesce("component_id", id_column).alias("component_id")
     )
