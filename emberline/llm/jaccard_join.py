@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.llm.common import components, released, stored
+from emberline.llm.common import components, released, stored, trimmed
 from emberline.llm.piece_bpe import slices
 from emberline.sources.bucketed import BucketedTable
 
@@ -115,7 +115,7 @@ def shingle_counts(docs: DataFrame, id_column: str, size: int) -> tuple[DataFram
             total += np.frombuffer(c, "<i4")
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "level": [np.log2(total + 1).astype(np.uint8).tobytes()], "total": [int(total.sum())]})
 
-    found = stored(docs.select(F.col(id_column).cast("bigint").alias(id_column), "text").mapInArrow(run, schema))
+    found = stored(docs.select(F.col(id_column).cast("bigint").alias(id_column), "text").mapInArrow(trimmed(run), schema))
     sums = found.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(added, "block int, level binary, total bigint")
     levels = {r["block"]: np.frombuffer(r["level"], np.uint8) for r in sums.collect()}
     empty = np.zeros((1 << COUNT_BITS) // BLOCKS, np.uint8)
@@ -156,7 +156,7 @@ def prefixes(docs: DataFrame, id_column: str, size: int, percent: int, levels: n
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "k", "prefix", "sketch", "whole"])
 
     rows = docs.select(F.col(id_column).cast("bigint").alias(id_column), "text")
-    return rows.mapInArrow(run, "id bigint, n int, k int, prefix array<bigint>, sketch binary, whole binary")
+    return rows.mapInArrow(trimmed(run), "id bigint, n int, k int, prefix array<bigint>, sketch binary, whole binary")
 
 
 def may_link(x: bytes, n_x: int, y: bytes, n_y: int, percent: int) -> bool:
@@ -183,7 +183,7 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             good = pa.array([may_link(*row, percent) for row in rows], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(good)
 
-    return stored(both.select("a", "b", "x", "n_a", "y", "n_b").mapInArrow(run, "a bigint, b bigint").distinct())
+    return stored(both.select("a", "b", "x", "n_a", "y", "n_b").mapInArrow(trimmed(run), "a bigint, b bigint").distinct())
 
 
 def verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, id_column: str, size: int, percent: int) -> DataFrame:
@@ -201,7 +201,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, id_column:
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "grams"])
 
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), "text").join(ids, "id", "left_semi")
-    sets = stored(texts.mapInArrow(run, "id bigint, grams array<bigint>"))
+    sets = stored(texts.mapInArrow(trimmed(run), "id bigint, grams array<bigint>"))
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberline.llm.common import trimmed
+
 SAMPLE_ROWS = 8_000
 BITS = 18
 GRAMS = (2, 3, 4)
@@ -157,7 +159,7 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
         return pd.DataFrame({"model": [model.astype(np.float32).tobytes()]})
 
     chosen = sample.where("label is not null").withColumn("digest", digest).orderBy("digest", "doc_id").limit(rows)
-    grams = chosen.select("digest", "label", "text").mapInArrow(sets, "digest string, label int, grams array<int>")
+    grams = chosen.select("digest", "label", "text").mapInArrow(trimmed(sets), "digest string, label int, grams array<int>")
     found = grams.groupBy(F.lit(1).alias("one")).applyInPandas(lambda _, f: fitted(f), "model binary").collect()
     return np.frombuffer(found[0].model, np.float32) if found else fit_rows([], np.zeros(0, np.int64)).astype(np.float32)
 
@@ -186,4 +188,4 @@ def score(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(out, pa.float64())], [*carried, "score"])
 
     types = dict(source.dtypes)
-    return source.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in carried), "score double"]))
+    return source.mapInArrow(trimmed(run), ", ".join([*(f"{c} {types[c]}" for c in carried), "score double"]))
