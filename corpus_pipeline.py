@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.llm import bwt_dedup, jaccard_join, nbsvm, piece_bpe, queries, source_mix
-from emberline.llm.common import WORD, ranked, stored, table
+from emberline.llm.common import WORD, ranked, released, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 PASSAGE_BYTES = 250  # fixed value: 51 words are shorter in about one of a hundred runs of the given documents
@@ -38,11 +38,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
     if named.groupBy("doc_id").count().where("count > 1").limit(1).count():
         digest = F.md5(F.to_json(F.struct("doc_id", "text", "lang", "source")).cast("binary"))
-        keyed = stored(ranked(named.withColumn("digest", digest), ["doc_id", "digest"], "row"))
+        placed = ranked(named.withColumn("digest", digest), ["doc_id", "digest"], "row")
+        keyed = stored(placed)
+        released(placed)
     else:
         keyed = named.withColumn("row", F.col("doc_id"))
-    groups = stored(jaccard_join.jaccard_components(keyed, size=5, percent=80, id_column="row").select("row", "component_id"))
-    kept = keyed.join(groups.where("component_id = row").select("row"), "row", "left_semi")
+    groups = jaccard_join.jaccard_components(keyed, size=5, percent=80, id_column="row")
+    gone = groups.where("component_id <> row").select("row")  # texts stay where they are if these ids fit a broadcast
+    kept = keyed.join(F.broadcast(gone) if gone.count() <= jaccard_join.BROADCAST_IDS else gone, "row", "left_anti")
     return documents(kept.unionByName(nameless, allowMissingColumns=True))
 
 
@@ -63,9 +66,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A cut copy has its words joined by single spaces. Documents without words take no part in a mix of words.
     """
     docs = docs.select(*COLUMNS).withColumn("row", F.md5(F.to_json(F.struct("doc_id", "text", "lang", "source")).cast("binary")))
-    docs = stored(docs)
     mixed = source_mix.mix_sources(docs.select(F.col("row").alias("doc_id"), "source", "text"))
     taken = stored(mixed.where("taken > 0").groupBy(F.col("doc_id").alias("row"), "size").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("rows")))
+    released(mixed)
     if taken.where("rows > 1").limit(1).count():  # equal rows: their copies are counted together
         docs = docs.dropDuplicates(["row"])
     full = F.floor(F.col("taken") / F.col("size"))
@@ -93,6 +96,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
-    for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+    for place, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir))
+        if place:
+            released(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import components, released, stored, trimmed
 from emberline.llm.piece_bpe import slices
+from emberline.session import shuffle_width, shuffles_dropped
 from emberline.sources.bucketed import BucketedTable
 
 COUNT_BITS = 20
@@ -82,11 +83,21 @@ def overlap_needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Non-negative counts in the fewest of 1, 2 or 4 bytes each that hold the largest."""
+    return counts.astype(np.min_scalar_type(counts.max(initial=0)).newbyteorder("<")).tobytes()
+
+
+def widened(data: bytes, n: int) -> np.ndarray:
+    """The n counts that `narrow` gave."""
+    return np.frombuffer(data, f"<u{len(data) // n}")
+
+
 def shingle_counts(docs: DataFrame, id_column: str, size: int) -> tuple[DataFrame, np.ndarray]:
     """`(id, n_shingles, print)` of every document, and hashed document counts of all shingles as powers of two.
 
-    The counts have a fixed number of slots whatever the data; they order the shingles and estimate costs, and
-    decide no result.
+    The counts have a fixed number of slots whatever the data, in a task's rows of as few bytes as its largest takes;
+    they order the shingles and estimate costs, and decide no result. `released` takes the table.
     """
     spark = docs.sparkSession
     schema = f"{id_column} bigint, n_shingles bigint, print binary, block int, counts binary"
@@ -103,23 +114,25 @@ def shingle_counts(docs: DataFrame, id_column: str, size: int) -> tuple[DataFram
                     [part.column(id_column), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())],
                     [id_column, "n_shingles", "print", "block", "counts"],
                 )
-        cut = np.split(np.minimum(counts, np.iinfo(np.int32).max).astype("<i4"), BLOCKS)
+        cut = [narrow(c) for c in np.split(np.minimum(counts, np.iinfo(np.int32).max), BLOCKS)]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary()), pa.array(range(BLOCKS), pa.int32()), pa.array([c.tobytes() for c in cut], pa.binary())],
+            [pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary()), pa.array(range(BLOCKS), pa.int32()), pa.array(cut, pa.binary())],
             [id_column, "n_shingles", "print", "block", "counts"],
         )
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << COUNT_BITS) // BLOCKS, np.int64)
         for c in frame["counts"]:
-            total += np.frombuffer(c, "<i4")
+            total += widened(c, len(total))
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "level": [np.log2(total + 1).astype(np.uint8).tobytes()], "total": [int(total.sum())]})
 
     found = stored(docs.select(F.col(id_column).cast("bigint").alias(id_column), "text").mapInArrow(trimmed(run), schema))
     sums = found.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(added, "block int, level binary, total bigint")
     levels = {r["block"]: np.frombuffer(r["level"], np.uint8) for r in sums.collect()}
     empty = np.zeros((1 << COUNT_BITS) // BLOCKS, np.uint8)
-    return found.where("block is null").select(id_column, "n_shingles", "print"), np.concatenate([levels.get(b, empty) for b in range(BLOCKS)])
+    rows = found.where("block is null").select(id_column, "n_shingles", "print")
+    rows.stored_at = found.stored_at
+    return rows, np.concatenate([levels.get(b, empty) for b in range(BLOCKS)])
 
 
 def prefix_of(shingles: np.ndarray, levels: np.ndarray, percent: int, most: int) -> tuple[int, np.ndarray]:
@@ -302,8 +315,11 @@ def jaccard_components(
     least = stored(least)
     equal = stored(rows.join(least, "print").select(F.col(id_column).alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
     reps = least.select(F.col("rep").alias("id")).distinct()
-    # Prefixes and sketches move once, into buckets by id; every join by id reads them there.
-    lasting = BucketedTable.write(prefixes(docs, id_column, size, percent, levels, most_matches), ["id"], -(-rows.count() // DOCS_PER_BUCKET) or 1)
+    # Prefixes and sketches move once, into buckets by id; every join by id reads them there. With fewer buckets
+    # than shuffle partitions, Spark would shuffle them again.
+    buckets = max(shuffle_width(docs.sparkSession), -(-rows.count() // DOCS_PER_BUCKET))
+    with shuffles_dropped(docs.sparkSession):
+        lasting = BucketedTable.write(prefixes(docs, id_column, size, percent, levels, most_matches), ["id"], buckets)
     indexed = lasting.rows
     index = indexed.join(reps, "id", "left_semi").select("id", "n", "k", F.posexplode("prefix").alias("place", "token"))
     early = F.col("place") < F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + F.col("k")
@@ -327,13 +343,16 @@ def jaccard_components(
         "*", F.min("component_id").over(same).alias("low"), F.max("component_id").over(same).alias("high"), F.max("early").over(same).alias("met")
     )
     open_ = stored(mixed.where("low < high and met").drop("low", "high", "met"))
-    released(shared, least)
+    released(shared, least, found)
     pairs = stored(candidates(open_, indexed, percent))
     released(open_)
     more = verified(pairs, indexed, docs, id_column, size, percent)
-    of = components(links.unionByName(more).unionByName(equal)).withColumnRenamed("id", id_column)
+    of = components(links.unionByName(more).unionByName(equal))
     released(links, equal, pairs, more)
     lasting.remove()
-    return rows.select(id_column, "n_shingles").join(of, id_column, "left").select(
+    out = rows.select(id_column, "n_shingles").join(of.withColumnRenamed("id", id_column), id_column, "left").select(
         id_column, "n_shingles", F.coalesce("component_id", id_column).alias("component_id")
     )
+    out = stored(out)
+    released(rows, of)
+    return out

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.llm.common import WORD, ranked, stored, text_of
+from emberline.llm.common import WORD, ranked, released, stored, text_of
 
 ROWS_PER_BUCKET = 10_000
 
@@ -61,6 +61,7 @@ def mix_sources(
     serving when its target or the budget is reached is cut there. Null text has size 0, null is a source of
     its own, repeated ids and rows count separately, a source without words has target 0, and an empty table
     gives no rows. The order follows a digest of `doc_id`, so reruns agree. Other columns are not read.
+    `released` takes the result once it is stored.
     """
     sizes = stored(docs.select("doc_id", "source", word_count(text_of()).alias("size")))
     targets = stored(source_targets(sizes, weights, max_repeats))
@@ -95,6 +96,7 @@ def mix_sources(
 
     total = copies.agg(F.count(F.lit(1)).alias("n")).first().n
     budget = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first().b
+    released(sizes, targets, cut)
     ranges = max(1, -(-total // rows_per_bucket))
     # Finish times are spread evenly over 0 to 1 by construction; those at 1 (one per source, and what is not taken) spread by digest.
     last = F.col("finish") >= 1.0
@@ -108,6 +110,8 @@ def mix_sources(
     running = queued.withColumn("inside", F.coalesce(F.sum("words").over(line), F.lit(0))).join(sums, ["range", "slot"])
     left = F.lit(budget) - F.col("ahead") - F.col("inside")
     given = running.withColumn("taken", F.greatest(F.least("words", left), F.lit(0)))
-    return given.groupBy(*by, "place", "doc_id", "source", "size", "source_size", "target").agg(
+    mixed = given.groupBy(*by, "place", "doc_id", "source", "size", "source_size", "target").agg(
         F.sum("taken").cast("bigint").alias("taken")
     ).select("doc_id", "source", "size", "source_size", "target", "taken")
+    mixed.stored_at = copies.stored_at
+    return mixed
