@@ -104,3 +104,14 @@ def test_counts_take_the_bytes_they_need():
         counts = np.array([0, 1, most], np.int64)
         data = jaccard_join.narrow(counts)
         assert len(data) == 3 * width and (jaccard_join.widened(data, 3) == counts).all()
+
+
+def test_a_slice_of_texts_is_small():
+    import pyarrow as pa
+
+    from emberline.llm.piece_bpe import slices
+
+    texts = ["x" * 200_000] * 10 + ["y" * 900_000, "", None]
+    parts = [p.column("text").to_pylist() for p in slices(pa.record_batch({"text": texts}), "text")]
+    assert sum(parts, []) == texts
+    assert all(sum(len(t or "") for t in p[1:]) <= 1 << 19 for p in parts)
